@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from glyphloom.llm import terms
+from glyphloom.llm import copies, mixture, terms, topn
 from glyphloom.session import table
 
 
@@ -22,4 +23,61 @@ def p1_terms(spark: SparkSession, d: str) -> DataFrame:
     return _p1(spark, d).select("field_name", "term", "occurrences", "records", "mark")
 
 
+#: (table, key, field of mix_targets, stratum) of the two mixtures.
+MIXTURES = (("ocr_qa_dataset", "sample_id", "question_type", "answer_level"), ("bootstrap_tuples", "ann_id", "source_dataset", "answer_level"))
+
+
+def _p2(spark: SparkSession, d: str) -> dict[str, mixture.Mixture]:
+    mix = table(spark, d, "mix_targets")
+    return {field: mixture.mixture(table(spark, d, name), key, field, stratum, mix, field) for name, key, field, stratum in MIXTURES}
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    short = [(field, c) for field, m in _p2(spark, d).items() for c, lacking in m.plan.lacking.items() if lacking > 0]
+    return spark.createDataFrame(short, "field_name string, category string")
+
+
+def p2_report(spark: SparkSession, d: str) -> DataFrame:
+    rows = [(field, *row) for field, m in _p2(spark, d).items() for row in m.report()]
+    return spark.createDataFrame(rows, "field_name string, category string, pool_records long, wanted long, drawn long, lacking long")
+
+
+def p2_sample(spark: SparkSession, d: str) -> DataFrame:
+    drawn = [m.sample().select(F.lit(field).alias("field_name"), F.col("key").alias("record_key"), "category", "stratum") for field, m in _p2(spark, d).items()]
+    return drawn[0].unionByName(drawn[1])
+
+
+def _p3(spark: SparkSession, d: str) -> dict[str, copies.Collapsed]:
+    raw = copies.json_fields(table(spark, d, "raw_qa_records"), "record_id", "payload")
+    return {
+        "bootstrap_tuples": copies.collapse(table(spark, d, "bootstrap_tuples"), "ann_id", copies.Identity(("image_id",), ("anchor_label", "answer_normalized"), "answer_normalized")),
+        "ocr_qa_dataset": copies.collapse(table(spark, d, "ocr_qa_dataset"), "sample_id", copies.Identity(("image_id",), ("question", "answer"), "answer")),
+        "raw_qa_records": copies.collapse(raw, "record_id", copies.Identity((), copies.JSON_FIELDS)),
+    }
+
+
+def _named(parts: dict[str, DataFrame]) -> DataFrame:
+    a, *rest = [df.select(F.lit(name).alias("table_name"), "*") for name, df in parts.items()]
+    for b in rest:
+        a = a.unionByName(b)
+    return a
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return _named({name: copies.copy_pairs(c) for name, c in _p3(spark, d).items()})
+
+
+def p3_records(spark: SparkSession, d: str) -> DataFrame:
+    return _named({name: copies.collapsed_records(c) for name, c in _p3(spark, d).items()})
+
+
+def p6_top(spark: SparkSession, d: str) -> DataFrame:
+    top = topn.top_of_table(table(spark, d, "bootstrap_tuples"), "image_id", "ann_id", "score", "produced_at", 3)
+    return top.select(F.col("group_key").alias("image_id"), F.col("item_key").alias("ann_id"), "score", "rank")
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return p6_top(spark, d).select("image_id", "ann_id")
+
+
 QUERIES = {name: f for name, f in list(globals().items()) if name[:1] == "p" and name[1:2].isdigit()}

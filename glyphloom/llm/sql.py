@@ -24,7 +24,40 @@ _TERMS = f"""
                       CASE WHEN records < 3 THEN 'rare' WHEN records > 0.05 * total THEN 'common' END AS mark
                FROM f JOIN n USING (field_name))"""
 
+_POOL = f"""
+    WITH p AS (SELECT 'question_type' AS field_name, sample_id AS key, {alike("question_type")} AS k FROM ocr_qa_dataset
+               UNION ALL SELECT 'source_dataset', ann_id, {alike("source_dataset")} FROM bootstrap_tuples),
+         t AS (SELECT *, {alike("category")} AS k FROM mix_targets),
+         d AS (SELECT t.field_name, p.key, min(t.category) AS category FROM p JOIN t USING (field_name, k) WHERE p.key IS NOT NULL GROUP BY 1, 2),
+         n AS (SELECT field_name, category, count(*) AS n FROM d GROUP BY 1, 2),
+         s AS (SELECT t.field_name, t.category, coalesce(n.n, 0)::BIGINT AS pool_records,
+                      greatest(ceil(coalesce(target_share, 0) * coalesce(sample_rate, 1) * (SELECT count(*) FROM d WHERE d.field_name = t.field_name)), coalesce(min_rows, 0))::BIGINT AS wanted
+               FROM t LEFT JOIN n USING (field_name, category))"""
+
+_COPIES = f"""
+    WITH b AS (SELECT DISTINCT 'bootstrap_tuples' AS table_name, ann_id AS key, [image_id, {alike("anchor_label")}, {alike("answer_normalized")}] AS c,
+                      [image_id, anchor_label, answer_normalized] AS raw
+               FROM bootstrap_tuples WHERE image_id IS NOT NULL AND anchor_label IS NOT NULL AND {alike("answer_normalized")} <> ''),
+         q AS (SELECT DISTINCT 'ocr_qa_dataset', sample_id, [image_id, {alike("question")}, {alike("answer")}], [image_id, question, answer]
+               FROM ocr_qa_dataset WHERE image_id IS NOT NULL AND question IS NOT NULL AND {alike("answer")} <> ''),
+         f AS (SELECT record_id, [json_extract_string(payload, x) FOR x IN ['image_id', 'question', 'answer', 'question_type', 'answer_normalized']] AS raw
+               FROM raw_qa_records WHERE CASE WHEN json_valid(payload) THEN json_type(payload) = 'OBJECT' ELSE false END),
+         j AS (SELECT 'raw_qa_records', record_id, [{alike("x")} FOR x IN raw], raw FROM f WHERE list_count(raw) = 5),
+         a AS (SELECT * FROM b WHERE key IS NOT NULL UNION ALL SELECT * FROM q UNION ALL SELECT * FROM j),
+         g AS (SELECT table_name, c, min(key) AS kept_key, count(*) AS copies, count(DISTINCT raw) AS forms FROM a GROUP BY 1, 2)"""
+
+_TOP = """
+    WITH l AS (SELECT ann_id, arg_max((image_id, score), (produced_at, score)) AS m FROM bootstrap_tuples WHERE ann_id IS NOT NULL GROUP BY 1),
+         s AS (SELECT m[1] AS image_id, ann_id, m[2] AS score FROM l WHERE m[1] IS NOT NULL AND m[2] IS NOT NULL AND NOT isnan(m[2])),
+         r AS (SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY score DESC, ann_id)::INTEGER AS rank FROM s)"""
+
 SQL = {
     "p1_found": f"{_TERMS} SELECT field_name, term, mark FROM m WHERE mark IS NOT NULL",
     "p1_terms": f"{_TERMS} SELECT field_name, term, occurrences, records, mark FROM m",
+    "p2_found": f"{_POOL} SELECT field_name, category FROM s WHERE pool_records < wanted",
+    "p2_report": f"{_POOL} SELECT field_name, category, pool_records, wanted, least(pool_records, wanted) AS drawn, greatest(wanted - pool_records, 0) AS lacking FROM s",
+    "p3_found": f"{_COPIES} SELECT table_name, kept_key, key AS copy_key FROM a JOIN g USING (table_name, c) WHERE key <> kept_key",
+    "p3_records": f"{_COPIES} SELECT table_name, kept_key, copies, forms FROM g",
+    "p6_found": f"{_TOP} SELECT image_id, ann_id FROM r WHERE rank <= 3",
+    "p6_top": f"{_TOP} SELECT image_id, ann_id, score, rank FROM r WHERE rank <= 3",
 }
