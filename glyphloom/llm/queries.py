@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glyphloom.llm import copies, mixture, terms, topn
+from glyphloom.llm import copies, leakage, mixture, packing, repetition, splits, terms, topn
 from glyphloom.session import table
 
 
@@ -80,4 +80,63 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return p6_top(spark, d).select("image_id", "ann_id")
 
 
+SHARES = {"train": 0.8, "validation": 0.1, "test": 0.1}
+
+
+def _p5(spark: SparkSession, d: str) -> DataFrame:
+    return splits.groups_of(table(spark, d, "bootstrap_tuples"), table(spark, d, "source_registry"), table(spark, d, "image_links"))
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return splits.tied_pairs(_p5(spark, d))
+
+
+def p5_splits(spark: SparkSession, d: str) -> DataFrame:
+    return splits.split(table(spark, d, "bootstrap_tuples"), _p5(spark, d), "answer_level", SHARES)
+
+
+def _p7(spark: SparkSession, d: str) -> DataFrame:
+    return packing.packed(table(spark, d, "documents"), "doc_id", "text")
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return packing.split_keys(_p7(spark, d)).select(F.col("key").alias("doc_id"))
+
+
+def p7_containers(spark: SparkSession, d: str) -> DataFrame:
+    return _p7(spark, d).withColumnRenamed("key", "doc_id")
+
+
+def p7_fill(spark: SparkSession, d: str) -> DataFrame:
+    return packing.fill(_p7(spark, d))
+
+
+def _p8(spark: SparkSession, d: str) -> DataFrame:
+    return leakage.leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return _p8(spark, d).select("doc_id", "item_id")
+
+
+def p8_spans(spark: SparkSession, d: str) -> DataFrame:
+    return leakage.removal_spans(_p8(spark, d))
+
+
+def p8_items(spark: SparkSession, d: str) -> DataFrame:
+    return leakage.leaked_items(_p8(spark, d))
+
+
+def _p9(spark: SparkSession, d: str) -> DataFrame:
+    return repetition.repetitive(table(spark, d, "documents"), "doc_id", "text")
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return repetition.above_limit(_p9(spark, d)).select("doc_id")
+
+
+def p9_measures(spark: SparkSession, d: str) -> DataFrame:
+    return _p9(spark, d).select("doc_id", "words", "repeated_words", "repeated_share", "posterior")
+
+
 QUERIES = {name: f for name, f in list(globals().items()) if name[:1] == "p" and name[1:2].isdigit()}

@@ -51,6 +51,33 @@ _TOP = """
          s AS (SELECT m[1] AS image_id, ann_id, m[2] AS score FROM l WHERE m[1] IS NOT NULL AND m[2] IS NOT NULL AND NOT isnan(m[2])),
          r AS (SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY score DESC, ann_id)::INTEGER AS rank FROM s)"""
 
+# the ties of images, then the smallest image that each can reach
+_GROUPS = f"""
+    WITH RECURSIVE t AS (SELECT DISTINCT image_id AS i, {alike("source_dataset")} AS source, nullif(lower(regexp_extract(image_path, '([^/]*)$', 1)), '') AS file
+                         FROM bootstrap_tuples WHERE image_id IS NOT NULL),
+         h AS (SELECT DISTINCT i, 'source:' || source AS hub FROM t WHERE source IN (SELECT {alike("source_dataset")} FROM source_registry WHERE keep_whole)
+               UNION SELECT i, 'file:' || file FROM t WHERE file IS NOT NULL),
+         m AS (SELECT hub, min(i) AS a FROM h GROUP BY 1),
+         e AS (SELECT i AS a, a AS b FROM h JOIN m USING (hub) WHERE i <> a
+               UNION SELECT image_id_a, image_id_b FROM image_links WHERE image_id_a <> image_id_b AND link_kind IS DISTINCT FROM 'rejected'),
+         s AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+         r AS (SELECT DISTINCT a AS x, a AS y FROM s UNION SELECT r.x, s.b FROM r JOIN s ON r.y = s.a),
+         g AS (SELECT x AS image_id, min(y) AS group_id FROM r WHERE x IN (SELECT i FROM t) AND y IN (SELECT i FROM t) GROUP BY 1)"""
+
+_RUNS = f"""
+    WITH d AS (SELECT doc_id, {words("text")} AS w FROM documents WHERE text IS NOT NULL),
+         s AS (SELECT doc_id, i, w[i:i + 4] AS run FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d)),
+         a AS (SELECT doc_id, i FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, run ORDER BY i) AS n FROM s) WHERE n > 1),
+         c AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM a, range(5) t(j) GROUP BY 1),
+         m AS (SELECT doc_id, len(w) AS words, coalesce(n, 0) AS repeated_words FROM d LEFT JOIN c USING (doc_id))"""
+
+_LEAKS = f"""
+    WITH q AS (SELECT item_id, {words("text")} AS w FROM eval_items WHERE text IS NOT NULL),
+         p AS (SELECT item_id, len(w) AS n, i, array_to_string(w[i:i + 3], ' ') AS run FROM (SELECT item_id, w, unnest(range(1, len(w) - 2)) AS i FROM q)),
+         d AS (SELECT doc_id, {words("text")} AS w FROM documents WHERE text IS NOT NULL),
+         f AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS run FROM (SELECT doc_id, w, unnest(range(1, len(w) - 2)) AS i FROM d)),
+         h AS (SELECT doc_id, item_id, n, count(DISTINCT i + j) AS held FROM f JOIN p USING (run), range(4) t(j) GROUP BY 1, 2, 3)"""
+
 SQL = {
     "p1_found": f"{_TERMS} SELECT field_name, term, mark FROM m WHERE mark IS NOT NULL",
     "p1_terms": f"{_TERMS} SELECT field_name, term, occurrences, records, mark FROM m",
@@ -60,4 +87,8 @@ SQL = {
     "p3_records": f"{_COPIES} SELECT table_name, kept_key, copies, forms FROM g",
     "p6_found": f"{_TOP} SELECT image_id, ann_id FROM r WHERE rank <= 3",
     "p6_top": f"{_TOP} SELECT image_id, ann_id, score, rank FROM r WHERE rank <= 3",
+    "p5_found": f"{_GROUPS} SELECT group_id AS image_id_a, image_id AS image_id_b FROM g WHERE image_id <> group_id",
+    "p8_found": f"{_LEAKS} SELECT doc_id, item_id FROM h WHERE held >= 0.5 * n",
+    "p8_items": f"{_LEAKS} SELECT item_id, count(*) AS documents, max(held / n) AS most_held FROM h WHERE held >= 0.5 * n GROUP BY 1",
+    "p9_found": f"{_RUNS} SELECT doc_id FROM m WHERE repeated_words > words * 0.3::DOUBLE",
 }
