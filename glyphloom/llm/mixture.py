@@ -17,6 +17,7 @@ from __future__ import annotations
 import math
 import random
 from dataclasses import dataclass
+from fractions import Fraction
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,8 +39,9 @@ class Target:
     least: int
     rate: float
 
-    def rows(self, pool: int) -> float:
-        return self.share * self.rate * pool
+    def rows(self, pool: int) -> Fraction:
+        """Not rounded, and without the error of binary fractions."""
+        return Fraction(str(self.share)) * Fraction(str(self.rate)) * pool
 
 
 def targets_of(mix: DataFrame, field: str) -> list[Target]:

@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 from glyphloom.session import written
 
 CAPACITY = 4096
-CLASSES = 16
+#: Numbers of classes to try; each worker keeps what needs the fewest containers.
+CLASSES = (4, 8, 16)
 #: Items a worker packs at once, in one task's memory.
 WORKER_ITEMS = 50_000
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -79,8 +80,12 @@ def parts_of(counts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return parts.select("key", "part", first.alias("first_token"), F.least(F.col("n") - first, F.lit(capacity)).alias("tokens"))
 
 
-def pack_sizes(sizes: np.ndarray, capacity: int = CAPACITY, classes: int = CLASSES) -> np.ndarray:
+def pack_sizes(sizes: np.ndarray, capacity: int = CAPACITY, classes: tuple[int, ...] = CLASSES) -> np.ndarray:
     """The container of every size, numbered from 0; sizes lie in 1..capacity."""
+    return min((pack_classes(sizes, capacity, n) for n in classes), key=lambda bins: bins.max(initial=-1))
+
+
+def pack_classes(sizes: np.ndarray, capacity: int, classes: int) -> np.ndarray:
     bins = np.full(len(sizes), -1, dtype=np.int64)
     kind = np.minimum(capacity // np.maximum(sizes, 1), classes)
     used, free = 0, []
@@ -115,7 +120,7 @@ def pack_sizes(sizes: np.ndarray, capacity: int = CAPACITY, classes: int = CLASS
     return bins
 
 
-def pack(parts: DataFrame, capacity: int = CAPACITY, classes: int = CLASSES, worker_items: int = WORKER_ITEMS) -> DataFrame:
+def pack(parts: DataFrame, capacity: int = CAPACITY, classes: tuple[int, ...] = CLASSES, worker_items: int = WORKER_ITEMS) -> DataFrame:
     """(container_id, key, part, first_token, tokens) of parts, which must be a written table."""
     workers = max(1, math.ceil(parts.count() / worker_items))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glyphloom.llm import copies, leakage, mixture, packing, repetition, splits, terms, topn
+from glyphloom.llm import consensus, copies, leakage, mixture, packing, repetition, splits, terms, topn
 from glyphloom.session import table
 
 
@@ -80,6 +80,22 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return p6_top(spark, d).select("image_id", "ann_id")
 
 
+def p4_nodes(spark: SparkSession, d: str) -> DataFrame:
+    return consensus.consensus(table(spark, d, "readings")).found()
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return p4_nodes(spark, d).select("image_id", "node_id", "text_normalized")
+
+
+def p4_readers(spark: SparkSession, d: str) -> DataFrame:
+    return consensus.consensus(table(spark, d, "readings")).reliability()
+
+
+def p4_agreement(spark: SparkSession, d: str) -> DataFrame:
+    return consensus.chance_corrected(table(spark, d, "readings"))
+
+
 SHARES = {"train": 0.8, "validation": 0.1, "test": 0.1}
 
 

@@ -192,13 +192,13 @@ def estimate(votes: np.ndarray, counts: np.ndarray, rounds: int = 200, smooth: f
     a rule's accuracies on its side of even odds where there are few votes."""
     voted = votes >= 0
     p = np.where(voted.any(axis=1), (votes == 1).sum(axis=1) / np.maximum(voted.sum(axis=1), 1), 0.1)
-    for _ in range(rounds):
+    for _ in range(rounds if len(counts) else 1):
         w = counts * p
         share = (w.sum() + 1) / (counts.sum() + 2)
         rate = lambda w, up, down: ((w[:, None] * (votes == 1)).sum(axis=0) + up) / ((w[:, None] * voted).sum(axis=0) + up + down)
         found = Accuracies(share, rate(w, 2 * smooth, smooth), rate(counts - w, smooth, 2 * smooth))
         q = found.posterior(votes)
-        done, p = np.abs(q - p).max() < 1e-9, q
+        done, p = np.abs(q - p).max(initial=0.0) < 1e-9, q
         if done:
             break
     return found

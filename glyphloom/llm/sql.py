@@ -31,7 +31,7 @@ _POOL = f"""
          d AS (SELECT t.field_name, p.key, min(t.category) AS category FROM p JOIN t USING (field_name, k) WHERE p.key IS NOT NULL GROUP BY 1, 2),
          n AS (SELECT field_name, category, count(*) AS n FROM d GROUP BY 1, 2),
          s AS (SELECT t.field_name, t.category, coalesce(n.n, 0)::BIGINT AS pool_records,
-                      greatest(ceil(coalesce(target_share, 0) * coalesce(sample_rate, 1) * (SELECT count(*) FROM d WHERE d.field_name = t.field_name)), coalesce(min_rows, 0))::BIGINT AS wanted
+                      greatest(ceil(round(coalesce(target_share, 0) * coalesce(sample_rate, 1) * (SELECT count(*) FROM d WHERE d.field_name = t.field_name), 6)), coalesce(min_rows, 0))::BIGINT AS wanted
                FROM t LEFT JOIN n USING (field_name, category))"""
 
 _COPIES = f"""

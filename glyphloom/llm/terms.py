@@ -68,7 +68,7 @@ def _aggregate(table: pa.Table, sql: str, spill: str | None) -> pa.Table:
     settings = {"threads": 1, "memory_limit": DUCKDB_MEMORY, "preserve_insertion_order": False, "temp_directory": spill or ""}
     with duckdb.connect(config=settings) as db:
         db.register("t", table)
-        return db.execute(sql).to_arrow_table()
+        return db.sql(sql).to_arrow_table()
 
 
 def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
