@@ -1,7 +1,7 @@
 """Boxes, polygons and relations between them, as column expressions.
 
-A box is a struct x1, y1, x2, y2 of pixels; a polygon an array of alternating x and y. Null boxes
-give null results.
+A box is a struct x1, y1, x2, y2 of pixels; a polygon an array of alternating x and y. Boxes must
+have all four sides: greatest and least pass over nulls. The joins of boxes leave out others.
 """
 
 from __future__ import annotations

@@ -146,7 +146,7 @@ def anchor_candidates(nodes: DataFrame, anchors: DataFrame, least: float = 0.08)
     frame = Box(b.x1 - F.col("image_width") * 0.3, b.y1 - F.col("image_height") * 0.2, b.x2 + F.col("image_width") * 0.3, b.y2 + F.col("image_height") * 0.2).struct()
     pairs = near_pairs(nodes.withColumn("frame", frame), anchors, "frame", "box")
     t, a, w, h = Box.of("l.box"), Box.of("r.box"), F.col("l.image_width"), F.col("l.image_height")
-    rows = pairs.select("image_id", "l.node_id", "r.anchor_id", "r.label", "r.score", "r.source", "r.box", F.col("l.box").alias("text_box"), G.area_share(a, w, h).alias("area_share"), G.relation(t, a, w, h).alias("relation"), F.bround(G.relevance(t, G.polygon_center(F.col("l.polygon")), a, w, h), 6).alias("relevance"))
+    rows = pairs.select("image_id", "l.node_id", "r.anchor_id", "r.label", "r.score", "r.source", "r.box", F.col("l.box").alias("text_box"), G.area_share(a, w, h).alias("area_share"), G.relation(t, a, w, h).alias("relation"), G.relevance(t, G.polygon_center(F.col("l.polygon")), a, w, h).alias("relevance"))
     return rows.where((F.col("relation").isNotNull()) & (F.col("relevance") >= least))
 
 

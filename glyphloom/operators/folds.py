@@ -2,21 +2,27 @@
 
 A fold sees the rows of one block in a stated order. A block is an image; of an image with more than
 BLOCK_ROWS rows it is a group of boxes that overlap, directly or through others, since boxes that
-don't can't fall into one cluster. Blocks are pandas frames in one task each.
+don't can't fall into one cluster. Spark shuffles by block and sorts; the fold runs over the sorted
+stream, a block at a time, so a task holds one block and one batch of rows.
+
+Results for odd input: nulls sort first in rising and last in falling order; rows without all four
+sides of the box are left out; equal rows are told apart by the key, which should be unique.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from glyphloom.operators.boxes import near_pairs
 from glyphloom.operators.graph import components
+from glyphloom.session import written
 
 BLOCK_ROWS = 10_000
 
@@ -25,6 +31,7 @@ def blocks(df: DataFrame, key: str, box: str = "box", block_rows: int = BLOCK_RO
     """df with block_id: the image, or in large images the group of overlapping boxes.
 
     At most rows / block_rows images are large; their list is met by a join on the image."""
+    df = written(df.where(" and ".join(f"{box}.{s} is not null" for s in ("x1", "y1", "x2", "y2"))), "boxes")
     large = df.groupBy("image_id").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > block_rows).select("image_id")
     if large.isEmpty():
         return df.withColumn("block_id", F.col("image_id"))
@@ -36,15 +43,71 @@ def blocks(df: DataFrame, key: str, box: str = "box", block_rows: int = BLOCK_RO
     return df.join(large, "image_id", "left_anti").withColumn("block_id", F.col("image_id")).unionByName(named)
 
 
-def fold(df: DataFrame, order: list[tuple[str, bool]], step: Callable[[pd.DataFrame], pd.DataFrame], schema: str | T.StructType) -> DataFrame:
-    """step on every block of df, its rows in the order of (column, ascending); the last columns of
-    the order should leave no ties."""
-    names, ups = [n for n, _ in order], [u for _, u in order]
+class Block:
+    """The rows of a block as lists, in order."""
+
+    def __init__(self, columns: dict[str, list], start: int, end: int):
+        self.columns, self.start, self.end = columns, start, end
+
+    def __len__(self) -> int:
+        return self.end - self.start
+
+    def __getitem__(self, name: str) -> list:
+        return self.columns[name][self.start : self.end]
+
+    def text(self, name: str) -> list[str]:
+        return ["" if x is None else x for x in self[name]]
+
+    def number(self, name: str, default: float = 0.0) -> np.ndarray:
+        return np.nan_to_num(np.array([default if x is None else x for x in self[name]], dtype=float), nan=default)
 
-    def one(block: pd.DataFrame) -> pd.DataFrame:
-        return step(block.sort_values(names, ascending=ups, kind="stable", ignore_index=True))
+    def boxes(self, name: str = "box") -> np.ndarray:
+        return np.array([(b["x1"], b["y1"], b["x2"], b["y2"]) for b in self[name]], dtype=float).reshape(-1, 4)
 
-    return df.groupBy("block_id").applyInPandas(one, schema)
+
+#: A step gives the kept rows, in their new order, and new or changed columns for them.
+Step = Callable[[Block], tuple[list[int], dict[str, list]]]
+
+
+def fold(df: DataFrame, order: list[Column], step: Step, more: str = "") -> DataFrame:
+    """df with the rows that step keeps of every block and the columns it adds (a DDL string)."""
+    columns = df.columns
+    schema = T.StructType([*df.schema.fields, *(T.StructType.fromDDL(more).fields if more else [])])
+
+    def solve(f: pd.DataFrame) -> pd.DataFrame:
+        ids = f["block_id"].to_numpy()
+        ends = np.append(np.flatnonzero(ids[1:] != ids[:-1]) + 1, len(ids)).tolist()
+        lists = {c: f[c].tolist() for c in columns}
+        rows: list[int] = []
+        new: dict[str, list] = {}
+        start = 0
+        for end in ends:
+            kept, changed = step(Block(lists, start, end))
+            rows.extend(start + i for i in kept)
+            for name, values in changed.items():
+                new.setdefault(name, []).extend(values)
+            start = end
+        return f.iloc[rows].assign(**{n: pd.Series(v, dtype=object).to_numpy() for n, v in new.items()})[schema.names]
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        left: list[pd.DataFrame] = []  # of the block that isn't complete
+        for f in frames:
+            if not len(f):
+                continue
+            ids = f["block_id"].to_numpy()
+            if left and left[0]["block_id"].iloc[0] != ids[0]:
+                yield solve(pd.concat(left, ignore_index=True))
+                left = []
+            other = np.flatnonzero(ids != ids[-1])
+            cut = int(other[-1]) + 1 if len(other) else 0
+            if cut:
+                yield solve(pd.concat([*left, f.iloc[:cut]], ignore_index=True))
+                left = []
+            left.append(f.iloc[cut:])
+        if left:
+            yield solve(pd.concat(left, ignore_index=True))
+
+    return df.repartition("block_id").sortWithinPartitions("block_id", *order).mapInPandas(run, schema)
 
 
 class Overlaps:
@@ -71,28 +134,26 @@ class Overlaps:
         return np.maximum(np.minimum(a, b), u)
 
 
-def _boxes(f: pd.DataFrame, column: str = "box") -> np.ndarray:
-    return np.array([[b["x1"], b["y1"], b["x2"], b["y2"]] for b in f[column]], dtype=float).reshape(-1, 4)
+Fits = Callable[[Overlaps, np.ndarray], np.ndarray]
 
 
-def exemplars(f: pd.DataFrame, fits: Callable[[Overlaps, np.ndarray], np.ndarray], same: list[str], column: str = "box") -> np.ndarray:
-    """The cluster of every row: the first whose first member fits it and agrees in the columns
-    ``same``, else one of its own."""
-    boxes, out, firsts = _boxes(f, column), np.zeros(len(f), dtype=int), []
-    keys = list(zip(*(f[c].fillna("").tolist() for c in same))) if same else [()] * len(f)
-    o = Overlaps(len(f))
-    for i, box in enumerate(boxes):
-        fit = np.flatnonzero(fits(o, box)) if o.n else []
-        at = next((c for c in fit if keys[firsts[c]] == keys[i]), None)
+def exemplars(b: Block, fits: Fits, same: list[str]) -> list[list[int]]:
+    """Clusters of rows: each joins the first whose first member fits it and agrees in ``same``."""
+    keys, clusters, o = list(zip(*map(b.text, same))) if same else [()] * len(b), [], Overlaps(len(b))
+    for i, box in enumerate(b.boxes()):
+        fit = np.flatnonzero(fits(o, box)).tolist() if o.n else []
+        at = next((c for c in fit if keys[clusters[c][0]] == keys[i]), None)
         if at is None:
-            at = o.n
-            firsts.append(i)
+            clusters.append([i])
             o.add(box)
-        out[i] = at
-    return out
+        else:
+            clusters[at].append(i)
+    return clusters
+
 
+def like(least: float, iou: float) -> Fits:
+    """Mutual overlap of at least ``least``, or intersection over union of at least ``iou``."""
 
-def _like(least: float, iou: float) -> Callable[[Overlaps, np.ndarray], np.ndarray]:
     def fits(o: Overlaps, box: np.ndarray) -> np.ndarray:
         a, b, u = o.measure(box)
         return (np.minimum(a, b) >= least) | (u >= iou)
@@ -100,222 +161,251 @@ def _like(least: float, iou: float) -> Callable[[Overlaps, np.ndarray], np.ndarr
     return fits
 
 
-def _with(schema: T.StructType, *more: str) -> T.StructType:
-    out = T.StructType(list(schema.fields))
-    for m in more:
-        name, kind = m.split(" ", 1)
-        out = out.add(name, kind)
-    return out
+def distinct_by(b: Block, duplicate: Callable[[Overlaps, np.ndarray, list[int], int], bool]) -> list[int]:
+    """Rows that are no duplicate of one kept before."""
+    kept, o = [], Overlaps(len(b))
+    for i, box in enumerate(b.boxes()):
+        if not (o.n and duplicate(o, box, kept, i)):
+            o.add(box)
+            kept.append(i)
+    return kept
+
+
+def _area(box: str = "box", least: float = 0.0) -> Column:
+    side = lambda n: F.greatest(F.col(f"{box}.{n}2") - F.col(f"{box}.{n}1"), F.lit(least))
+    return side("x") * side("y")
 
 
 def merge_detections(df: DataFrame, least: float = 0.62, most: int = 128) -> DataFrame:
     """Detections of several detectors, merged: each, most confident first, goes into the kept box
     most like it, which grows to hold both; sources (an array column) are united. At most ``most``
-    an image. df: image_id, key, box, confidence, sources."""
-    d = blocks(df, "key")
-
-    def step(f: pd.DataFrame) -> pd.DataFrame:
-        o, kept, confidence, sources = Overlaps(len(f)), [], [], []
-        for i, box in enumerate(_boxes(f)):
-            like = o.alike(box) if o.n else np.zeros(0)
-            at = int(like.argmax()) if len(like) and like.max() >= least else -1
+    of an image, those kept first; number counts them. df: image_id, key, box, confidence, sources."""
+
+    def step(b: Block) -> tuple[list[int], dict[str, list]]:
+        o, kept, confidence, sources = Overlaps(len(b)), [], [], []
+        conf, names = b.number("confidence"), b["sources"]
+        for i, box in enumerate(b.boxes()):
+            score = o.alike(box) if o.n else np.zeros(0)
+            at = int(score.argmax()) if len(score) and score.max() >= least else -1
             if at < 0:
                 o.add(box)
                 kept.append(i)
-                confidence.append(f["confidence"][i])
-                sources.append(list(dict.fromkeys(f["sources"][i])))
+                confidence.append(float(conf[i]))
+                sources.append(list(dict.fromkeys(names[i])))
                 continue
-            b = o.kept[at]
-            o.kept[at] = np.round([min(b[0], box[0]), min(b[1], box[1]), max(b[2], box[2]), max(b[3], box[3])], 2)
-            confidence[at] = max(confidence[at], f["confidence"][i])
-            sources[at] = list(dict.fromkeys([*sources[at], *f["sources"][i]]))
-        rows = f.iloc[kept].assign(box=[dict(zip(("x1", "y1", "x2", "y2"), b)) for b in o.kept[: o.n].tolist()], confidence=confidence, sources=sources)
-        return rows.assign(number=range(1, len(rows) + 1))[: most if f["block_id"][0] == f["image_id"][0] else None]
+            k = o.kept[at]
+            o.kept[at] = np.round([*np.minimum(k[:2], box[:2]), *np.maximum(k[2:], box[2:])], 2)
+            confidence[at] = max(confidence[at], float(conf[i]))
+            sources[at] = list(dict.fromkeys([*sources[at], *names[i]]))
+        grown = [dict(zip(("x1", "y1", "x2", "y2"), k)) for k in o.kept[: o.n].tolist()]
+        return kept, {"box": grown, "confidence": confidence, "sources": sources, "_n": list(range(1, len(kept) + 1))}
 
-    area = (F.col("box.x2") - F.col("box.x1")) * (F.col("box.y2") - F.col("box.y1"))
-    d = d.withColumn("_area", F.greatest(area, F.lit(0.0)))
-    return fold(d, [("confidence", False), ("_area", False), ("key", True)], step, _with(d.schema, "number int")).drop("_area", "block_id")
+    from pyspark.sql import Window
+
+    out = fold(blocks(df, "key"), [F.desc("confidence"), F.desc(_area()), F.asc("key")], step, "_n int")
+    # blocks of one image are numbered through in the order in which their boxes were kept
+    w = Window.partitionBy("image_id").orderBy(F.desc("confidence"), "block_id", "_n")
+    return out.withColumn("number", F.row_number().over(w)).where(F.col("number") <= most).drop("_n", "block_id")
 
 
 def dedupe_anchors(df: DataFrame, least: float = 0.85) -> DataFrame:
     """Anchors without those that a better one of the same label covers and is covered by. df:
     image_id, key, label, box, score."""
-    d = blocks(df, "key")
-
-    def step(f: pd.DataFrame) -> pd.DataFrame:
-        o, kept, labels = Overlaps(len(f)), [], f["label"].fillna("").tolist()
-        for i, box in enumerate(_boxes(f)):
-            if o.n:
-                a, b, _ = o.measure(box)
-                if any(labels[kept[j]] == labels[i] for j in np.flatnonzero((a >= least) & (b >= least))):
-                    continue
-            o.add(box)
-            kept.append(i)
-        return f.iloc[kept]
 
-    return fold(d, [("score", False), ("label", True), ("key", True)], step, d.schema).drop("block_id")
+    def step(b: Block) -> tuple[list[int], dict[str, list]]:
+        labels = b.text("label")
+
+        def duplicate(o: Overlaps, box: np.ndarray, kept: list[int], i: int) -> bool:
+            x, y, _ = o.measure(box)
+            return any(labels[kept[j]] == labels[i] for j in np.flatnonzero((x >= least) & (y >= least)))
+
+        return distinct_by(b, duplicate), {}
+
+    return fold(blocks(df, "key"), [F.desc("score"), F.asc("label"), F.asc("key")], step).drop("block_id")
 
 
 def dedupe_nodes(df: DataFrame, least: float = 0.74, iou: float = 0.60) -> DataFrame:
     """Text nodes without those whose box is like a better one's and whose text is part of its text,
     or it of theirs. df: image_id, key, box, text, text_normalized, confidence."""
-    d = blocks(df, "key").withColumn("_length", F.length(F.coalesce("text", F.lit("")))).withColumn("_area", F.greatest(F.col("box.x2") - F.col("box.x1"), F.lit(1.0)) * F.greatest(F.col("box.y2") - F.col("box.y1"), F.lit(1.0)))
-    fits = _like(least, iou)
-
-    def step(f: pd.DataFrame) -> pd.DataFrame:
-        o, kept, texts = Overlaps(len(f)), [], f["text_normalized"].fillna("").tolist()
-        for i, box in enumerate(_boxes(f)):
-            t = texts[i]
-            near = np.flatnonzero(fits(o, box)) if o.n and t else []
-            if any(texts[kept[j]] and (t in texts[kept[j]] or texts[kept[j]] in t) for j in near):
-                continue
-            o.add(box)
-            kept.append(i)
-        return f.iloc[kept]
+    fits = like(least, iou)
+
+    def step(b: Block) -> tuple[list[int], dict[str, list]]:
+        texts = b.text("text_normalized")
+
+        def duplicate(o: Overlaps, box: np.ndarray, kept: list[int], i: int) -> bool:
+            near = (texts[kept[j]] for j in np.flatnonzero(fits(o, box)))
+            return bool(texts[i]) and any(t and (t in texts[i] or texts[i] in t) for t in near)
 
-    return fold(d, [("confidence", False), ("_length", False), ("_area", False), ("key", True)], step, d.schema).drop("block_id", "_length", "_area")
+        return distinct_by(b, duplicate), {}
+
+    order = [F.desc("confidence"), F.desc(F.length(F.coalesce("text", F.lit("")))), F.desc(_area(least=1.0)), F.asc("key")]
+    return fold(blocks(df, "key"), order, step).drop("block_id")
 
 
 def relabel_groups(df: DataFrame, conflict: float = 0.78) -> DataFrame:
     """df with group_no: tuples of one relation whose anchors are like the group's first. df: image_id,
     key, relation, box, anchor_score."""
-    d = blocks(df, "key")
+    fits = like(conflict, max(0.55, conflict - 0.08))
 
-    def step(f: pd.DataFrame) -> pd.DataFrame:
-        return f.assign(group_no=exemplars(f, _like(conflict, max(0.55, conflict - 0.08)), ["relation"]))
+    def step(b: Block) -> tuple[list[int], dict[str, list]]:
+        clusters = exemplars(b, fits, ["relation"])
+        return list(chain.from_iterable(clusters)), {"group_no": [n for n, c in enumerate(clusters, 1) for _ in c]}
 
-    return fold(d, [("relation", True), ("anchor_score", False), ("key", True)], step, _with(d.schema, "group_no int")).drop("block_id")
+    return fold(blocks(df, "key"), [F.asc("relation"), F.desc("anchor_score"), F.asc("key")], step, "group_no int").drop("block_id")
 
 
 def consolidate(df: DataFrame, plain: tuple[str, ...], conflict: float = 0.78) -> DataFrame:
     """Candidates for the same thing as one row each: the label with the most weight, its best row,
     the other labels and how many there were. df: image_id, key, relation, box, label (clean),
     selection_score, score, support_count, source."""
-    d = blocks(df, "key")
-
-    def step(f: pd.DataFrame) -> pd.DataFrame:
-        cluster, out = exemplars(f, _like(conflict, max(0.55, conflict - 0.10)), ["relation"]), []
-        specific = ~f["label"].isin(plain)
-        words = f["label"].str.split().str.len()
-        weight = f["selection_score"].fillna(0) + 0.10 * f["support_count"].fillna(1).clip(lower=1) + 0.08 * specific + 0.04 * (words >= 2) + 0.03 * (f["source"] == "florence_region")
-        for _, rows in f.groupby(cluster, sort=True):
-            vote = weight[rows.index].groupby(rows["label"]).sum()
-            label = max(vote.index, key=lambda x: (vote[x], x not in plain, len(x.split()), x))
-            best = rows[rows["label"] == label].sort_values(["selection_score", "score"], ascending=False, kind="stable").iloc[0].to_dict()
-            labels = sorted(vote.index)
-            out.append(best | {"alternate_labels": labels, "label_conflict_count": len(labels) - 1, "cluster_size": len(rows), "support_count": max(int(best["support_count"] or 1), len(rows))})
-        return pd.DataFrame(out)
-
-    return fold(d, [("selection_score", False), ("score", False), ("label", True), ("key", True)], step, _with(d.schema, "alternate_labels array<string>", "label_conflict_count int", "cluster_size int")).drop("block_id")
+    fits = like(conflict, max(0.55, conflict - 0.10))
+
+    def step(b: Block) -> tuple[list[int], dict[str, list]]:
+        labels, chosen, score, support, source = b.text("label"), b.number("selection_score"), b.number("score"), b.number("support_count", 1.0), b.text("source")
+        weight = [chosen[i] + 0.10 * max(support[i], 1.0) + 0.08 * (x not in plain) + 0.04 * (len(x.split()) >= 2) + 0.03 * (source[i] == "florence_region") for i, x in enumerate(labels)]
+        kept, new = [], {n: [] for n in ("alternate_labels", "label_conflict_count", "cluster_size", "support_count")}
+        for rows in exemplars(b, fits, ["relation"]):
+            vote: dict[str, float] = {}
+            for i in rows:
+                vote[labels[i]] = vote.get(labels[i], 0.0) + weight[i]
+            label = max(vote, key=lambda x: (vote[x], x not in plain, len(x.split()), x))
+            kept.append(max((i for i in rows if labels[i] == label), key=lambda i: (chosen[i], score[i], -i)))
+            for n, v in zip(new, (sorted(vote), len(vote) - 1, len(rows), max(int(support[kept[-1]]), len(rows)))):
+                new[n].append(v)
+        return kept, new
+
+    order = [F.desc("selection_score"), F.desc("score"), F.asc("label"), F.asc("key")]
+    return fold(blocks(df, "key"), order, step, "alternate_labels array<string>, label_conflict_count int, cluster_size int").drop("block_id")
 
 
 def anchor_clusters(df: DataFrame, least: float = 0.1) -> DataFrame:
-    """(image_id, cluster_no, box, label, member_keys, labels): texts that stand on like anchors, with
-    the box around them and the best anchor's label. df: image_id, key, box (the anchor's), label,
+    """One row, that of the best anchor, for texts that stand on like anchors: with cluster_no, the
+    box around them, their keys and distinct labels. df: image_id, key, box (the anchor's), label,
     selection_score, score."""
-    d = blocks(df, "key")
 
-    def step(f: pd.DataFrame) -> pd.DataFrame:
-        cluster, boxes, out = exemplars(f, lambda o, b: o.alike(b) >= least, []), _boxes(f), []
-        for c in range(cluster.max() + 1 if len(f) else 0):
-            at = np.flatnonzero(cluster == c)
-            best = f.iloc[at].sort_values(["selection_score", "score"], ascending=False, kind="stable").iloc[0]
-            lo, hi = boxes[at].min(axis=0), boxes[at].max(axis=0)
-            labels = list(dict.fromkeys(x for x in f["label"].iloc[at] if x and x.strip()))
-            out.append((f["image_id"][0], c + 1, dict(x1=lo[0], y1=lo[1], x2=hi[2], y2=hi[3]), best["label"], f["key"].iloc[at].astype(str).tolist(), labels))
-        return pd.DataFrame(out, columns=["image_id", "cluster_no", "box", "label", "member_keys", "labels"])
+    def step(b: Block) -> tuple[list[int], dict[str, list]]:
+        boxes, labels, keys, chosen, score = b.boxes(), b.text("label"), b["key"], b.number("selection_score"), b.number("score")
+        kept, new = [], {n: [] for n in ("box", "cluster_no", "member_keys", "labels")}
+        for n, rows in enumerate(exemplars(b, lambda o, box: o.alike(box) >= least, []), 1):
+            kept.append(max(rows, key=lambda i: (chosen[i], score[i], -i)))
+            lo, hi = boxes[rows].min(axis=0).tolist(), boxes[rows].max(axis=0).tolist()
+            new["box"].append({"x1": lo[0], "y1": lo[1], "x2": hi[2], "y2": hi[3]})
+            new["cluster_no"].append(n)
+            new["member_keys"].append([str(keys[i]) for i in rows])
+            new["labels"].append(list(dict.fromkeys(labels[i] for i in rows if labels[i].strip())))
+        return kept, new
 
-    return fold(d, [("score", False), ("label", True), ("key", True)], step, "image_id string, cluster_no int, box struct<x1: double, y1: double, x2: double, y2: double>, label string, member_keys array<string>, labels array<string>")
+    order = [F.desc("score"), F.asc("label"), F.asc("key")]
+    return fold(blocks(df, "key"), order, step, "cluster_no int, member_keys array<string>, labels array<string>").drop("block_id")
 
 
 def merge_passes(df: DataFrame, iou: float = 0.55, least_passes: int = 1) -> DataFrame:
     """Inventories of several passes as one: boxes of one label that are like the cluster's first;
     clusters seen in too few passes are dropped, more passes raise the score. df: image_id, key,
     pass_index, label, raw_label, box, score."""
-    d = blocks(df.where("coalesce(label, '') <> ''"), "key")
 
-    def step(f: pd.DataFrame) -> pd.DataFrame:
-        cluster, out = exemplars(f, lambda o, b: o.measure(b)[2] >= iou, ["label"]), []
-        for _, rows in f.groupby(cluster, sort=True):
-            n = rows["pass_index"].nunique()
-            if n < max(1, least_passes):
-                continue
-            best = rows.sort_values(["score", "raw_label"], ascending=False, kind="stable").iloc[0].to_dict()
-            labels = sorted({str(r or x).strip() for r, x in zip(rows["raw_label"], rows["label"])} - {""})
-            out.append(best | {"score": round(best["score"] + 0.03 * (n - 1), 4), "pass_support_count": n, "alternate_labels": labels})
-        return pd.DataFrame(out, columns=[*f.columns, "pass_support_count", "alternate_labels"])
+    def step(b: Block) -> tuple[list[int], dict[str, list]]:
+        passes, label, raw, score = b["pass_index"], b.text("label"), b.text("raw_label"), b.number("score")
+        kept, new = [], {n: [] for n in ("score", "pass_support_count", "alternate_labels")}
+        for rows in exemplars(b, lambda o, box: o.measure(box)[2] >= iou, ["label"]):
+            n = len({passes[i] for i in rows})
+            if n >= max(1, least_passes):
+                kept.append(max(rows, key=lambda i: (score[i], raw[i], -i)))
+                new["score"].append(round(float(score[kept[-1]]) + 0.03 * (n - 1), 4))
+                new["pass_support_count"].append(n)
+                new["alternate_labels"].append(sorted({(raw[i] or label[i]).strip() for i in rows} - {""}))
+        return kept, new
 
-    return fold(d, [("score", False), ("label", True), ("key", True)], step, _with(d.schema, "pass_support_count int", "alternate_labels array<string>")).drop("block_id")
+    order = [F.desc("score"), F.asc("label"), F.asc("key")]
+    return fold(blocks(df.where("coalesce(label, '') <> ''"), "key"), order, step, "pass_support_count int, alternate_labels array<string>").drop("block_id")
 
 
 def lines_of(cy: np.ndarray, height: np.ndarray, tolerance: Callable[[float, float], float]) -> list[list[int]]:
     """Rows given from top to bottom, as lines: each joins the first line whose mean centre is near
     enough. tolerance: of the row's height and the line's mean height."""
     lines: list[list[int]] = []
-    for i in range(len(cy)):
-        for line in lines:
-            if abs(cy[i] - cy[line].mean()) <= tolerance(height[i], height[line].mean()):
-                line.append(i)
-                break
-        else:
+    sums: list[list[float]] = []  # of a line: rows, centres, heights
+    for i, (y, h) in enumerate(zip(cy.tolist(), height.tolist())):
+        at = next((k for k, (n, ys, hs) in enumerate(sums) if abs(y - ys / n) <= tolerance(h, hs / n)), None)
+        if at is None:
             lines.append([i])
+            sums.append([1, y, h])
+        else:
+            lines[at].append(i)
+            sums[at] = [sums[at][0] + 1, sums[at][1] + y, sums[at][2] + h]
     return lines
 
 
+def _centers(b: Block, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    k = b.boxes()
+    return (k[:, 0] + k[:, 2]) / 2, (k[:, 1] + k[:, 3]) / 2, np.maximum(k[:, 3] - k[:, 1], least)
+
+
+def _downwards() -> list[Column]:
+    return [F.asc(F.col("box.y1") + F.col("box.y2")), F.asc(F.col("box.x1") + F.col("box.x2")), F.asc("key")]
+
+
 def reading_order(df: DataFrame, group: str = "group_id") -> DataFrame:
     """df (image_id, group, key, box) with position: rows by their centres' height within 0.6 of the
     upper median height, from left to right in each row."""
-    d = df.withColumn("block_id", F.concat_ws("\u0001", "image_id", group)).withColumns({"_cy": (F.col("box.y1") + F.col("box.y2")) / 2, "_cx": (F.col("box.x1") + F.col("box.x2")) / 2, "_h": F.greatest(F.col("box.y2") - F.col("box.y1"), F.lit(1.0))})
 
-    def step(f: pd.DataFrame) -> pd.DataFrame:
-        h = f["_h"].to_numpy()
+    def step(b: Block) -> tuple[list[int], dict[str, list]]:
+        x, y, h = _centers(b, 1.0)
         reach = max(0.6 * np.sort(h)[len(h) // 2], 2.0)
-        lines = lines_of(f["_cy"].to_numpy(), h, lambda *_: reach)
-        order = [i for line in lines for i in sorted(line, key=lambda i: f["_cx"][i])]
-        return f.iloc[order].assign(position=range(1, len(f) + 1))
+        order = [i for line in lines_of(y, h, lambda *_: reach) for i in sorted(line, key=lambda i: x[i])]
+        return order, {"position": list(range(1, len(order) + 1))}
 
-    return fold(d, [("_cy", True), ("_cx", True), ("key", True)], step, _with(d.schema, "position int")).drop("block_id", "_cy", "_cx", "_h")
+    d = df.where("box is not null").withColumn("block_id", F.concat_ws("\u0001", "image_id", group))
+    return fold(d, _downwards(), step, "position int").drop("block_id")
 
 
 def text_lines(df: DataFrame) -> DataFrame:
     """df (image_id, key, box) with line_no and position in it: nodes on one level, by their centres
-    within 0.65 of the height, from left to right."""
-    d = blocks(df, "key").withColumns({"_cy": (F.col("box.y1") + F.col("box.y2")) / 2, "_cx": (F.col("box.x1") + F.col("box.x2")) / 2, "_h": F.greatest(F.col("box.y2") - F.col("box.y1"), F.lit(1e-6))})
+    within 0.65 of the height, from left to right. Levels need the whole image, so it is one block;
+    a task holds the nodes of one image."""
 
-    def step(f: pd.DataFrame) -> pd.DataFrame:
-        lines = lines_of(f["_cy"].to_numpy(), f["_h"].to_numpy(), lambda own, line: 0.65 * max(own, line))
-        rows = [(i, n, p) for n, line in enumerate(lines, 1) for p, i in enumerate(sorted(line, key=lambda i: f["_cx"][i]), 1)]
-        at, no, position = zip(*rows)
-        return f.iloc[list(at)].assign(line_no=no, position=position)
+    def step(b: Block) -> tuple[list[int], dict[str, list]]:
+        x, y, h = _centers(b, 1e-6)
+        lines = [sorted(line, key=lambda i: x[i]) for line in lines_of(y, h, lambda own, line: 0.65 * max(own, line))]
+        return list(chain.from_iterable(lines)), {"line_no": [n for n, line in enumerate(lines, 1) for _ in line], "position": [p for line in lines for p in range(1, len(line) + 1)]}
 
-    return fold(d, [("_cy", True), ("_cx", True), ("key", True)], step, _with(d.schema, "line_no int", "position int")).drop("_cy", "_cx", "_h")
+    return fold(df.where("box is not null").withColumn("block_id", F.col("image_id")), _downwards(), step, "line_no int, position int").drop("block_id")
 
 
 def greedy_selection(df: DataFrame, target: int, bonus: dict[str, float] | None = None, cap: int = 2, penalty: float = 0.15, diversity: float = 0.0) -> DataFrame:
     """At most target candidates an image: each pick is the best by quality with a bonus for unread
     text (1.7), an unused question type (1.1) and ``bonus`` by type, less for capped labels used
-    ``cap`` times; first by (-quality, candidate_id) on ties. df: image_id, candidate_id, quality,
-    question_type, text_key, label, capped. Candidates of an image are few; large ones are no block."""
+    ``cap`` times; the first by (-quality, candidate_id) on ties. df: image_id, candidate_id, quality,
+    question_type, text_key, label, capped.
+
+    A pick depends on the picks before it, so an image is one block. Only its best candidates of
+    each text, type and label can be picked: at most ``target`` of each go into the fold."""
+    from pyspark.sql import Window
+
     extra = {"DIRECT_READ": 0.25} | (bonus or {})
-    d = df.withColumn("block_id", F.col("image_id"))
-
-    def step(f: pd.DataFrame) -> pd.DataFrame:
-        if len(f) <= target:
-            return f.assign(pick=range(1, len(f) + 1))
-        quality = f["quality"].to_numpy() + f["question_type"].map(extra).fillna(0).to_numpy()
-        kinds, texts, labels = (f[c].fillna("").to_numpy() for c in ("question_type", "text_key", "label"))
-        capped, picked = f["capped"].fillna(False).to_numpy(dtype=bool), []
-        used_kind, used_text, used_label = set(), set(), {}
-        left = np.ones(len(f), dtype=bool)
+
+    def step(b: Block) -> tuple[list[int], dict[str, list]]:
+        n = len(b)
+        if n <= target:
+            return list(range(n)), {"pick": list(range(1, n + 1))}
+        kinds, texts, labels, capped = b.text("question_type"), b.text("text_key"), b.text("label"), [bool(x) for x in b["capped"]]
+        quality = b.number("quality") + np.array([extra.get(k, 0.0) for k in kinds])
+        used: dict[str, dict[str, int]] = {"kind": {}, "text": {}, "label": {}}
+        left, picked = set(range(n)), []
+
+        def score(i: int) -> tuple[float, int]:
+            often = used["label"].get(labels[i], 0)
+            gain = 1.7 * (texts[i] not in used["text"]) + 1.1 * (kinds[i] not in used["kind"]) + diversity * (often == 0 and labels[i] != "")
+            return quality[i] + gain - penalty * (capped[i] and 0 < cap <= often), -i
+
         while len(picked) < target:
-            n = np.array([used_label.get(x, 0) for x in labels])
-            score = quality + 1.7 * ~np.isin(texts, list(used_text)) + 1.1 * ~np.isin(kinds, list(used_kind)) + diversity * ((n == 0) & (labels != "")) - penalty * (capped & (n >= cap) & (cap > 0))
-            i = int(np.where(left, score, -np.inf).argmax())
-            left[i] = False
+            i = max(left, key=score)
+            left.remove(i)
             picked.append(i)
-            used_kind.add(kinds[i])
-            used_text.add(texts[i])
-            used_label[labels[i]] = used_label.get(labels[i], 0) + 1
-        return f.iloc[picked].assign(pick=range(1, len(picked) + 1))
+            for name, value in (("kind", kinds[i]), ("text", texts[i]), ("label", labels[i])):
+                used[name][value] = used[name].get(value, 0) + 1
+        return picked, {"pick": list(range(1, target + 1))}
 
-    return fold(d, [("quality", False), ("candidate_id", True)], step, _with(d.schema, "pick int")).drop("block_id")
+    w = Window.partitionBy("image_id", "question_type", "text_key", "label", "capped").orderBy(F.desc("quality"), "candidate_id")
+    d = df.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= target).drop("_r").withColumn("block_id", F.col("image_id"))
+    return fold(d, [F.desc("quality"), F.asc("candidate_id")], step, "pick int").drop("block_id")

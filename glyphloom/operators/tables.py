@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from glyphloom.operators.skew import lookup_join
+from glyphloom.session import written
+
 
 def subset(df: DataFrame, ids: DataFrame, key: str = "image_id") -> DataFrame:
     """The rows of the given ids. ids may repeat."""
@@ -98,6 +103,14 @@ def rates(df: DataFrame, by: list[str], flags: dict[str, Column]) -> DataFrame:
     return named.rollup(*by).agg(F.count(F.lit(1)).alias("rows"), *(F.bround(F.avg(n), 6).alias(n) for n in flags))
 
 
+def mapped(df: DataFrame, column: str, function: Callable[[Column], Column], name: str) -> DataFrame:
+    """df with function of the column as ``name``, computed once for every distinct value.
+
+    For costly functions of columns with few values. Rows of heavy values meet theirs by broadcast."""
+    values = written(df.select(F.col(column).alias(column)).where(F.col(column).isNotNull()).distinct().withColumn(name, function(F.col(column))), "values")
+    return lookup_join(df, values, [column], "left")
+
+
 def unique_in(df: DataFrame, keys: list[str]) -> Column:
     """Whether a row is the only one of its keys."""
     return F.count(F.lit(1)).over(Window.partitionBy(*keys)) == 1

@@ -1,10 +1,567 @@
-"""The registry of the core queries: name to (spark, folder of the tables) -> DataFrame."""
+"""The core queries: name to (spark, folder of the tables) -> DataFrame, with the same result in SQL.
+
+Each runs one operator over its whole tables. Where SQL cannot state the operator, a test compares
+it with a plain restatement on small tables.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from glyphloom.functions import bins as B
+from glyphloom.functions import geometry as G
+from glyphloom.functions import labels as L
+from glyphloom.functions import normalize as N
+from glyphloom.functions import scoring as S
+from glyphloom.functions.geometry import Box
+from glyphloom.operators import agreement, boxes, folds, quality, rescue, tables, votes
+from glyphloom.plans import sqltext as X
+from glyphloom.plans import views as V
+from glyphloom.session import table, written
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+# consensus of recognisers
+
+_VOTES = f"""
+    votes AS (SELECT image_id, node_id, model_name, coalesce(m.text, '') AS text, coalesce(m.c, 0.0) AS c, {X.plain("m.text")} AS norm
+              FROM (SELECT image_id, node_id, model_name, arg_max({{'text': coalesce(text, ''), 'c': CASE WHEN isnan(confidence) THEN NULL WHEN confidence > 1 THEN confidence / 100 ELSE confidence END}}, (read_at, coalesce(text, ''))) AS m
+                    FROM readings WHERE image_id IS NOT NULL AND node_id IS NOT NULL AND model_name IS NOT NULL GROUP BY 1, 2, 3)),
+    v AS (SELECT *, round_even(c, 6) AS conf FROM votes),
+    n AS (SELECT image_id, node_id, max(conf) AS most, count(DISTINCT nullif(norm, '')) AS texts FROM v GROUP BY 1, 2),
+    g AS (SELECT image_id, node_id, norm, count(*) AS n, min(conf) AS least, max(conf) AS most, min(model_name) AS first, arg_max(text, (conf, model_name)) AS text
+          FROM v WHERE norm <> '' GROUP BY 1, 2, 3),
+    t AS (SELECT DISTINCT ON (image_id, node_id) * FROM g ORDER BY image_id, node_id, n DESC, most DESC, first),
+    p AS (SELECT a.image_id, a.node_id, a.model_name AS m1, b.model_name AS m2, CASE WHEN length(a.norm) >= length(b.norm) THEN a.text ELSE b.text END AS longer,
+                 CASE WHEN (a.conf, a.model_name) >= (b.conf, b.model_name) THEN {{'text': a.text, 'norm': a.norm, 'conf': a.conf}} ELSE {{'text': b.text, 'norm': b.norm, 'conf': b.conf}} END AS best
+          FROM v a JOIN v b ON a.image_id = b.image_id AND a.node_id = b.node_id AND a.model_name < b.model_name
+          WHERE a.norm <> '' AND b.norm <> '' AND levenshtein(a.norm, b.norm) = 1 AND greatest(length(a.norm), length(b.norm)) >= 8),
+    r AS (SELECT DISTINCT ON (image_id, node_id) * FROM p WHERE {X.valid("longer")} AND NOT regexp_full_match({X.compact("longer")}, '\\p{{Nd}}+') ORDER BY image_id, node_id, m1, m2),
+    k AS (SELECT n.image_id, n.node_id, n.most, t.text, t.norm, t.least, t.most AS top, r.best,
+                 CASE WHEN texts = 1 AND t.n >= 3 AND t.least >= 0.8 AND {X.valid("t.text")} THEN 'strong_consensus' WHEN texts = 1 THEN 'invalid_text_or_low_confidence'
+                      WHEN t.n >= 2 AND t.least >= 0.85 AND {X.valid("t.text")} THEN 'standard_consensus' WHEN r.best IS NOT NULL THEN 'edit_rescue'
+                      WHEN n.most < 0.6 THEN 'low_confidence' ELSE 'full_disagreement' END AS o
+          FROM n LEFT JOIN t USING (image_id, node_id) LEFT JOIN r USING (image_id, node_id)),
+    c AS (SELECT image_id, node_id, o LIKE '%consensus' OR o = 'edit_rescue' AS accepted,
+                 CASE WHEN o LIKE '%consensus' THEN text WHEN o = 'edit_rescue' THEN best.text ELSE '' END AS text,
+                 CASE WHEN o LIKE '%consensus' THEN norm WHEN o = 'edit_rescue' THEN best.norm ELSE '' END AS text_normalized,
+                 CASE WHEN o LIKE '%consensus' THEN least WHEN o = 'edit_rescue' THEN best.conf WHEN o = 'invalid_text_or_low_confidence' THEN top ELSE most END AS confidence,
+                 CASE WHEN o LIKE '%consensus' OR o = 'edit_rescue' THEN o ELSE 'dropped' END AS consensus_tier,
+                 CASE WHEN o LIKE '%consensus' OR o = 'edit_rescue' THEN NULL ELSE o END AS failure_reason
+          FROM k)"""
+
+
+@query(f"WITH {_VOTES} SELECT image_id, node_id, accepted, text, text_normalized, confidence, consensus_tier, failure_reason FROM c")
+def consensus_vote(spark: SparkSession, d: str) -> DataFrame:
+    return votes.consensus(V.votes(spark, d)).drop("model_votes")
+
+
+@query(
+    f"""WITH {_VOTES}, {V.NODES}, j AS (SELECT n.image_id, n.node_id, n.source_dataset, c.accepted, c.text, coalesce(c.consensus_tier, 'dropped') AS tier,
+            CASE WHEN c.accepted IS NULL THEN 'no_votes' WHEN c.accepted AND NOT {X.valid("c.text")} THEN 'invalid_text' WHEN c.accepted AND regexp_full_match({X.compact(X.plain("c.text"))}, '1{{4,}}|l{{4,}}|i{{4,}}') THEN 'degenerate_repeat_junk' ELSE c.failure_reason END AS reason
+            FROM nodes n LEFT JOIN c USING (image_id, node_id)),
+        l AS (SELECT *, length({X.strip("text")}) AS len FROM j)
+        SELECT 'tier' AS measure, tier AS value, count(*) AS rows FROM l GROUP BY 2 UNION ALL SELECT 'reason', reason, count(*) FROM l WHERE reason IS NOT NULL GROUP BY 2
+        UNION ALL SELECT 'source', coalesce(source_dataset, 'unknown'), count(*) FROM l GROUP BY 2
+        UNION ALL SELECT 'length', CASE WHEN len <= 1 THEN 'single_char' WHEN len <= 4 THEN 'short_2-4' WHEN len <= 10 THEN 'medium_5-10' ELSE 'long_11+' END, count(*) FROM l WHERE accepted AND reason IS NULL GROUP BY 2"""
+)
+def consensus_stats(spark: SparkSession, d: str) -> DataFrame:
+    detections = V.nodes(spark, d).select("image_id", "node_id", "source_dataset")
+    return votes.consensus_stats(votes.node_consensus(detections, V.votes(spark, d)), "source_dataset")
+
+
+@query(
+    f"WITH v AS (SELECT image_id, node_id, CASE WHEN isnan(confidence) THEN NULL WHEN confidence > 1 THEN confidence / 100 ELSE confidence END AS c FROM readings) SELECT image_id, node_id, round(coalesce(exp(avg(ln(greatest(c, 1e-6)))), 0.0), 6) AS confidence FROM v GROUP BY 1, 2"
+)
+def reading_confidence(spark: SparkSession, d: str) -> DataFrame:
+    c = F.col("confidence")
+    share = F.when(F.isnan(c), F.lit(None)).when(c > 1, c / 100).otherwise(c)
+    return table(spark, d, "readings").groupBy("image_id", "node_id").agg(F.round(votes.geometric_mean(share), 6).alias("confidence"))
+
+
+# text functions
+
+
+@query(
+    f"""SELECT doc_id, md5({X.plain("text")}) AS plain, md5({X.vqa("text")}) AS vqa, md5({X.text_answer("text")}) AS said, {X.valid("text")} AS valid, {X.blocked("text")} AS blocked,
+        {X.case_tag("text")} AS case_tag, {X.text_kind("text")} AS text_kind FROM documents"""
+)
+def text_normal_forms(spark: SparkSession, d: str) -> DataFrame:
+    t = F.col("text")
+    return table(spark, d, "documents").select("doc_id", F.md5(N.plain_answer(t)).alias("plain"), F.md5(N.vqa_answer(t)).alias("vqa"), F.md5(N.text_answer(t)).alias("said"), N.valid_text(t).alias("valid"), N.blocked_answer(t).alias("blocked"), N.case_tag(t).alias("case_tag"), N.text_kind(t).alias("text_kind"))
+
+
+@query(f"WITH {V.SAMPLES} SELECT sample_id, {X.by_type('answer', 'answer_type')} AS normal, {X.plain('answer')} AS plain, {X.valid('answer')} AS valid FROM samples")
+def answer_normal_forms(spark: SparkSession, d: str) -> DataFrame:
+    return V.samples(spark, d).select("sample_id", N.answer_by_type(F.col("answer"), F.col("answer_type")).alias("normal"), N.plain_answer(F.col("answer")).alias("plain"), N.valid_text(F.col("answer")).alias("valid"))
+
+
+_LOW = r"trim(regexp_replace(regexp_replace(lower(coalesce(anchor_label, '')), '[^a-z0-9\s-]+', ' ', 'g'), '\s+', ' ', 'g'))"
+_COLORS = sorted(L.COLORS, key=lambda w: (-len(w), w))
+
+
+def _label_sql() -> str:
+    def holds(words: tuple[str, ...]) -> str:
+        return "(" + " OR ".join(f"contains(low, {X.q(w)})" for w in words) + ")"
+
+    rules = []
+    for groups, result in L.LABEL_RULES:
+        value = f"prefix || {X.q(result[7:])}" if result.startswith("{color}") else X.q(result)
+        rules.append(f"WHEN {' AND '.join(map(holds, groups))} THEN {value}")
+    term = lambda s, words: f"[w FOR w IN {X.listed(words)} IF regexp_matches({s}, '\\b' || w || '\\b')][1]"
+    tails = " ".join(f"WHEN len(parts) >= {n} AND list_contains({X.listed(L.VOCABULARY)}, {p}) THEN CASE WHEN starts_with({p}, color) THEN {p} ELSE prefix || {p} END" for n, p in ((n, f"array_to_string(parts[-{n}:], ' ')") for n in (3, 2, 1)))
+    return f"""WITH l AS (SELECT DISTINCT anchor_label, {_LOW} AS low FROM bootstrap_tuples),
+        c AS (SELECT *, {term("low", tuple(_COLORS))} AS color FROM l),
+        x AS (SELECT *, coalesce(color || ' ', '') AS prefix, [w FOR w IN string_split(low, ' ') IF w NOT IN ({', '.join(map(X.q, L.PHRASE_FILLERS))})] AS parts, CASE WHEN low LIKE '%s' THEN low[:-2] END AS single FROM c),
+        v AS (SELECT *, CASE WHEN low = '' OR low IN ({', '.join(map(X.q, (*L.PLACE_WORDS, *L.NOISE_WORDS)))}) OR contains(low, 'object detected') THEN NULL {' '.join(rules)}
+            ELSE coalesce(CASE WHEN color IS NOT NULL THEN coalesce(CASE {tails} END, prefix || {term("low", L.COLORED_OBJECTS)}) END,
+                 prefix || CASE WHEN list_contains({X.listed(L.VOCABULARY)}, single) THEN {term("single", L.VOCABULARY)} ELSE {term("low", L.VOCABULARY)} END) END AS label FROM x)
+        SELECT anchor_label, color, label, coalesce(label IN ({', '.join(map(X.q, L.GENERIC_ANCHORS))}), false) AS generic FROM v"""
+
+
+@query(_label_sql())
+def anchor_labels(spark: SparkSession, d: str) -> DataFrame:
+    a = F.col("anchor_label")
+    return table(spark, d, "bootstrap_tuples").select(a).distinct().select(a, L.color(a).alias("color"), L.vocabulary_label(a).alias("label"), L.is_generic(a).alias("generic"))
+
+
+@query()
+def label_forms(spark: SparkSession, d: str) -> DataFrame:
+    a = F.col("anchor_label")
+    return table(spark, d, "bootstrap_tuples").select(a).distinct().select(a, L.open_label(a).alias("open_label"), L.category(a).alias("category"), L.is_useless(a).alias("useless"), L.refers_to_text(a).alias("refers_to_text"), L.looks_copied(a).alias("looks_copied"), L.without_colors(a).alias("without_colors"), N.plural_phrase(a).alias("plural"), N.short_location(a).alias("short_location"), F.array_join(L.caption_tags(a), "|").alias("caption_tags"), N.stable_choice(F.array(F.lit("x"), F.lit("y"), F.lit("z")), a).alias("choice"))
+
+
+# geometry
+
+
+@query(
+    f"""WITH {V.NODES}, n AS (SELECT *, box AS b FROM nodes)
+        SELECT image_id, node_id, {X.region("b", "image_width", "image_height")} AS region, {X.area("b")} AS area, round({X.width("b")} / image_width * 224, 6) AS px_w, round({X.height("b")} / image_height * 224, 6) AS px_h,
+        {X.width("b")} / image_width * 224 >= 28 AND {X.height("b")} / image_height * 224 >= 11.2 AS passes FROM n"""
+)
+def node_geometry(spark: SparkSession, d: str) -> DataFrame:
+    b, w, h = Box.of("box"), F.col("image_width"), F.col("image_height")
+    n = V.nodes(spark, d).withColumn("r", G.resolvability("box", w, h))
+    return n.select("image_id", "node_id", G.region(b, w, h).alias("region"), b.area.alias("area"), F.round("r.text_px_w", 6).alias("px_w"), F.round("r.text_px_h", 6).alias("px_h"), F.col("r.passes").alias("passes"))
+
+
+@query(
+    f"""WITH {V.NODES} SELECT a.image_id, a.node_id AS a, b.node_id AS b, {X.iou("a.box", "b.box")} AS value FROM nodes a JOIN nodes b ON a.image_id = b.image_id AND a.node_id < b.node_id
+        WHERE {X.iou("a.box", "b.box")} >= 0.05"""
+)
+def iou_pairs(spark: SparkSession, d: str) -> DataFrame:
+    return boxes.overlapping_pairs(V.nodes(spark, d), "node_id", 0.05)
+
+
+@query(
+    f"""WITH {V.NODES} SELECT a.image_id, a.node_id AS a, b.node_id AS b FROM nodes a JOIN nodes b ON a.image_id = b.image_id AND a.node_id < b.node_id
+        WHERE {X.connected("a.box", "b.box", "a.image_width", "a.image_height")}"""
+)
+def connected_texts(spark: SparkSession, d: str) -> DataFrame:
+    return boxes.connected_pairs(V.nodes(spark, d))
+
+
+_TEXT_GROUPS = f"""{V.NODES}, e AS (SELECT a.image_id, a.node_id AS x, b.node_id AS y FROM nodes a JOIN nodes b ON a.image_id = b.image_id AND a.node_id <> b.node_id WHERE {X.connected("a.box", "b.box", "a.image_width", "a.image_height")}),
+    r AS (SELECT image_id, node_id AS x, node_id AS y FROM nodes UNION SELECT r.image_id, r.x, e.y FROM r JOIN e ON r.image_id = e.image_id AND r.y = e.x),
+    gr AS (SELECT image_id, x AS node_id, min(y) AS group_id FROM r GROUP BY 1, 2)"""
+
+
+@query(f"WITH RECURSIVE {_TEXT_GROUPS} SELECT image_id, node_id, group_id FROM gr")
+def text_groups(spark: SparkSession, d: str) -> DataFrame:
+    grouped = boxes.text_groups(V.nodes(spark, d))
+    return grouped.select("image_id", "node_id", F.substring_index("group_id", "\u0001", -1).alias("group_id"))
+
+
+@query(
+    f"""WITH RECURSIVE {_TEXT_GROUPS}, m AS (SELECT image_id, group_id, count(*) AS size, count(*) FILTER (NOT resolvable) AS unresolved, max({X.cx("n.box")}) - min({X.cx("n.box")}) AS xr, max({X.cy("n.box")}) - min({X.cy("n.box")}) AS yr,
+            count(DISTINCT CASE WHEN {X.cx("n.box")} / image_width < 0.34 THEN 0 WHEN {X.cx("n.box")} / image_width <= 0.66 THEN 1 ELSE 2 END) AS cols,
+            count(DISTINCT CASE WHEN {X.cy("n.box")} / image_height < 0.34 THEN 0 WHEN {X.cy("n.box")} / image_height <= 0.66 THEN 1 ELSE 2 END) AS rws FROM nodes n JOIN gr USING (image_id, node_id) GROUP BY 1, 2)
+        SELECT image_id, group_id, size, unresolved, CASE WHEN size = 1 THEN 'singleton' WHEN size >= 4 AND cols >= 2 AND rws >= 2 THEN 'grid' WHEN xr > 1.6 * yr THEN 'row' WHEN yr > 1.6 * xr THEN 'stack' ELSE 'cluster' END AS shape FROM m"""
+)
+def text_group_shapes(spark: SparkSession, d: str) -> DataFrame:
+    grouped = boxes.text_groups(V.nodes(spark, d))
+    return boxes.group_shapes(grouped).withColumn("group_id", F.substring_index("group_id", "\u0001", -1))
+
+
+@query(
+    f"""WITH {V.NODES}, p AS (SELECT a.image_id, a.node_id, b.node_id AS neighbor, round_even({X.distance("a.box", "b.box")}, 1) AS distance_px, {X.direction("a.box", "b.box", "a.image_width", "a.image_height")} AS relation
+            FROM nodes a JOIN nodes b ON a.image_id = b.image_id AND a.node_id <> b.node_id), r AS (SELECT *, row_number() OVER (PARTITION BY image_id, node_id ORDER BY distance_px, neighbor)::INTEGER AS rank FROM p)
+        SELECT * FROM r WHERE rank <= 10"""
+)
+def nearest_texts(spark: SparkSession, d: str) -> DataFrame:
+    return boxes.nearest(V.nodes(spark, d))
+
+
+_CANDIDATES = f"""{V.NODES}, {V.ANCHORS}, ca AS (SELECT n.image_id, node_id, anchor_id, label, score, source, a.box, n.image_width, n.image_height, {X.relation("n.box", "a.box", "n.image_width", "n.image_height")} AS relation,
+        {X.relevance("n.box", "a.box", "((polygon[1] + polygon[3] + polygon[5] + polygon[7]) / 4)", "((polygon[2] + polygon[4] + polygon[6] + polygon[8]) / 4)", "n.image_width", "n.image_height")} AS relevance
+        FROM nodes n JOIN anchors a ON n.image_id = a.image_id AND a.box.x1 <= a.box.x2 AND a.box.y1 <= a.box.y2),
+    cand AS (SELECT * FROM ca WHERE relation IS NOT NULL AND relevance >= 0.08)"""
+
+
+@query(f"WITH {_CANDIDATES} SELECT image_id, node_id, anchor_id, label, relation, round(relevance, 12) AS relevance FROM cand")
+def anchor_candidates(spark: SparkSession, d: str) -> DataFrame:
+    found = boxes.anchor_candidates(V.nodes(spark, d), V.anchors(spark, d))
+    return found.select("image_id", "node_id", "anchor_id", "label", "relation", F.round("relevance", 12).alias("relevance"))
+
+
+@query(
+    f"""WITH {_CANDIDATES} SELECT a.image_id, a.node_id, a.anchor_id, count(*) AS support_count, count(DISTINCT coalesce(b.source, 'unknown')) AS source_support_count, count(DISTINCT nullif(b.label, '')) AS labels
+        FROM cand a JOIN cand b ON a.image_id = b.image_id AND a.node_id = b.node_id AND a.relation = b.relation AND {X.supports("a.box", "b.box")} GROUP BY 1, 2, 3"""
+)
+def anchor_support(spark: SparkSession, d: str) -> DataFrame:
+    found = boxes.with_support(written(boxes.anchor_candidates(V.nodes(spark, d), V.anchors(spark, d)), "candidates"))
+    return found.select("image_id", "node_id", "anchor_id", "support_count", "source_support_count", F.size("support_labels").cast("long").alias("labels"))
+
+
+def _best(spark: SparkSession, d: str) -> DataFrame:
+    candidates = written(boxes.anchor_candidates(V.nodes(spark, d), V.anchors(spark, d)), "candidates")
+    return boxes.with_support(candidates).withColumn("selection_score", boxes.selection_score(L.PLAIN_ANCHORS))
+
+
+@query()
+def best_anchors(spark: SparkSession, d: str) -> DataFrame:
+    return boxes.best_anchors(_best(spark, d)).select("image_id", "node_id", "anchor_id", "label", "relation", "relevance", "selection_score", "rank")
+
+
+@query(f"SELECT DISTINCT image_id, r || c AS region_key FROM image_specs, (VALUES ('u'), ('c'), ('l')) a(r), (VALUES ('l'), ('c'), ('r')) b(c) WHERE image_width IS NOT NULL AND image_id IS NOT NULL")
+def region_anchors(spark: SparkSession, d: str) -> DataFrame:
+    images = table(spark, d, "image_specs").where("image_width is not null and image_id is not null").dropDuplicates(["image_id"])
+    return boxes.region_anchors(images).select("image_id", "region_key")
+
+
+_COMPETING = f"""{V.TUPLES}, u AS (SELECT image_id, ann_id AS tuple_id, coalesce(relation, '') AS relation, {X.plain("anchor_label")} AS label, {X.plain("answer")} AS answer, {X.plain("region_key")} AS coarse, '' AS specific, coalesce(region_key, '') AS bucket,
+        {{'x1': text_bbox[1], 'y1': text_bbox[2], 'x2': text_bbox[1] + text_bbox[3], 'y2': text_bbox[2] + text_bbox[4]}} AS box FROM tuples WHERE image_id IS NOT NULL)"""
+
+
+@query(
+    f"""WITH {_COMPETING}, p AS (SELECT a.image_id, a.tuple_id, a.answer AS own, b.tuple_id AS o, b.answer AS other, coalesce(a.label = b.label, false) AS l, coalesce(a.coarse <> '' AND a.coarse = b.coarse, false) AS c, coalesce(a.bucket <> '' AND a.bucket = b.bucket, false) AS k, CASE WHEN b.tuple_id IS NOT NULL THEN {X.iou("a.box", "b.box")} END AS v
+            FROM u a LEFT JOIN u b ON a.image_id = b.image_id AND a.relation = b.relation AND a.tuple_id <> b.tuple_id),
+        s AS (SELECT image_id, tuple_id, min(own) AS own, count(*) FILTER (l) AS al, count(*) FILTER (v >= 0.45) AS ao, count(*) FILTER (c) AS cr, count(*) FILTER (k) AS bk, count(*) FILTER ((l AND (c OR k)) OR v >= 0.6 OR (c AND k)) AS comp,
+              count(*) FILTER (l AND own <> '' AND other = own) AS sa, count(*) FILTER (l AND own <> '' AND other = own AND v < 0.35) AS nz, len(list_distinct(list_append(coalesce(list(other) FILTER (l AND other <> ''), []), min(nullif(own, ''))))) AS da FROM p GROUP BY 1, 2)
+        SELECT image_id, tuple_id, al AS anchor_label_competitors, ao AS anchor_overlap_competitors, cr AS coarse_region_competitors, bk AS bucket_competitors, comp AS competing_tuples, CASE WHEN own <> '' THEN sa + 1 ELSE 0 END AS same_anchor_same_answer_count,
+               CASE WHEN own <> '' THEN nz + 1 ELSE 0 END AS same_anchor_same_answer_nonoverlap_instances, da AS same_anchor_distinct_answer_count, al >= 2 AND ao <= 1 AS diffuse_same_anchor_scene FROM s"""
+)
+def competing_tuples(spark: SparkSession, d: str) -> DataFrame:
+    t = V.tuples(spark, d).where("image_id is not null")
+    text = lambda c: N.plain_answer(F.col(c))
+    rows = t.select("image_id", F.col("ann_id").alias("tuple_id"), N.text_of(F.col("relation")).alias("relation"), text("anchor_label").alias("label"), text("answer").alias("answer"), text("region_key").alias("coarse"), F.lit("").alias("specific"), N.text_of(F.col("region_key")).alias("bucket"), G.from_xywh(F.col("text_bbox")).alias("box"))
+    return boxes.competitors(rows)
+
+
+# whole-table operators
+
+
+@query(f"WITH {V.TUPLES}, ids AS (SELECT DISTINCT image_id FROM text_nodes) SELECT image_id, count(*) AS rows FROM tuples WHERE image_id IN (SELECT image_id FROM ids) GROUP BY 1")
+def subset_rows(spark: SparkSession, d: str) -> DataFrame:
+    return tables.subset(V.tuples(spark, d), table(spark, d, "text_nodes")).groupBy("image_id").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query(
+    f"""WITH {V.TUPLES}, {V.SAMPLES}, ids AS (SELECT DISTINCT image_id FROM text_nodes)
+        SELECT ann_id AS row_id, image_id, answer FROM tuples WHERE image_id IS NULL OR image_id NOT IN (SELECT image_id FROM ids) UNION ALL SELECT sample_id, image_id, answer FROM samples WHERE image_id IN (SELECT image_id FROM ids)"""
+)
+def overwritten_images(spark: SparkSession, d: str) -> DataFrame:
+    primary = V.tuples(spark, d).select(F.col("ann_id").alias("row_id"), "image_id", "answer")
+    rescued = V.samples(spark, d).select(F.col("sample_id").alias("row_id"), "image_id", "answer")
+    return tables.overwrite(primary, rescued, table(spark, d, "text_nodes"))
+
+
+@query(
+    f"""WITH {V.SAMPLES}, r AS (SELECT image_id, min(answer) AS answer FROM samples GROUP BY 1), {V.TUPLES}, l AS (SELECT image_id, max(answer) AS answer FROM tuples GROUP BY 1)
+        SELECT CASE WHEN r.n THEN r.image_id ELSE l.image_id END AS image_id, CASE WHEN r.n THEN r.answer ELSE l.answer END AS answer FROM l FULL JOIN (SELECT *, true AS n FROM r) r ON l.image_id IS NOT DISTINCT FROM r.image_id"""
+)
+def upserted_answers(spark: SparkSession, d: str) -> DataFrame:
+    old = V.tuples(spark, d).groupBy("image_id").agg(F.max("answer").alias("answer"))
+    new = V.samples(spark, d).groupBy("image_id").agg(F.min("answer").alias("answer"))
+    return tables.upsert(old, new, ["image_id"])
+
+
+@query(
+    """WITH t AS (SELECT image_id, 0 AS table_no FROM text_nodes UNION SELECT image_id, 1 FROM bootstrap_tuples UNION SELECT image_id, 2 FROM ocr_qa_dataset UNION SELECT image_id, 3 FROM image_specs), f AS (SELECT image_id, min(table_no) AS table_no FROM t WHERE image_id IS NOT NULL GROUP BY 1)
+       SELECT n.table_no::INTEGER AS table_no, count(f.image_id) AS ids_added FROM range(4) n(table_no) LEFT JOIN f USING (table_no) GROUP BY 1"""
+)
+def excluded_images(spark: SparkSession, d: str) -> DataFrame:
+    names = ["text_nodes", "bootstrap_tuples", "ocr_qa_dataset", "image_specs"]
+    ids = [table(spark, d, n).select("image_id").where("image_id is not null").distinct() for n in names]
+    return tables.added_ids(tables.first_wins(ids, "image_id", []), 4)
+
+
+@query("SELECT image_id, arg_max({'p': image_path}, listed_at).p AS image_path FROM image_specs WHERE image_id IS NOT NULL GROUP BY 1")
+def latest_specs(spark: SparkSession, d: str) -> DataFrame:
+    specs = table(spark, d, "image_specs").where("image_id is not null").select("image_id", "image_path", "listed_at")
+    return tables.last_wins(specs, "image_id", ["listed_at"]).select("image_id", "image_path")
+
+
+@query()
+def sampled_images(spark: SparkSession, d: str) -> DataFrame:
+    specs = table(spark, d, "image_specs").where("image_id is not null").select("image_id").distinct()
+    return tables.exact_sample(specs, "image_id", 200, 42, table(spark, d, "text_nodes"))
+
+
+@query()
+def stratified_tuples(spark: SparkSession, d: str) -> DataFrame:
+    t = V.tuples(spark, d).where("image_id is not null and score is not null and not isnan(score)")
+    return tables.round_robin(t, ["density_bucket", "area_bucket", "region_key"], "image_id", "score", 200, 42).select("image_id", "ann_id", "score", "turn")
+
+
+@query(
+    f"""WITH {V.TUPLES}, k(value) AS (VALUES ('chartqa'), ('coco_text'), ('textocr_bootstrap'), ('elsewhere')), s AS (SELECT CASE WHEN contains(lower(source_dataset), 'chartqa') THEN 'chartqa' WHEN contains(lower(source_dataset), 'coco') THEN 'coco_text' WHEN contains(lower(source_dataset), 'textocr') THEN 'textocr_bootstrap' ELSE 'other' END AS value FROM tuples)
+        SELECT k.value, count(s.value) AS rows FROM k LEFT JOIN s USING (value) GROUP BY 1"""
+)
+def source_breakdown(spark: SparkSession, d: str) -> DataFrame:
+    s = F.lower("source_dataset")
+    kind = F.when(F.contains(s, F.lit("chartqa")), "chartqa").when(F.contains(s, F.lit("coco")), "coco_text").when(F.contains(s, F.lit("textocr")), "textocr_bootstrap").otherwise("other")
+    return tables.counts_of(V.tuples(spark, d), kind, ["chartqa", "coco_text", "textocr_bootstrap", "elsewhere"])
+
+
+@query(f'WITH {V.TUPLES}, a AS (SELECT *, {X.plain("answer")} AS a FROM tuples) SELECT ann_id, image_id IS NOT NULL AND count(*) OVER (PARTITION BY image_id, a) = 1 AS "unique" FROM a')
+def unique_answers(spark: SparkSession, d: str) -> DataFrame:
+    return quality.with_uniqueness(V.tuples(spark, d)).select("ann_id", "unique")
+
+
+@query(
+    """SELECT *, CASE WHEN s <= 1 THEN 'low' WHEN s <= 4 THEN 'medium' ELSE 'high' END AS level FROM (SELECT DISTINCT valid_text_count, CASE WHEN valid_text_count <= 5 THEN 'low' WHEN valid_text_count <= 14 THEN 'medium' ELSE 'high' END AS density,
+       CASE WHEN valid_text_count <= 2 THEN 'sparse_1-2' WHEN valid_text_count <= 5 THEN 'moderate_3-5' ELSE 'dense_6+' END AS crowd, CASE WHEN valid_text_count > 9 THEN 5 ELSE valid_text_count // 2 END AS s FROM bootstrap_tuples WHERE valid_text_count IS NOT NULL)"""
+)
+def count_bins(spark: SparkSession, d: str) -> DataFrame:
+    n = F.col("valid_text_count")
+    s = F.when(n > 9, 5).otherwise(F.expr("cast(valid_text_count div 2 as int)"))
+    rows = table(spark, d, "bootstrap_tuples").where(n.isNotNull()).select(n).distinct()
+    return rows.select(n, B.density(n).alias("density"), B.text_density(n).alias("crowd"), s.alias("s"), B.ambiguity(s).alias("level"))
+
+
+# quality
+
+
+_QA = f"{V.SAMPLES}"
+
+
+@query(
+    f"""WITH {_QA}, a AS (SELECT lower({X.strip("answer")}) AS a, count(*) AS n FROM samples WHERE answer <> '' GROUP BY 1), t AS (SELECT n FROM a ORDER BY n DESC, a LIMIT 10),
+        w AS (SELECT greatest(coalesce(sum(n), 0), 1)::BIGINT AS total_answers, count(*) AS unique_answers, coalesce(ln(sum(n)) - sum(n * ln(n)) / sum(n), 0) AS h FROM a),
+        y AS (SELECT count(*) FILTER (upper(question_type) = 'YES_NO' AND lower({X.strip("answer")}) = 'yes') / greatest(count(*) FILTER (upper(question_type) = 'YES_NO'), 1) AS r FROM samples)
+        SELECT total_answers, unique_answers, round_even(r, 4) AS yesno_yes_rate, round_even(1 - r, 4) AS yesno_no_rate, round_even((SELECT max(n) FROM t) / total_answers, 4) AS top1_concentration, round_even((SELECT sum(n)::DOUBLE FROM t) / total_answers, 4) AS top10_concentration, round_even(h, 4) AS answer_entropy FROM w, y"""
+)
+def answer_distribution(spark: SparkSession, d: str) -> DataFrame:
+    return quality.answer_distribution(V.samples(spark, d))
+
+
+@query(f"WITH {_QA} SELECT lower({X.strip('answer')}) AS answer, count(*) AS rows FROM samples WHERE answer <> '' GROUP BY 1 ORDER BY rows DESC, answer LIMIT 10")
+def top_answers(spark: SparkSession, d: str) -> DataFrame:
+    return quality.top_answers(V.samples(spark, d))
+
+
+@query(
+    f"""WITH {_QA}, i AS (SELECT image_id, count(DISTINCT nullif(lower({X.strip("anchor_label")}), '')) AS n FROM samples WHERE image_id <> '' GROUP BY 1), o AS (SELECT n, row_number() OVER (ORDER BY n) - 1 AS pos, count(*) OVER () AS c FROM i)
+        SELECT count(*) AS images, round_even(avg(n), 3) AS mean_unique_anchors, max(n) FILTER (pos = c // 2)::DOUBLE AS median_unique_anchors, count(*) FILTER (n >= 2) AS images_with_multiple_anchors, round_even(count(*) FILTER (n >= 2) / count(*), 4) AS images_with_multiple_anchors_rate FROM o"""
+)
+def anchor_coverage(spark: SparkSession, d: str) -> DataFrame:
+    return quality.anchor_coverage(V.samples(spark, d))
+
+
+@query(
+    f"""WITH {_QA}, c AS (SELECT question_type, count(*) AS n FROM samples GROUP BY 1)
+        SELECT round(least((ln(sum(n)) - sum(n * ln(n)) / sum(n)) / ln(5), 1), 9) AS type_diversity, count(*) FILTER (n >= 3) AS num_types_with_coverage FROM c"""
+)
+def type_diversity(spark: SparkSession, d: str) -> DataFrame:
+    return quality.type_diversity(V.samples(spark, d)).withColumn("type_diversity", F.round("type_diversity", 9))
+
+
+@query()
+def run_quality(spark: SparkSession, d: str) -> DataFrame:
+    s = V.samples(spark, d).withColumns({"yesno_polarity": F.when(F.lower("answer") == "no", "negative").otherwise("positive"), "scope": F.when(F.col("relation") == "on", "local").when(F.col("relation") == "in", "global").otherwise("mixed"), "frontier_correct": F.when(F.col("difficulty") != "hard", F.col("difficulty") == "easy")})
+    n = F.count(F.lit(1))
+    fails = {c: F.count(F.when(F.col("answer").isNull() & (F.col("question_type") == k), 1)) for c, k in zip(("anchor_missing", "ambiguous_grounding", "reverse_ambiguous", "reverse_invalid", "validation_failed"), quality.QUESTION_TYPES)}
+    summary = s.agg(F.count("answer").alias("accepted_qas"), n.alias("generated_qas"), (F.count("answer") / n).alias("qa_accept_rate"), F.count_distinct("image_id").alias("images_with_final_rows"), *(c.alias(k) for k, c in fails.items()))
+    stats = [quality.answer_distribution(s).select("unique_answers", "answer_entropy", "yesno_yes_rate"), quality.anchor_coverage(s).select("mean_unique_anchors", "images_with_multiple_anchors_rate")]
+    return quality.run_quality(summary, s.where("answer is not null"), stats)
+
+
+@query(
+    f"""WITH {V.NODES}, v AS (SELECT resolvable, box.x2 - box.x1 AS x FROM nodes)
+        SELECT n.bin::INTEGER AS bin, count(v.x) AS rows FROM range(6) n(bin) LEFT JOIN v ON n.bin = (x >= 16)::INT + (x >= 24)::INT + (x >= 32)::INT + (x >= 48)::INT + (x >= 64)::INT GROUP BY 1"""
+)
+def width_histogram(spark: SparkSession, d: str) -> DataFrame:
+    return quality.histogram(V.nodes(spark, d).withColumn("x", F.col("box.x2") - F.col("box.x1")), "x", [16.0, 24.0, 32.0, 48.0, 64.0])
+
+
+@query(
+    f"""WITH {V.NODES}, v AS (SELECT resolvable, box.x2 - box.x1 AS x FROM nodes) SELECT resolvable, count(x) AS count, round_even(min(x), 4) AS min, round_even(quantile_cont(x, 0.25), 4) AS p25, round_even(quantile_cont(x, 0.5), 4) AS median, round_even(quantile_cont(x, 0.75), 4) AS p75, round_even(max(x), 4) AS max, round_even(avg(x), 4) AS mean FROM v GROUP BY 1"""
+)
+def width_summary(spark: SparkSession, d: str) -> DataFrame:
+    return quality.summary_of(V.nodes(spark, d).withColumn("x", F.col("box.x2") - F.col("box.x1")), "x", ["resolvable"])
+
+
+@query(
+    f"""WITH {V.NODES} SELECT CASE WHEN grouping(s) = 0 THEN s END AS source, count(*) AS total, count(*) FILTER (resolvable) AS accepted, count(*) FILTER (NOT resolvable) AS dropped, count(*) FILTER (NOT resolvable) / count(*) AS drop_rate
+        FROM (SELECT *, coalesce(source_dataset, 'unknown') AS s FROM nodes) GROUP BY ROLLUP (s)"""
+)
+def resolvability_stats(spark: SparkSession, d: str) -> DataFrame:
+    return quality.resolvability_stats(V.nodes(spark, d))
+
+
+# agreement and scoring
+
+
+_SAID = f"""{V.PREDICTIONS}, n AS (SELECT *, provider || ':' || model AS m, {X.by_type("prediction", "answer_type")} AS norm FROM predictions WHERE error_type IS NULL),
+    s AS (SELECT sample_id, min(question_type) AS question_type, min(difficulty) AS difficulty, count(*) AS models, count(DISTINCT norm) = 1 AS unanimous FROM n GROUP BY 1 HAVING count(*) >= 2)"""
+
+
+def _samples_said(spark: SparkSession, d: str) -> DataFrame:
+    p = V.predictions(spark, d).withColumn("prediction_norm", N.answer_by_type(F.col("prediction"), F.col("answer_type")))
+    return agreement.by_sample(p)
+
+
+@query(
+    f"""WITH {_SAID} SELECT a.m AS model_a, b.m AS model_b, count(*) FILTER (a.norm = b.norm) AS matches, count(*) AS total, count(*) FILTER (a.norm = b.norm) / count(*) AS agreement_rate FROM n a JOIN n b ON a.sample_id = b.sample_id AND a.m < b.m GROUP BY 1, 2"""
+)
+def model_agreement(spark: SparkSession, d: str) -> DataFrame:
+    return agreement.pairwise(_samples_said(spark, d))
+
+
+@query(
+    f"""WITH {_SAID}, x AS (SELECT coalesce(question_type, '(unknown)') AS q, coalesce(difficulty, '(unknown)') AS e, unanimous FROM s)
+        SELECT CASE WHEN grouping(q) = 0 THEN q END AS question_type, CASE WHEN grouping(e) = 0 THEN e END AS difficulty, count(*) AS rows, round_even(avg(unanimous::INT), 6) AS unanimous_rate FROM x GROUP BY ROLLUP (q, e)"""
+)
+def agreement_by_group(spark: SparkSession, d: str) -> DataFrame:
+    return agreement.by_group(_samples_said(spark, d))
+
+
+_IDLE = ", ".join(map(X.q, S.IDLE_WORDS))
+
+
+def _content(x: str) -> str:
+    return f"[w FOR w IN {X.tokens(x)} IF w NOT IN ({_IDLE}) AND length(w) > 1]"
+
+
+_SCORED = f"""{V.PREDICTIONS}, b AS (SELECT *, {X.by_type("gold", "answer_type")} AS g, {X.by_type("prediction", "answer_type")} AS p, upper(trim(coalesce(question_type, ''))) AS k FROM predictions),
+    e AS (SELECT *, strip_accents(g) AS ga, strip_accents(p) AS pa, {X.strip("regexp_replace(g, '[][(.,;:!?)''" + '"' + "]+$', '')")} AS t FROM b),
+    f AS (SELECT *, {X.tokens("strip_accents(t)")} AS gw, {X.tokens("pa")} AS pw, {_content("g")} AS gc, {_content("p")} AS pc FROM e),
+    h AS (SELECT *, [CASE WHEN length(w) > 3 THEN regexp_replace(w, 's$', '') ELSE w END FOR w IN gw] AS gs, [CASE WHEN length(w) > 3 THEN regexp_replace(w, 's$', '') ELSE w END FOR w IN pw] AS ps,
+                 list_sum([least(len([1 FOR y IN gc IF y = w]), len([1 FOR y IN pc IF y = w])) FOR w IN list_distinct(gc)]) AS c FROM f),
+    z AS (SELECT *, g = p OR ga = pa AS exact_correct, CASE WHEN k = 'REVERSE_GROUND' AND c > 0 THEN 2.0 * c / (len(gc) + len(pc)) ELSE 0.0 END AS f1,
+                 CASE WHEN t = '' THEN false WHEN length(t) < 3 THEN contains(pa, strip_accents(t)) ELSE len(gw) > 0 AND len(pw) > 0 AND (list_has_all(ps, gs) OR (len(pw) <= 3 AND list_has_all(gs, ps))
+                      OR (len(gw) = 1 AND len(pw) >= 2 AND length(strip_accents(t)) >= 4 AND strip_accents(t) = array_to_string(pw, '')) OR (len(pw) = 1 AND len(gw) >= 2 AND length(pa) >= 4 AND pa = array_to_string(gw, ''))) END AS part FROM h),
+    sc AS (SELECT *, k = 'DIRECT_READ' AND NOT exact_correct AND part AS partial_correct, f1 >= 0.5 AS semantic_correct FROM z)"""
+
+
+@query(f"WITH {_SCORED} SELECT sample_id, provider, p AS prediction_norm, g AS gold_norm, exact_correct, partial_correct, semantic_correct, round_even(f1, 4) AS word_f1, exact_correct OR partial_correct OR semantic_correct AS soft_correct FROM sc")
+def scored_predictions(spark: SparkSession, d: str) -> DataFrame:
+    scored = agreement.with_scores(V.predictions(spark, d))
+    return scored.select("sample_id", "provider", "prediction_norm", "gold_norm", "exact_correct", "partial_correct", "semantic_correct", "word_f1", "soft_correct")
+
+
+@query(
+    f"""WITH {_SCORED}, x AS (SELECT *, provider || ':' || model AS m, coalesce(question_type, '(unknown)') AS q, exact_correct OR partial_correct OR semantic_correct AS soft FROM sc)
+        SELECT CASE WHEN grouping(m) = 0 THEN m END AS model, CASE WHEN grouping(q) = 0 THEN q END AS question_type, count(*) AS rows, round_even(avg(exact_correct::INT), 6) AS exact_rate, round_even(avg(partial_correct::INT), 6) AS partial_rate,
+               round_even(avg(semantic_correct::INT), 6) AS semantic_rate, round_even(avg(soft::INT), 6) AS soft_rate FROM x GROUP BY ROLLUP (m, q)"""
+)
+def benchmark(spark: SparkSession, d: str) -> DataFrame:
+    return agreement.benchmark(agreement.with_scores(V.predictions(spark, d)))
+
+
+@query(
+    f"""WITH {_SCORED}, x AS (SELECT sample_id, provider, coalesce(question_type, '(unknown)') AS q, exact_correct OR partial_correct OR semantic_correct AS soft FROM sc), j AS (SELECT a.q, a.soft AS s, b.soft AS b FROM x a JOIN x b ON a.sample_id = b.sample_id AND a.provider = 'alpha' AND b.provider = 'gamma')
+        SELECT CASE WHEN grouping(q) = 0 THEN q END AS question_type, count(*) AS rows, round_even(avg(s::INT), 6) AS seen_rate, round_even(avg(b::INT), 6) AS blind_rate, round_even(avg(b::INT), 6) AS text_leaky_rate FROM j GROUP BY ROLLUP (q)"""
+)
+def image_dependence(spark: SparkSession, d: str) -> DataFrame:
+    p = V.predictions(spark, d)
+    of = lambda name: agreement.with_scores(p.where(F.col("provider") == name))
+    return agreement.image_dependence(of("alpha"), of("gamma"))
+
+
+@query(
+    f"""WITH {V.SAMPLES}, q AS (SELECT image_id, sample_id, {X.tokens("lower(question)")} AS w FROM samples WHERE question IS NOT NULL AND image_id IS NOT NULL),
+        r AS (SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY sample_id) AS pos FROM q), g AS (SELECT image_id, (pos - 1) // 4 AS part, sample_id, list_distinct(w) AS w FROM r),
+        p AS (SELECT a.image_id, a.part, max(len(list_intersect(a.w, b.w)) / greatest(len(list_distinct(a.w || b.w)), 1)) AS j FROM g a JOIN g b ON a.image_id = b.image_id AND a.part = b.part AND a.sample_id < b.sample_id GROUP BY 1, 2)
+        SELECT DISTINCT g.image_id, g.part, coalesce(p.j, 0) <= 0.7 AS is_distinct FROM g LEFT JOIN p USING (image_id, part)"""
+)
+def distinct_questions(spark: SparkSession, d: str) -> DataFrame:
+    """Four questions at a time of every image: whether they differ enough."""
+    from pyspark.sql import Window
+
+    s = V.samples(spark, d).where("question is not null and image_id is not null")
+    part = F.expr("(at - 1) div 4")
+    groups = s.withColumn("at", F.row_number().over(Window.partitionBy("image_id").orderBy("sample_id"))).groupBy("image_id", part.alias("part")).agg(F.collect_list("question").alias("questions"))
+    return groups.select("image_id", "part", S.all_distinct(F.col("questions")).alias("is_distinct"))
+
+
+@query(
+    f"""WITH {V.SAMPLES}, {V.TUPLES}, k(t, w) AS (VALUES ('ANCHOR_PROPERTY', 2.5), ('REVERSE_GROUND', 0.7), ('YES_NO', 0.5), ('TEXT_PROPERTY', 0.7)),
+        r AS (SELECT image_id, count(*) AS final_rows, count(DISTINCT nullif(question_type, '')) AS types, list(DISTINCT question_type) FILTER (question_type IS NOT NULL) AS has FROM samples WHERE image_id IS NOT NULL GROUP BY 1),
+        a AS (SELECT image_id, lower({X.strip("answer")}) AS a, count(*) AS n FROM samples WHERE image_id IS NOT NULL AND answer <> '' GROUP BY 1, 2), e AS (SELECT image_id, greatest(ln(sum(n)) - sum(n * ln(n)) / sum(n), 0) AS h FROM a GROUP BY 1),
+        l AS (SELECT image_id, count(DISTINCT nullif(lower({X.strip("anchor_label")}), '')) AS labels, count(*) FILTER (lower({X.strip("anchor_label")}) <> '') AS n, count(*) FILTER (lower({X.strip("anchor_label")}) IN ({', '.join(map(X.q, L.PLAIN_ANCHORS))})) AS plain FROM tuples WHERE image_id IS NOT NULL GROUP BY 1),
+        j AS (SELECT image_id, coalesce(final_rows, 0) AS final_rows, coalesce(types, 0) AS types, coalesce(has, []) AS has, coalesce(h, 0) AS h, coalesce(labels, 0) AS labels, CASE WHEN n > 0 THEN plain / n ELSE 1.0 END AS g FROM r LEFT JOIN e USING (image_id) FULL JOIN l USING (image_id)),
+        s AS (SELECT *, round_even(CASE WHEN final_rows = 0 THEN 4 ELSE 0 END + 2.0 * greatest(4 - types, 0) + (SELECT coalesce(sum(w), 0) FROM k WHERE NOT list_contains(has, t))::DOUBLE + 0.6::DOUBLE * greatest(1.25 - h, 0) + 0.4::DOUBLE * greatest(2 - labels, 0) + 0.6::DOUBLE * g, 6) AS score FROM j)
+        SELECT image_id, score, final_rows, types AS final_type_count, round_even(h, 6) AS answer_entropy, labels AS unique_anchor_labels FROM s WHERE score > 0 ORDER BY score DESC, types, final_rows, round_even(h, 6), image_id LIMIT 48"""
+)
+def rescue_images(spark: SparkSession, d: str) -> DataFrame:
+    chosen = rescue.select_images(rescue.image_scores(V.samples(spark, d), V.tuples(spark, d)))
+    return chosen.select("image_id", "score", "final_rows", "final_type_count", "answer_entropy", "unique_anchor_labels")
+
+
+# folds: checked against plain restatements in the tests
+
+
+@query()
+def merged_detections(spark: SparkSession, d: str) -> DataFrame:
+    t = V.tuples(spark, d).where("image_id is not null")
+    rows = t.select("image_id", F.col("ann_id").alias("key"), G.from_xywh(F.col("text_bbox")).alias("box"), F.col("area_fraction").alias("confidence"), F.array(F.coalesce("relation", F.lit("unknown"))).alias("sources"))
+    return folds.merge_detections(rows)
+
+
+@query()
+def deduped_nodes(spark: SparkSession, d: str) -> DataFrame:
+    return folds.dedupe_nodes(V.nodes(spark, d).withColumnRenamed("node_id", "key")).select("image_id", "key", "text", "confidence")
+
+
+@query()
+def deduped_anchors(spark: SparkSession, d: str) -> DataFrame:
+    return folds.dedupe_anchors(V.anchors(spark, d).withColumnRenamed("anchor_id", "key")).select("image_id", "key", "label", "score")
+
+
+@query()
+def consolidated_anchors(spark: SparkSession, d: str) -> DataFrame:
+    rows = tables.mapped(_best(spark, d), "label", L.vocabulary_label, "clean")
+    rows = rows.select(F.concat_ws("\u0001", "image_id", "node_id").alias("image_id"), F.col("anchor_id").alias("key"), "relation", "box", F.coalesce("clean", "label").alias("label"), "selection_score", "score", "support_count", "source")
+    return folds.consolidate(rows, L.PLAIN_ANCHORS)
+
+
+@query()
+def merged_inventory(spark: SparkSession, d: str) -> DataFrame:
+    a = tables.mapped(V.anchors(spark, d), "label", L.open_label, "clean")
+    rows = a.select("image_id", F.col("anchor_id").alias("key"), F.pmod(F.length("anchor_id"), F.lit(3)).alias("pass_index"), F.coalesce("clean", F.lower("label")).alias("label"), F.col("label").alias("raw_label"), "box", "score")
+    return folds.merge_passes(rows)
+
+
+@query()
+def anchor_clusters(spark: SparkSession, d: str) -> DataFrame:
+    best = boxes.best_anchors(_best(spark, d), 1).where("relation = 'on'")
+    return folds.anchor_clusters(best.select("image_id", F.col("node_id").alias("key"), "box", "label", "selection_score", "score"))
+
+
+@query()
+def reading_order(spark: SparkSession, d: str) -> DataFrame:
+    grouped = boxes.text_groups(V.nodes(spark, d)).withColumnRenamed("node_id", "key")
+    return folds.reading_order(grouped).select("image_id", "group_id", "key", "text", "position")
+
+
+@query()
+def text_lines(spark: SparkSession, d: str) -> DataFrame:
+    return folds.text_lines(V.nodes(spark, d).withColumnRenamed("node_id", "key")).select("image_id", "key", "text", "line_no", "position")
