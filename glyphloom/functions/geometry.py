@@ -232,6 +232,11 @@ def grid_boxes(width: Column, height: Column) -> Column:
     return F.array(*cells)
 
 
+def snapped(c: Column) -> Column:
+    """Nine decimals. Cut off the ties, which decimals of pixels hit, so that a last bit can't matter."""
+    return F.floor(c * 1e9 + 0.3) / 1e9
+
+
 # Relations
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 SPACE = r"[\s\p{Z}]"
 #: Neither letter, digit, underscore nor white space.
@@ -80,7 +81,7 @@ def answer_by_type(answer: Column, kind: Column) -> Column:
     return F.when(F.lower(strip(kind)).isin("yes", "no", "number"), vqa_answer(answer)).otherwise(text_answer(answer))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def compatible(s: pd.Series) -> pd.Series:
     """Unicode NFKC; Spark has no function for it. ASCII texts are their own normal form."""
     import unicodedata
@@ -88,7 +89,7 @@ def compatible(s: pd.Series) -> pd.Series:
     return s.map(lambda t: t if t is None or t.isascii() else unicodedata.normalize("NFKC", t), na_action="ignore")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def without_accents(s: pd.Series) -> pd.Series:
     """NFKC, then without combining marks; ASCII texts pass unchanged."""
     import unicodedata

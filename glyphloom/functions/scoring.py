@@ -17,7 +17,10 @@ IDLE_WORDS = (
 def shared_count(a: Column, b: Column) -> Column:
     """How many items two arrays share, each as often as both have it."""
     often = lambda xs, w: F.size(F.filter(xs, lambda x: x == w))
-    return F.aggregate(F.array_intersect(a, b), F.lit(0), lambda n, w: n + F.least(often(a, w), often(b, w)))
+    # the arrays travel in the state: a lambda may not hold what a Python function made
+    start = F.struct(F.lit(0).alias("n"), a.alias("a"), b.alias("b"))
+    add = lambda s, w: F.struct((s["n"] + F.least(often(s["a"], w), often(s["b"], w))).alias("n"), s["a"].alias("a"), s["b"].alias("b"))
+    return F.aggregate(F.array_intersect(a, b), start, add, lambda s: s["n"])
 
 
 def f1(gold: Column, said: Column) -> Column:

@@ -18,8 +18,9 @@ from glyphloom.functions.geometry import Box
 from glyphloom.operators.graph import components
 from glyphloom.session import written
 
-#: Pixels of a grid cell's side.
-CELL = 128
+#: Pixels of a grid cell's side, for boxes themselves and for those enlarged by far reaches: about
+#: as large as what it holds, so a box covers few cells and a cell holds few boxes.
+CELL, REACH_CELL = 256, 512
 
 
 def _cells(df: DataFrame, frame: Column, cell: int) -> DataFrame:
@@ -48,7 +49,8 @@ def near_pairs(left: DataFrame, right: DataFrame, left_box: str = "box", right_b
 
 def overlapping_pairs(nodes: DataFrame, key: str, least: float, measure: Callable[[Box, Box], Column] = G.iou) -> DataFrame:
     """(image_id, a, b, value): unordered pairs of an image's boxes with at least that measure."""
-    pairs = near_pairs(nodes, nodes).where(F.col(f"l.{key}") < F.col(f"r.{key}"))
+    narrow = nodes.select("image_id", key, "box")
+    pairs = near_pairs(narrow, narrow).where(F.col(f"l.{key}") < F.col(f"r.{key}"))
     value = measure(Box.of("l.box"), Box.of("r.box"))
     return pairs.select("image_id", F.col(f"l.{key}").alias("a"), F.col(f"r.{key}").alias("b"), value.alias("value")).where(F.col("value") >= least)
 
@@ -63,8 +65,8 @@ def _reach(box: Column, width: Column, height: Column) -> Column:
 def connected_pairs(nodes: DataFrame, key: str = "node_id") -> DataFrame:
     """(image_id, a, b): unordered pairs of an image's texts that belong together. nodes: image_id,
     key, box, image_width, image_height."""
-    framed = nodes.withColumn("frame", _reach(F.col("box"), F.col("image_width"), F.col("image_height")))
-    pairs = near_pairs(framed, framed, "frame", "frame").where(F.col(f"l.{key}") < F.col(f"r.{key}"))
+    framed = nodes.select("image_id", key, "box", "image_width", "image_height").withColumn("frame", _reach(F.col("box"), F.col("image_width"), F.col("image_height")))
+    pairs = near_pairs(framed, framed, "frame", "frame", cell=REACH_CELL).where(F.col(f"l.{key}") < F.col(f"r.{key}"))
     together = G.connected(Box.of("l.box"), Box.of("r.box"), F.col("l.image_width"), F.col("l.image_height"))
     return pairs.where(together).select("image_id", F.col(f"l.{key}").alias("a"), F.col(f"r.{key}").alias("b"))
 
@@ -137,32 +139,21 @@ def nearest(nodes: DataFrame, n: int = 10, key: str = "node_id", most_levels: in
 
 
 def anchor_candidates(nodes: DataFrame, anchors: DataFrame, least: float = 0.08) -> DataFrame:
-    """(image_id, node_id, anchor_id, label, score, source, box, relation, relevance): anchors that
-    stand in a relation to a text and serve it well enough.
+    """(image_id, node_id, anchor_id, label, score, source, box, text_box, area_share, relation,
+    relevance): anchors that stand in a relation to a text and serve it well enough.
 
     nodes: image_id, node_id, box, polygon, image_width, image_height. Relations reach 0.3 of the
     picture's width and 0.2 of its height, by which the texts' boxes are enlarged to meet."""
-    b = Box.of("box")
-    frame = Box(b.x1 - F.col("image_width") * 0.3, b.y1 - F.col("image_height") * 0.2, b.x2 + F.col("image_width") * 0.3, b.y2 + F.col("image_height") * 0.2).struct()
-    pairs = near_pairs(nodes.withColumn("frame", frame), anchors, "frame", "box")
+    b, (x, y) = Box.of("box"), G.polygon_center(F.col("polygon"))
+    frame = Box(b.x1 - F.col("image_width") * 0.3 - 1, b.y1 - F.col("image_height") * 0.2 - 1, b.x2 + F.col("image_width") * 0.3 + 1, b.y2 + F.col("image_height") * 0.2 + 1).struct()
+    texts = nodes.select("image_id", "node_id", "box", "image_width", "image_height", x.alias("x"), y.alias("y"), frame.alias("frame"))
+    pairs = near_pairs(texts, anchors.select("image_id", "anchor_id", "label", "score", "source", "box"), "frame", "box", cell=REACH_CELL)
     t, a, w, h = Box.of("l.box"), Box.of("r.box"), F.col("l.image_width"), F.col("l.image_height")
-    rows = pairs.select("image_id", "l.node_id", "r.anchor_id", "r.label", "r.score", "r.source", "r.box", F.col("l.box").alias("text_box"), G.area_share(a, w, h).alias("area_share"), G.relation(t, a, w, h).alias("relation"), G.relevance(t, G.polygon_center(F.col("l.polygon")), a, w, h).alias("relevance"))
-    return rows.where((F.col("relation").isNotNull()) & (F.col("relevance") >= least))
-
-
-def with_support(candidates: DataFrame, keys: tuple[str, ...] = ("image_id", "node_id")) -> DataFrame:
-    """Candidates with support_count, source_support_count and support_labels: of those of the same
-    node and relation whose boxes speak for the same thing, itself included."""
-    diagonal = lambda c: F.greatest(F.hypot(Box.of(c).width, Box.of(c).height), F.lit(1.0)) * 0.22
-
-    def frame(c: Column) -> Column:
-        b, r = Box.of(c), diagonal(c)
-        return Box(b.x1 - r, b.y1 - r, b.x2 + r, b.y2 + r).struct()
-
-    on = (*keys, "relation")
-    pairs = near_pairs(candidates, candidates, left_frame=frame, right_frame=frame, on=on).where(G.supports(Box.of("l.box"), Box.of("r.box")))
-    counted = pairs.groupBy(*on, F.col("l.anchor_id").alias("anchor_id")).agg(F.count(F.lit(1)).alias("support_count"), F.count_distinct(F.coalesce("r.source", F.lit("unknown"))).alias("source_support_count"), F.array_sort(F.collect_set(F.nullif(F.col("r.label"), F.lit("")))).alias("support_labels"))
-    return candidates.join(counted, [*on, "anchor_id"], "left")
+    # filters that need the pair's number stay above the join, where each value is computed once
+    related = pairs.withColumn("_pair", F.monotonically_increasing_id()).withColumn("relation", G.relation(t, a, w, h)).where("relation is not null and _pair >= 0")
+    value = G.snapped(G.relevance(t, (F.col("l.x"), F.col("l.y")), a, w, h))
+    rows = related.select("image_id", "l.node_id", "r.anchor_id", "r.label", "r.score", "r.source", "r.box", F.col("l.box").alias("text_box"), G.area_share(a, w, h).alias("area_share"), "relation", value.alias("relevance"), F.monotonically_increasing_id().alias("_pair"))
+    return rows.where((F.col("relevance") >= least) & (F.col("_pair") >= 0)).drop("_pair")
 
 
 def selection_score(generic: tuple[str, ...], generic_penalty: float = 0.075, oversize_start: float = 0.42, region_bonus: float = 0.045, support_bonus: float = 0.04) -> Column:

@@ -320,6 +320,32 @@ def merge_passes(df: DataFrame, iou: float = 0.55, least_passes: int = 1) -> Dat
     return fold(blocks(df.where("coalesce(label, '') <> ''"), "key"), order, step, "pass_support_count int, alternate_labels array<string>").drop("block_id")
 
 
+def with_support(df: DataFrame) -> DataFrame:
+    """Candidates with support_count, source_support_count and support_labels: of those of the same
+    node and relation whose boxes speak for the same thing, itself included: one has 0.35 of the
+    other in it, or their centres are within 0.22 of the longer diagonal. df: image_id, node_id,
+    anchor_id, relation, box, label, source. A block is a node and relation: the anchors in reach
+    of one text, compared as arrays."""
+
+    def step(b: Block) -> tuple[list[int], dict[str, list]]:
+        k, labels, sources = b.boxes(), b.text("label"), [x or "unknown" for x in b["source"]]
+        area = np.maximum((k[:, 2] - k[:, 0]) * (k[:, 3] - k[:, 1]), 1e-6)
+        cx, cy, diagonal = (k[:, 0] + k[:, 2]) / 2, (k[:, 1] + k[:, 3]) / 2, np.hypot(k[:, 2] - k[:, 0], k[:, 3] - k[:, 1])
+        new = {n: [] for n in ("support_count", "source_support_count", "support_labels")}
+        for i in range(len(b)):
+            side = lambda lo, hi, i=i: np.clip(np.minimum(k[i, hi], k[:, hi]) - np.maximum(k[i, lo], k[:, lo]), 0, None)
+            shared = side(0, 2) * side(1, 3)
+            near = np.sqrt((cx - cx[i]) ** 2 + (cy - cy[i]) ** 2) <= 0.22 * np.maximum(np.maximum(diagonal, diagonal[i]), 1.0)
+            at = np.flatnonzero((shared / np.minimum(area, area[i]) >= 0.35) | near).tolist()
+            new["support_count"].append(len(at))
+            new["source_support_count"].append(len({sources[j] for j in at}))
+            new["support_labels"].append(sorted({labels[j] for j in at} - {""}))
+        return list(range(len(b))), new
+
+    d = df.withColumn("block_id", F.concat_ws("\u0001", "image_id", "node_id", "relation"))
+    return fold(d, [F.asc("anchor_id")], step, "support_count long, source_support_count long, support_labels array<string>").drop("block_id")
+
+
 def lines_of(cy: np.ndarray, height: np.ndarray, tolerance: Callable[[float, float], float]) -> list[list[int]]:
     """Rows given from top to bottom, as lines: each joins the first line whose mean centre is near
     enough. tolerance: of the row's height and the line's mean height."""

@@ -209,15 +209,15 @@ def nearest_texts(spark: SparkSession, d: str) -> DataFrame:
 
 
 _CANDIDATES = f"""{V.NODES}, {V.ANCHORS}, ca AS (SELECT n.image_id, node_id, anchor_id, label, score, source, a.box, n.image_width, n.image_height, {X.relation("n.box", "a.box", "n.image_width", "n.image_height")} AS relation,
-        {X.relevance("n.box", "a.box", "((polygon[1] + polygon[3] + polygon[5] + polygon[7]) / 4)", "((polygon[2] + polygon[4] + polygon[6] + polygon[8]) / 4)", "n.image_width", "n.image_height")} AS relevance
+        {X.relevance("n.box", "a.box", "((polygon[1] + polygon[3] + polygon[5] + polygon[7]) / 4)", "((polygon[2] + polygon[4] + polygon[6] + polygon[8]) / 4)", "n.image_width", "n.image_height")} AS raw
         FROM nodes n JOIN anchors a ON n.image_id = a.image_id AND a.box.x1 <= a.box.x2 AND a.box.y1 <= a.box.y2),
-    cand AS (SELECT * FROM ca WHERE relation IS NOT NULL AND relevance >= 0.08)"""
+    cand AS (SELECT *, floor(raw * 1e9 + 0.3) / 1e9 AS relevance FROM ca WHERE relation IS NOT NULL AND floor(raw * 1e9 + 0.3) / 1e9 >= 0.08)"""
 
 
-@query(f"WITH {_CANDIDATES} SELECT image_id, node_id, anchor_id, label, relation, round(relevance, 12) AS relevance FROM cand")
+@query(f"WITH {_CANDIDATES} SELECT image_id, node_id, anchor_id, label, relation, relevance FROM cand")
 def anchor_candidates(spark: SparkSession, d: str) -> DataFrame:
     found = boxes.anchor_candidates(V.nodes(spark, d), V.anchors(spark, d))
-    return found.select("image_id", "node_id", "anchor_id", "label", "relation", F.round("relevance", 12).alias("relevance"))
+    return found.select("image_id", "node_id", "anchor_id", "label", "relation", "relevance")
 
 
 @query(
@@ -225,13 +225,13 @@ def anchor_candidates(spark: SparkSession, d: str) -> DataFrame:
         FROM cand a JOIN cand b ON a.image_id = b.image_id AND a.node_id = b.node_id AND a.relation = b.relation AND {X.supports("a.box", "b.box")} GROUP BY 1, 2, 3"""
 )
 def anchor_support(spark: SparkSession, d: str) -> DataFrame:
-    found = boxes.with_support(written(boxes.anchor_candidates(V.nodes(spark, d), V.anchors(spark, d)), "candidates"))
+    found = folds.with_support(written(boxes.anchor_candidates(V.nodes(spark, d), V.anchors(spark, d)), "candidates"))
     return found.select("image_id", "node_id", "anchor_id", "support_count", "source_support_count", F.size("support_labels").cast("long").alias("labels"))
 
 
 def _best(spark: SparkSession, d: str) -> DataFrame:
     candidates = written(boxes.anchor_candidates(V.nodes(spark, d), V.anchors(spark, d)), "candidates")
-    return boxes.with_support(candidates).withColumn("selection_score", boxes.selection_score(L.PLAIN_ANCHORS))
+    return folds.with_support(candidates).withColumn("selection_score", boxes.selection_score(L.PLAIN_ANCHORS))
 
 
 @query()

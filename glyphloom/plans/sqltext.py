@@ -124,8 +124,8 @@ def distance(a: str, b: str) -> str:
 
 def relation(t: str, a: str, w: str, h: str) -> str:
     areas = f"greatest({area(t)}, 1e-6)", f"greatest({area(a)}, 1e-6)"
-    stacked = f"{axis_overlap(t, a, 'x')} >= 0.2 AND {gap(t, a, 'y')} <= 0.2 * {h}"
-    beside = f"{axis_overlap(t, a, 'y')} >= 0.2 AND {gap(t, a, 'x')} <= 0.3 * {w}"
+    stacked = f"{axis_overlap(t, a, 'x')} >= 0.2 AND {gap(t, a, 'y')} <= 0.2::DOUBLE * {h}"
+    beside = f"{axis_overlap(t, a, 'y')} >= 0.2 AND {gap(t, a, 'x')} <= 0.3::DOUBLE * {w}"
     return f"""CASE WHEN {overlap(t, a)} >= 0.35 THEN 'on' WHEN greatest({', '.join(areas)}) / least({', '.join(areas)}) > 5 THEN NULL
         WHEN {stacked} AND {cy(t)} < {cy(a)} THEN 'above' WHEN {stacked} AND {cy(t)} > {cy(a)} THEN 'below'
         WHEN {beside} AND {cx(t)} < {cx(a)} THEN 'left_of' WHEN {beside} AND {cx(t)} > {cx(a)} THEN 'right_of' END"""
@@ -147,20 +147,20 @@ def connected(a: str, b: str, w: str, h: str) -> str:
     one = lambda v: f"greatest({v}, 1.0)"
     high = f"greatest({one(height(a))}, {one(height(b))})"
     span = f"greatest({one(width(a))}, {one(height(a))}, {one(width(b))}, {one(height(b))})"
-    return f"""(greatest({overlap(a, b)}, {overlap(b, a)}) >= 0.05 OR ({axis_overlap(a, b, 'y')} >= 0.3 AND {gap(a, b, 'x')} <= 2.2 * {high})
-        OR ({axis_overlap(a, b, 'x')} >= 0.3 AND {gap(a, b, 'y')} <= 2.2 * {high}) OR {distance(a, b)} <= greatest(40.0, greatest({w}, {h}) * 0.11, {span} * 2.4))"""
+    return f"""(greatest({overlap(a, b)}, {overlap(b, a)}) >= 0.05 OR ({axis_overlap(a, b, 'y')} >= 0.3 AND {gap(a, b, 'x')} <= 2.2::DOUBLE * {high})
+        OR ({axis_overlap(a, b, 'x')} >= 0.3 AND {gap(a, b, 'y')} <= 2.2::DOUBLE * {high}) OR {distance(a, b)} <= greatest(40.0, greatest({w}, {h}) * 0.11::DOUBLE, {span} * 2.4::DOUBLE))"""
 
 
 def supports(a: str, b: str) -> str:
     diagonal = lambda v: f"sqrt({width(v)} * {width(v)} + {height(v)} * {height(v)})"
-    return f"(greatest({overlap(a, b)}, {overlap(b, a)}) >= 0.35 OR {distance(a, b)} <= 0.22 * greatest({diagonal(a)}, {diagonal(b)}, 1.0))"
+    return f"(greatest({overlap(a, b)}, {overlap(b, a)}) >= 0.35 OR {distance(a, b)} <= 0.22::DOUBLE * greatest({diagonal(a)}, {diagonal(b)}, 1.0))"
 
 
 def direction(a: str, b: str, w: str, h: str) -> str:
     dx, dy = f"({cx(b)} - {cx(a)})", f"({cy(b)} - {cy(a)})"
     across, down = f"CASE WHEN {dx} > 0 THEN 'right_of' ELSE 'left_of' END", f"CASE WHEN {dy} > 0 THEN 'below' ELSE 'above' END"
     return f"""CASE WHEN greatest({overlap(a, b)}, {overlap(b, a)}) > 0.05 THEN 'overlapping' WHEN abs({dx}) > abs({dy}) THEN {across} WHEN abs({dy}) > abs({dx}) THEN {down}
-        WHEN abs({dx}) >= 0.05 * {w} THEN {across} WHEN abs({dy}) >= 0.05 * {h} THEN {down} ELSE 'overlapping' END"""
+        WHEN abs({dx}) >= 0.05::DOUBLE * {w} THEN {across} WHEN abs({dy}) >= 0.05::DOUBLE * {h} THEN {down} ELSE 'overlapping' END"""
 
 
 def region(b: str, w: str, h: str) -> str:
