@@ -78,5 +78,5 @@ def jaccard(a: Column, b: Column) -> Column:
 def all_distinct(questions: Column, most: float = 0.7) -> Column:
     """Whether no two of the questions share more than this part of their words."""
     sets = F.transform(questions, lambda q: F.array_distinct(tokens(F.lower(q))))
-    indexed = F.transform(sets, lambda s, i: F.struct(i.alias("i"), s.alias("s")))
+    indexed = F.transform(sets, lambda s, i: F.named_struct(F.lit("i"), i, F.lit("s"), s))
     return ~F.exists(indexed, lambda a: F.exists(indexed, lambda b: (a["i"] < b["i"]) & (jaccard(a["s"], b["s"]) > most)))

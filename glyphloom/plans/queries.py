@@ -17,7 +17,7 @@ from glyphloom.functions import labels as L
 from glyphloom.functions import normalize as N
 from glyphloom.functions import scoring as S
 from glyphloom.functions.geometry import Box
-from glyphloom.operators import agreement, boxes, folds, quality, rescue, tables, votes
+from glyphloom.operators import agreement, boxes, folds, quality, rescue, tables, tuples, votes
 from glyphloom.plans import sqltext as X
 from glyphloom.plans import views as V
 from glyphloom.session import table, written
@@ -556,6 +556,46 @@ def anchor_clusters(spark: SparkSession, d: str) -> DataFrame:
     return folds.anchor_clusters(best.select("image_id", F.col("node_id").alias("key"), "box", "label", "selection_score", "score"))
 
 
+def _on_anchor(spark: SparkSession, d: str) -> DataFrame:
+    """The anchor of each text by relevance alone."""
+    from pyspark.sql import Window
+
+    found = written(boxes.anchor_candidates(V.nodes(spark, d), V.anchors(spark, d)), "candidates")
+    order = Window.partitionBy("image_id", "node_id").orderBy(F.desc("relevance"), F.desc("score"), "anchor_id")
+    return found.withColumn("rank", F.row_number().over(order)).where("rank = 1")
+
+
+_ON = f"{_CANDIDATES}, best AS (SELECT DISTINCT ON (image_id, node_id) * FROM cand ORDER BY image_id, node_id, relevance DESC, score DESC, anchor_id)"
+
+
+@query(f"WITH {_ON} SELECT n.image_id, n.node_id, n.text, label, relation FROM nodes n LEFT JOIN best USING (image_id, node_id)")
+def word_tuples(spark: SparkSession, d: str) -> DataFrame:
+    return tuples.word_tuples(V.nodes(spark, d), _on_anchor(spark, d)).select("image_id", "node_id", "text", "label", "relation")
+
+
+@query(
+    f"""WITH {_ON}, g AS (SELECT n.image_id, label, [round_even(best.box.x1, 1), round_even(best.box.y1, 1), round_even(best.box.x2, 1), round_even(best.box.y2, 1)] AS k,
+            list({{'y': (polygon[2] + polygon[4] + polygon[6] + polygon[8]) / 4, 'x': (polygon[1] + polygon[3] + polygon[5] + polygon[7]) / 4, 'node_id': n.node_id, 'text': n.text}} ORDER BY (polygon[2] + polygon[4] + polygon[6] + polygon[8]) / 4, (polygon[1] + polygon[3] + polygon[5] + polygon[7]) / 4, n.node_id) AS m
+            FROM nodes n JOIN best USING (image_id, node_id) WHERE relation = 'on' GROUP BY 1, 2, 3 HAVING count(*) >= 2),
+        s AS (SELECT image_id, label, array_to_string([x.node_id FOR x IN m], '|') AS node_ids, array_to_string([{X.strip("x.text")} FOR x IN m IF {X.strip("x.text")} <> ''], ' ') AS answer FROM g) SELECT * FROM s WHERE {X.valid("answer")}"""
+)
+def sign_groups(spark: SparkSession, d: str) -> DataFrame:
+    signs = tuples.sign_groups(V.nodes(spark, d), _on_anchor(spark, d))
+    return signs.select("image_id", "label", F.array_join("node_ids", "|").alias("node_ids"), "answer")
+
+
+@query()
+def merged_signs(spark: SparkSession, d: str) -> DataFrame:
+    on = _on_anchor(spark, d).where("relation = 'on'").withColumn("selection_score", F.col("relevance"))
+    clusters = written(folds.anchor_clusters(on.select("image_id", F.col("node_id").alias("key"), "box", "label", "selection_score", "score")), "clusters")
+    return tuples.merged_signs(V.nodes(spark, d), clusters, tuples.WIDE)
+
+
+@query()
+def line_windows(spark: SparkSession, d: str) -> DataFrame:
+    return tuples.line_windows(folds.text_lines(V.nodes(spark, d).withColumnRenamed("node_id", "key")))
+
+
 @query()
 def reading_order(spark: SparkSession, d: str) -> DataFrame:
     grouped = boxes.text_groups(V.nodes(spark, d)).withColumnRenamed("node_id", "key")

@@ -285,3 +285,32 @@ def test_stream_counts_deliveries_once(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert spark.sql("SELECT * FROM seen").count() == 2
+
+
+def test_stacked_names_become_one_sign(spark):
+    from glyphloom.operators import tuples
+
+    stack = [("i", f"n{k}", t, (20.0, 20.0 + 30 * k, 120.0, 44.0 + 30 * k), True) for k, t in enumerate(["JOHN", "PAUL", "GEORGE", "RINGO"])]
+    rows = [*stack, ("i", "far", "NOISE", (400.0, 300.0, 440.0, 320.0), True), ("i", "x", "12", (150.0, 20.0, 170.0, 44.0), False)]
+    nodes = spark.createDataFrame(rows, f"image_id string, node_id string, text string, box {BOX}, resolvable boolean").selectExpr("*", "lower(text) as text_normalized", "0.9 as confidence")
+    clusters = spark.createDataFrame([("i", 1, "album cover", (0.0, 0.0, 200.0, 200.0)), ("i", 2, "album cover", (0.0, 0.0, 190.0, 190.0))], f"image_id string, cluster_no int, label string, box {BOX}")
+    got = tuples.merged_signs(nodes, clusters).collect()
+    assert [(r.cluster_no, r.node_ids, r.answer) for r in got] == [(1, ["n0", "n1", "n2", "n3"], "JOHN PAUL GEORGE RINGO")]
+    assert tuple(got[0].box) == (20.0, 20.0, 120.0, 134.0)
+
+
+def test_line_windows(spark):
+    from glyphloom.operators import tuples
+
+    xs = [("a", "ONE", 0), ("b", "TWO", 30), ("c", "SIX", 60), ("d", "www.x.com", 90), ("e", "FAR", 400), ("f", "OFF", 430)]
+    rows = [("i", k, t, (x * 1.0, 0.0, x + 25.0, 20.0), 1, n) for n, (k, t, x) in enumerate(xs, 1)]
+    df = spark.createDataFrame(rows, f"image_id string, key string, text string, box {BOX}, line_no int, position int")
+    assert sorted(r.answer for r in tuples.line_windows(df).collect()) == ["FAR OFF", "ONE TWO", "ONE TWO SIX", "TWO SIX"]
+
+
+def test_validated_items(spark):
+    from glyphloom.operators import tuples
+
+    df = spark.createDataFrame([("t", "OPEN", ["red sign"], [("What does the red sign say here?", "open!"), ("Which word is on the red sign now?", "closed")])], "tuple_id string, answer string, anchor_synonyms array<string>, items array<struct<question: string, answer: string>>")
+    got = [(r.answer_ok, r.anchor_ok, r.length_ok, r.duplicate_ok, r.accepted) for r in tuples.validated_items(df).orderBy("item_no").collect()]
+    assert got == [(True, True, True, True, True), (False, True, True, True, False)]
