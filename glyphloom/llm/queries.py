@@ -93,7 +93,8 @@ def p4_readers(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p4_agreement(spark: SparkSession, d: str) -> DataFrame:
-    return consensus.chance_corrected(table(spark, d, "readings"))
+    found = consensus.chance_corrected(table(spark, d, "readings"))
+    return found.select("readings", *(F.round(c, 9).alias(c) for c in ("observed", "by_chance", "alpha")))
 
 
 SHARES = {"train": 0.8, "validation": 0.1, "test": 0.1}

@@ -78,6 +78,18 @@ _LEAKS = f"""
          f AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS run FROM (SELECT doc_id, w, unnest(range(1, len(w) - 2)) AS i FROM d)),
          h AS (SELECT doc_id, item_id, n, count(DISTINCT i + j) AS held FROM f JOIN p USING (run), range(4) t(j) GROUP BY 1, 2, 3)"""
 
+_AGREE = r"""
+    WITH l AS (SELECT image_id, node_id, coalesce(model_name, '') AS reader, arg_max(t, (read_at, t)) AS t
+               FROM (SELECT *, coalesce(trim(regexp_replace(regexp_replace(lower(text), '[^\p{L}\p{N}\s\p{Z}]+', '', 'g'), '[\s\p{Z}]+', ' ', 'g')), '') AS t FROM readings)
+               WHERE image_id IS NOT NULL AND node_id IS NOT NULL GROUP BY 1, 2, 3),
+         c AS (SELECT image_id, node_id, t, count(*) AS n FROM l WHERE t <> '' GROUP BY 1, 2, 3),
+         m AS (SELECT image_id, node_id, sum(n) AS m, sum(n * (n - 1)) AS same FROM c GROUP BY 1, 2 HAVING sum(n) > 1),
+         o AS (SELECT sum(m)::BIGINT AS readings, sum(same / (m - 1)) / sum(m) AS observed FROM m),
+         k AS (SELECT sum(n) AS n FROM c SEMI JOIN m USING (image_id, node_id) GROUP BY t),
+         e AS (SELECT sum(n::DOUBLE * (n - 1)) AS pairs FROM k),
+         x AS (SELECT readings, observed, pairs / (readings::DOUBLE * (readings - 1)) AS by_chance FROM o, e)
+    SELECT readings, round(observed, 9) AS observed, round(by_chance, 9) AS by_chance, round((observed - by_chance) / (1 - by_chance), 9) AS alpha FROM x"""
+
 SQL = {
     "p1_found": f"{_TERMS} SELECT field_name, term, mark FROM m WHERE mark IS NOT NULL",
     "p1_terms": f"{_TERMS} SELECT field_name, term, occurrences, records, mark FROM m",
@@ -91,4 +103,5 @@ SQL = {
     "p8_found": f"{_LEAKS} SELECT doc_id, item_id FROM h WHERE held >= 0.5 * n",
     "p8_items": f"{_LEAKS} SELECT item_id, count(*) AS documents, max(held / n) AS most_held FROM h WHERE held >= 0.5 * n GROUP BY 1",
     "p9_found": f"{_RUNS} SELECT doc_id FROM m WHERE repeated_words > words * 0.3::DOUBLE",
+    "p4_agreement": _AGREE,
 }
