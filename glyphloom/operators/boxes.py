@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from glyphloom.functions import geometry as G
 from glyphloom.functions.geometry import Box
 from glyphloom.operators.graph import components
+from glyphloom.operators.skew import lookup_join, with_counts
 from glyphloom.session import written
 
 #: Pixels of a grid cell's side, for boxes themselves and for those enlarged by far reaches: about
@@ -77,8 +78,9 @@ def text_groups(nodes: DataFrame, key: str = "node_id") -> DataFrame:
     edges = connected_pairs(nodes, key).select(name("a").alias("a"), name("b").alias("b"))
     roots = components(edges)
     named = nodes.withColumn("_node", name(key)).join(roots.withColumnRenamed("node", "_node"), "_node", "left").withColumn("_root", F.coalesce("root", "_node"))
-    least = Window.partitionBy("_root")
-    return named.withColumn("group_id", F.min(key).over(least)).drop("_node", "_root", "root")
+    named = written(named.drop("_node", "root"), "named")
+    least = named.groupBy("_root").agg(F.min(key).alias("group_id"))
+    return lookup_join(named, least, ["_root"]).drop("_root")
 
 
 def group_shapes(grouped: DataFrame) -> DataFrame:
@@ -180,10 +182,12 @@ def competitors(tuples: DataFrame) -> DataFrame:
     """tuple_id with counts of the other tuples of its image that could be meant instead.
 
     tuples: image_id, tuple_id, relation, label, answer, coarse, specific, bucket (normal forms, empty
-    where unknown), box. All counts by equal values are counts over windows; only boxes that overlap
-    are paired."""
+    where unknown; none null), box. Equal values are counted, only boxes that overlap are paired."""
     scope = ["image_id", "relation"]
-    count = lambda *by: F.count(F.lit(1)).over(Window.partitionBy(*scope, *by))
+    sets = [["label"], ["coarse"], ["bucket"], ["label", "answer"], ["label", "coarse"], ["label", "specific"], ["label", "bucket"], ["coarse", "bucket"], ["label", "coarse", "specific"], ["label", "coarse", "bucket"], ["label", "specific", "bucket"], ["label", "coarse", "specific", "bucket"]]
+    count = lambda *by: F.col("_n_" + "_".join(by))
+    answers = tuples.groupBy(*scope, "label").agg(F.count_distinct(F.nullif("answer", F.lit(""))).alias("_answers"))
+    numbered = lookup_join(with_counts(tuples, scope, {"_n_" + "_".join(s): s for s in sets}), answers, [*scope, "label"], "left")
     filled = lambda *by: " and ".join(f"{c} <> ''" for c in by) or "true"
     others = lambda *by: F.when(F.expr(filled(*(c for c in by if c != "label"))), count(*by) - 1).otherwise(F.lit(0))
     # tuples with the label and one of coarse, specific, bucket, or with coarse and bucket: by inclusion and exclusion
@@ -192,15 +196,15 @@ def competitors(tuples: DataFrame) -> DataFrame:
     lcs, lcb, lsb = others("label", "coarse", "specific"), others("label", "coarse", "bucket"), others("label", "specific", "bucket")
     # label & (c|s|b) plus c & b, less what both hold: label & c & b
     confusable = lc + ls + lb - lcs - lcb - lsb + lcsb + cb - lcb
-    counted = tuples.select(
-        "*",
+    counted = numbered.select(
+        "image_id", "tuple_id",
         (count("label") - 1).alias("anchor_label_competitors"),
         others("coarse").alias("coarse_region_competitors"),
         others("bucket").alias("bucket_competitors"),
         confusable.alias("_confusable"),
         F.when(F.col("answer") != "", count("label", "answer")).otherwise(0).alias("same_anchor_same_answer_count"),
-        F.size(F.collect_set(F.nullif(F.col("answer"), F.lit(""))).over(Window.partitionBy(*scope, "label"))).cast("long").alias("same_anchor_distinct_answer_count"),
-    )
+        F.col("_answers").alias("same_anchor_distinct_answer_count"),
+    )
     pairs = near_pairs(tuples, tuples, on=("image_id", "relation")).where("l.tuple_id <> r.tuple_id").withColumn("v", G.iou(Box.of("l.box"), Box.of("r.box"))).where("v >= 0.35")
     same = lambda c: (F.col(f"l.{c}") == F.col(f"r.{c}")) & ((F.col(f"l.{c}") != "") if c != "label" else F.lit(True))
     already = (same("label") & (same("coarse") | same("specific") | same("bucket"))) | (same("coarse") & same("bucket"))

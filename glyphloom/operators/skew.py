@@ -38,6 +38,26 @@ def lookup_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "
     return hot.unionByName(cold)
 
 
+def with_counts(df: DataFrame, scope: list[str], sets: dict[str, list[str]]) -> DataFrame:
+    """df with, for each name, the number of its rows that agree in scope and in the set's keys.
+
+    Scopes are windows of one task each; heavy ones are counted with a map-side combine instead and
+    the counts looked up, so no scope is gathered whatever its size. No key may be null."""
+    from pyspark.sql import Window
+
+    from glyphloom.session import written
+
+    windowed = lambda d: d.select("*", *(F.count(F.lit(1)).over(Window.partitionBy(*scope, *keys)).alias(name) for name, keys in sets.items()))
+    heavy = written(heavy_keys(df, scope), "heavy")
+    if heavy.isEmpty():
+        return windowed(df)
+    hot = written(df.join(F.broadcast(heavy), scope, "left_semi"), "hot")
+    for name, keys in sets.items():
+        by = [*scope, *keys]
+        hot = written(lookup_join(hot, hot.groupBy(*by).agg(F.count(F.lit(1)).alias(name)), by, "left"), "hot")
+    return windowed(df.join(F.broadcast(heavy), scope, "left_anti")).unionByName(hot)
+
+
 def top_n(df: DataFrame, groups: list[str], order: list[Column], n: int, rank: str = "rank") -> DataFrame:
     """The first n rows of each group; Spark cuts each group to n rows before the shuffle as well."""
     from pyspark.sql import Window

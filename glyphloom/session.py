@@ -53,13 +53,30 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """The rows of df as a table in the shared folder.
 
     Cuts the lineage: what is computed once is read again, also after executors are lost. Columnar
-    and compressed, it takes less disk than checkpoint().
+    and compressed, it takes less disk than checkpoint(). It stays until clear() or the program's end.
     """
     spark = df.sparkSession
     path = fresh_path(spark, name)
+    if not _written:
+        atexit.register(clear, spark)
+    _written.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_written: list[str] = []
+
+
+def clear(spark: SparkSession) -> None:
+    """Deletes the tables written so far; results that aren't written elsewhere yet are lost with them."""
+    while _written:
+        path = _written.pop()
+        try:
+            p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        except Exception:  # noqa: BLE001 - the session may have ended
+            return
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
