@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from glyphloom.operators.boxes import near_pairs
 from glyphloom.operators.graph import components
-from glyphloom.session import written
+from glyphloom.session import ship, written
 
 BLOCK_ROWS = 10_000
 
@@ -71,6 +71,7 @@ Step = Callable[[Block], tuple[list[int], dict[str, list]]]
 
 def fold(df: DataFrame, order: list[Column], step: Step, more: str = "") -> DataFrame:
     """df with the rows that step keeps of every block and the columns it adds (a DDL string)."""
+    ship(df.sparkSession)
     columns = df.columns
     schema = T.StructType([*df.schema.fields, *(T.StructType.fromDDL(more).fields if more else [])])
 

@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,6 +46,25 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+def ship(spark: SparkSession) -> None:
+    """Gives the session's Python workers this package, once: tasks import what they run from it.
+
+    Where the workers have it already, installed or on their path, this changes nothing."""
+    sc = spark.sparkContext
+    if getattr(sc, "_glyphloom_shipped", False):
+        return
+    sc._glyphloom_shipped = True
+    base = shared_dir(spark).removeprefix("file://")
+    folder = Path(base if "://" not in base else tempfile.mkdtemp(prefix="glyphloom-"))
+    folder.mkdir(parents=True, exist_ok=True)
+    package, target = Path(__file__).resolve().parent, folder / f"glyphloom-{uuid.uuid4().hex}.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f"{package.name}/{f.relative_to(package)}")
+    atexit.register(target.unlink, True)
+    sc.addPyFile(str(target))
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing else uses."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
@@ -56,6 +77,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     and compressed, it takes less disk than checkpoint(). It stays until clear() or the program's end.
     """
     spark = df.sparkSession
+    ship(spark)
     path = fresh_path(spark, name)
     if not _written:
         atexit.register(clear, spark)
@@ -79,4 +101,5 @@ def clear(spark: SparkSession) -> None:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
