@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from glyphloom.functions.words import PY_WORD, words
 from glyphloom.llm.fmindex import FMIndex
+from glyphloom.session import ship
 
 RUN = 4
 #: Words of a shard: bounds a task's memory, whatever the size of its partition.
@@ -141,6 +142,7 @@ def leaks(docs: DataFrame, items: DataFrame, least: float = 0.5, run: int = RUN,
 
     The items reach the tasks in blocks of about block_words words, one block after another."""
     spark = docs.sparkSession
+    ship(spark)
     split = items.where("item_id is not null").select(F.col("item_id").cast("long"), words(F.col("text")).alias("w")).where(F.size("w") >= run)
     total = split.agg(F.coalesce(F.sum(F.size("w")), F.lit(0)).alias("n")).first()["n"]
     blocks = max(1, math.ceil(total / block_words))
