@@ -5,7 +5,9 @@ measured over its whole text. Each rule votes that the document is repetitive, t
 abstains. Expectation-maximisation over the counts of the vote patterns (at most 3 to the number of
 rules, however many documents) estimates each rule's accuracies and the share of repetitive
 documents without labels; every document gets the posterior probability of its votes. Documents
-that aren't clearly clean by it are suspects, and an exact limit on the repeated share follows.
+that aren't clearly clean by it, or for which any rule votes, are suspects, and an exact limit on the
+repeated share follows. The rule on that share itself votes for every document above the limit, so
+none of them is lost however low the posterior of its votes is.
 
 Results for odd input: null texts are left out, as are rows with a null id; a text with fewer than
 RUN words has the share 0; repeated texts under other ids are measured each; an empty table gives
@@ -30,7 +32,7 @@ from glyphloom.session import ship, written
 
 RUN = 5
 LIMIT = 0.3
-#: A document with at least this posterior probability is suspect.
+#: A document with at least this posterior probability is suspect, as is one with a positive vote.
 SUSPECT = 0.05
 #: Words measured at once: bounds a task's memory; a longer text is measured alone.
 CHUNK_WORDS = 1 << 20
@@ -229,5 +231,11 @@ def repetitive(df: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def above_limit(documents: DataFrame, limit: float = LIMIT, suspect: float = SUSPECT) -> DataFrame:
-    """The suspects whose repeated share exceeds the limit."""
-    return documents.where((F.col("posterior") >= suspect) & (F.col("repeated_words") > F.col("words") * F.lit(limit)))
+    """The suspects whose repeated share exceeds the limit: all documents above it, which may not be
+    less than LIMIT, from where on the rule on that share votes."""
+    if limit < LIMIT:
+        raise ValueError(f"a limit under {LIMIT} has documents above it that no rule need vote for")
+    voted = F.lit(False)
+    for r in rules():
+        voted = voted | F.coalesce(F.col(f"vote_{r.name}") == 1, F.lit(False))
+    return documents.where((voted | (F.col("posterior") >= suspect)) & (F.col("repeated_words") > F.col("words") * F.lit(limit)))

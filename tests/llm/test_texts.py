@@ -208,6 +208,27 @@ def test_documents_above_the_limit(spark):
     assert len(kept) == 200 + 12 + 4 and kept[2001].repeated_share == 0 and kept[2004].repeated_words == 6
 
 
+@pytest.mark.parametrize("sep", ["\n\n", " "])
+def test_a_phrase_in_different_sentences_is_above_the_limit(spark, sep):
+    rnd = random.Random(4)
+    fresh = lambda n: " ".join(f"u{rnd.randrange(10**9)}" for _ in range(n))
+    rows = [(i, sep.join(f"{fresh(8)}." for _ in range(5))) for i in range(2000)]
+    rows += [(3000 + i, sep.join(["buy this very good thing now here today again."] * 8 + [fresh(4) + "."])) for i in range(100)]
+    # few beside many: the other rules' votes outweigh that of the runs
+    rows += [(4000 + i, sep.join(f"{fresh(11)} how one two three four five six {fresh(2)}." for _ in range(12))) for i in range(20)]
+    out = repetition.repetitive(docs(spark, rows), "doc_id", "text")
+    odd = [r for r in out.collect() if r.doc_id >= 4000]
+    ends = None if sep == " " else 0
+    assert {(r.vote_runs, r.vote_short_runs, r.vote_long_runs, r.vote_lines, r.vote_sentences, r.vote_paragraphs) for r in odd} == {(1, None, 0, ends, 0, ends)}
+    assert max(r.posterior for r in odd) < repetition.SUSPECT
+    assert {r.doc_id for r in repetition.above_limit(out).collect()} == {i for i, _ in rows if i >= 3000}
+
+
+def test_a_limit_below_the_rule_is_refused(spark):
+    with pytest.raises(ValueError):
+        repetition.above_limit(repetition.repetitive(docs(spark, []), "doc_id", "text"), 0.2)
+
+
 def test_no_documents(spark):
     out = repetition.repetitive(docs(spark, []), "doc_id", "text")
     assert repetition.above_limit(out).collect() == []
