@@ -243,16 +243,27 @@ def dedupe_nodes(df: DataFrame, least: float = 0.74, iou: float = 0.60) -> DataF
     return fold(blocks(df, "key"), order, step).drop("block_id")
 
 
+def _numbered(df: DataFrame, name: str, order: list[Column]) -> DataFrame:
+    """df, folded in blocks, with its clusters numbered through over each image as if that were one
+    block: by the order of their first members (_first), in a block by _n."""
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("image_id").orderBy(*order, "block_id", "_n")
+    return df.withColumn(name, F.dense_rank().over(w)).drop("_first", "_n", "block_id")
+
+
 def relabel_groups(df: DataFrame, conflict: float = 0.78) -> DataFrame:
     """df with group_no: tuples of one relation whose anchors are like the group's first. df: image_id,
     key, relation, box, anchor_score."""
     fits = like(conflict, max(0.55, conflict - 0.08))
 
     def step(b: Block) -> tuple[list[int], dict[str, list]]:
-        clusters = exemplars(b, fits, ["relation"])
-        return list(chain.from_iterable(clusters)), {"group_no": [n for n, c in enumerate(clusters, 1) for _ in c]}
+        clusters, first = exemplars(b, fits, ["relation"]), b["_first"]
+        return list(chain.from_iterable(clusters)), {"_first": [first[c[0]] for c in clusters for _ in c], "_n": [n for n, c in enumerate(clusters, 1) for _ in c]}
 
-    return fold(blocks(df, "key"), [F.asc("relation"), F.desc("anchor_score"), F.asc("key")], step, "group_no int").drop("block_id")
+    order = lambda at="": [F.asc(f"{at}relation"), F.desc(f"{at}anchor_score"), F.asc(f"{at}key")]
+    named = blocks(df, "key").withColumn("_first", F.struct("relation", "anchor_score", "key"))
+    return _numbered(fold(named, order(), step, "_n int"), "group_no", order("_first."))
 
 
 def consolidate(df: DataFrame, plain: tuple[str, ...], conflict: float = 0.78) -> DataFrame:
@@ -280,24 +291,26 @@ def consolidate(df: DataFrame, plain: tuple[str, ...], conflict: float = 0.78) -
 
 
 def anchor_clusters(df: DataFrame, least: float = 0.1) -> DataFrame:
-    """One row, that of the best anchor, for texts that stand on like anchors: with cluster_no, the
-    box around them, their keys and distinct labels. df: image_id, key, box (the anchor's), label,
-    selection_score, score."""
+    """One row, that of the best anchor, for texts that stand on like anchors: with cluster_no (its
+    number in the image), the box around them, their keys and distinct labels. df: image_id, key, box
+    (the anchor's), label, selection_score, score."""
 
     def step(b: Block) -> tuple[list[int], dict[str, list]]:
-        boxes, labels, keys, chosen, score = b.boxes(), b.text("label"), b["key"], b.number("selection_score"), b.number("score")
-        kept, new = [], {n: [] for n in ("box", "cluster_no", "member_keys", "labels")}
+        boxes, labels, keys, chosen, score, first = b.boxes(), b.text("label"), b["key"], b.number("selection_score"), b.number("score"), b["_first"]
+        kept, new = [], {n: [] for n in ("box", "_first", "_n", "member_keys", "labels")}
         for n, rows in enumerate(exemplars(b, lambda o, box: o.alike(box) >= least, []), 1):
             kept.append(max(rows, key=lambda i: (chosen[i], score[i], -i)))
             lo, hi = boxes[rows].min(axis=0).tolist(), boxes[rows].max(axis=0).tolist()
             new["box"].append({"x1": lo[0], "y1": lo[1], "x2": hi[2], "y2": hi[3]})
-            new["cluster_no"].append(n)
+            new["_first"].append(first[rows[0]])
+            new["_n"].append(n)
             new["member_keys"].append([str(keys[i]) for i in rows])
             new["labels"].append(list(dict.fromkeys(labels[i] for i in rows if labels[i].strip())))
         return kept, new
 
-    order = [F.desc("score"), F.asc("label"), F.asc("key")]
-    return fold(blocks(df, "key"), order, step, "cluster_no int, member_keys array<string>, labels array<string>").drop("block_id")
+    order = lambda at="": [F.desc(f"{at}score"), F.asc(f"{at}label"), F.asc(f"{at}key")]
+    named = blocks(df, "key").withColumn("_first", F.struct("score", "label", "key"))
+    return _numbered(fold(named, order(), step, "_n int, member_keys array<string>, labels array<string>"), "cluster_no", order("_first."))
 
 
 def merge_passes(df: DataFrame, iou: float = 0.55, least_passes: int = 1) -> DataFrame:

@@ -221,6 +221,31 @@ def test_large_images_are_folded_in_blocks(spark, monkeypatch):
     assert sorted(r.key for r in folds.dedupe_anchors(df, 0.3).collect()) == whole
 
 
+def test_clusters_of_large_images_are_numbered_through(spark, monkeypatch):
+    from glyphloom.operators import tuples
+
+    rnd = random.Random(6)
+    labels, scores = ["wall", "sign", None], [0.5, 0.9, None, 0.7]
+    rows = [(*r, rnd.choice(labels), rnd.choice(scores), rnd.choice(scores), rnd.choice(["on", "above"])) for i in "ij" for r in random_boxes(rnd, 60, i, 2500)]
+    df = spark.createDataFrame(rows, f"image_id string, key string, box {BOX}, label string, score double, selection_score double, relation string").withColumn("anchor_score", F.col("score"))
+    # words in pairs, far from other pairs, each pair on its own anchor
+    texts = [("i", f"t{k:03d}{w}", w, w, (x, y, x + 40.0, y + 20.0), 0.9, True) for k in range(30) for w, x, y in [("OPEN", k % 6 * 400.0, k // 6 * 400.0), ("DAILY", k % 6 * 400.0 + 45, k // 6 * 400.0)]]
+    nodes = spark.createDataFrame(texts, f"image_id string, node_id string, text string, text_normalized string, box {BOX}, confidence double, resolvable boolean")
+    on = nodes.selectExpr("image_id", "node_id as key", "struct(floor(box.x1 / 400) * 400.0d as x1, box.y1 as y1, floor(box.x1 / 400) * 400.0d + 100 as x2, box.y2 + 30 as y2) as box", "concat('sign ', substr(node_id, 2, 3)) as label", "0.5d as selection_score", "0.5d as score")
+
+    def results():
+        clusters = folds.anchor_clusters(df).select("image_id", "cluster_no", "member_keys", "labels", "box", "key").collect()
+        groups = folds.relabel_groups(df).select("image_id", "group_no", "key").collect()
+        signs = tuples.merged_signs(nodes, folds.anchor_clusters(on)).select("image_id", "cluster_no", "label", "node_ids", "answer").collect()
+        return [sorted(map(str, rows)) for rows in (clusters, groups, signs)]
+
+    whole = results()
+    split = folds.blocks
+    monkeypatch.setattr(folds, "blocks", lambda d, k: split(d, k, block_rows=10))
+    assert folds.blocks(df, "key").select("block_id").distinct().count() > 10
+    assert results() == whole and len(whole[2]) == 30
+
+
 def test_support(spark):
     rows = [("i", "n", "a", "on", (10.0, 10.0, 100.0, 100.0), "wall", "x"), ("i", "n", "b", "on", (12.0, 12.0, 102.0, 102.0), "sign wall", "y"), ("i", "n", "c", "on", (140.0, 10.0, 180.0, 90.0), "bottle", "x"), ("i", "n", "d", "above", (10.0, 10.0, 100.0, 100.0), None, None)]
     df = spark.createDataFrame(rows, f"image_id string, node_id string, anchor_id string, relation string, box {BOX}, label string, source string")
