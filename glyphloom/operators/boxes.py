@@ -85,7 +85,8 @@ def text_groups(nodes: DataFrame, key: str = "node_id") -> DataFrame:
 
 def group_shapes(grouped: DataFrame) -> DataFrame:
     """(image_id, group_id, size, unresolved, shape): singleton, grid, row, stack or cluster, from the
-    spread of the members' centres."""
+    spread of the members' centres. The columns and rows of a grid are thirds of the picture here; see
+    text_places for those of the group's own box."""
     b = Box.of("box")
     third = lambda v, size: F.when(v / F.greatest(size, F.lit(1)) < 0.34, 0).when(v / F.greatest(size, F.lit(1)) <= 0.66, 1).otherwise(2)
     of = grouped.groupBy("image_id", "group_id").agg(
@@ -101,6 +102,45 @@ def group_shapes(grouped: DataFrame) -> DataFrame:
     return of.select("image_id", "group_id", "size", "unresolved", shape.alias("shape"))
 
 
+def text_places(grouped: DataFrame, key: str = "node_id") -> DataFrame:
+    """(image_id, key, group_id, size, unresolved, shape, x_rank, y_rank, bucket_key, bucket_occupancy,
+    group_box): where every text stands in its group.
+
+    grouped: one row a key, as of text_groups. Columns and rows are thirds of the group's box. Ranks
+    count from 0, from the left and from above; equal centres share one, and of centres level in one
+    direction the other decides. The bucket is singleton, the place in a row (left, middle, right) or
+    stack (upper, middle, lower), else the third of the box; its occupancy counts the members whose
+    third of the box has that name, so it is 0 for singletons, rows and stacks. Texts that aren't
+    known to be resolvable are unresolved."""
+    group, b = ["image_id", "group_id"], Box.of("box")
+    members = written(grouped.where(" and ".join(f"box.{s} is not null" for s in ("x1", "y1", "x2", "y2"))).select(*group, key, "box", b.cx.alias("cx"), b.cy.alias("cy"), F.coalesce("resolvable", F.lit(False)).alias("ok")), "members")
+    frames = members.groupBy(*group).agg(
+        F.count(F.lit(1)).alias("size"),
+        F.count(F.when(~F.col("ok"), 1)).alias("unresolved"),
+        (F.max("cx") - F.min("cx")).alias("xr"),
+        (F.max("cy") - F.min("cy")).alias("yr"),
+        Box(F.min("box.x1"), F.min("box.y1"), F.max("box.x2"), F.max("box.y2")).struct().alias("f"),
+    )
+    f = Box.of("f")
+    share = lambda v, low, side: (F.col(v) - low) / F.greatest(side, F.lit(1.0))
+    third = G.bucket_name(share("cx", f.x1, f.width), share("cy", f.y1, f.height))
+    placed = written(lookup_join(members, frames, group).withColumn("third", third), "placed")
+    # at most nine rows a group
+    thirds = placed.groupBy(*group, "third").agg(F.count(F.lit(1)).alias("bucket_occupancy"))
+    part = lambda n: F.count_distinct(F.split_part("third", F.lit("_"), F.lit(n)))
+    spread = thirds.groupBy(*group).agg(part(1).alias("rows"), part(2).alias("columns"))
+    grid = (F.col("size") >= 4) & (F.col("columns") >= 2) & (F.col("rows") >= 2)
+    shape = F.when(F.col("size") == 1, "singleton").when(grid, "grid").when(F.col("xr") > 1.6 * F.col("yr"), "row").when(F.col("yr") > 1.6 * F.col("xr"), "stack").otherwise("cluster")
+    rank = lambda *by: F.rank().over(Window.partitionBy(*group).orderBy(*by)) - 1
+    ranked = lookup_join(placed, spread, group).withColumns({"shape": shape, "x_rank": rank("cx", "cy"), "y_rank": rank("cy", "cx")})
+    line = lambda at, first, last: F.when(F.col(at) == 0, first).when(F.col(at) == F.col("size") - 1, last).otherwise("middle")
+    bucket = F.when(F.col("shape") == "singleton", "singleton").when(F.col("shape") == "row", line("x_rank", "left", "right")).when(F.col("shape") == "stack", line("y_rank", "upper", "lower")).otherwise(F.col("third"))
+    named = ranked.withColumn("bucket_key", bucket)
+    out = lookup_join(named, thirds.withColumnRenamed("third", "bucket_key"), [*group, "bucket_key"], "left")
+    box = Box(*(F.bround(v, 2) for v in (f.x1, f.y1, f.x2, f.y2))).struct()
+    return out.select("image_id", key, "group_id", "size", "unresolved", "shape", "x_rank", "y_rank", "bucket_key", F.coalesce("bucket_occupancy", F.lit(0)).alias("bucket_occupancy"), box.alias("group_box"))
+
+
 def nearest(nodes: DataFrame, n: int = 10, key: str = "node_id", most_levels: int = 24) -> DataFrame:
     """(image_id, key, neighbor, distance_px, relation, rank): the n nearest other nodes of every node
     by centre distance rounded to a tenth, ties by key.

@@ -199,6 +199,23 @@ def text_group_shapes(spark: SparkSession, d: str) -> DataFrame:
     return boxes.group_shapes(grouped).withColumn("group_id", F.substring_index("group_id", "\u0001", -1))
 
 
+@query(
+    f"""WITH RECURSIVE {_TEXT_GROUPS}, p AS (SELECT image_id, group_id, node_id, {X.cx("n.box")} AS cx, {X.cy("n.box")} AS cy, coalesce(resolvable, false) AS ok, n.box.x1 AS x1, n.box.y1 AS y1, n.box.x2 AS x2, n.box.y2 AS y2 FROM nodes n JOIN gr USING (image_id, node_id)),
+        f AS (SELECT image_id, group_id, count(*) AS size, count(*) FILTER (NOT ok) AS unresolved, max(cx) - min(cx) AS xr, max(cy) - min(cy) AS yr, min(x1) AS gx1, min(y1) AS gy1, max(x2) AS gx2, max(y2) AS gy2 FROM p GROUP BY 1, 2),
+        s AS (SELECT *, (cx - gx1) / greatest(gx2 - gx1, 1.0) AS fx, (cy - gy1) / greatest(gy2 - gy1, 1.0) AS fy FROM p JOIN f USING (image_id, group_id)),
+        t AS (SELECT *, CASE WHEN fy < 0.34::DOUBLE THEN 'upper' WHEN fy > 0.66::DOUBLE THEN 'lower' ELSE 'middle' END AS v, CASE WHEN fx < 0.34::DOUBLE THEN 'left' WHEN fx > 0.66::DOUBLE THEN 'right' ELSE 'center' END AS h,
+            rank() OVER (PARTITION BY image_id, group_id ORDER BY cx, cy) - 1 AS x_rank, rank() OVER (PARTITION BY image_id, group_id ORDER BY cy, cx) - 1 AS y_rank FROM s),
+        g AS (SELECT image_id, group_id, count(DISTINCT v) AS rws, count(DISTINCT h) AS cols FROM t GROUP BY 1, 2),
+        k AS (SELECT *, CASE WHEN size = 1 THEN 'singleton' WHEN size >= 4 AND cols >= 2 AND rws >= 2 THEN 'grid' WHEN xr > yr * 1.6::DOUBLE THEN 'row' WHEN yr > xr * 1.6::DOUBLE THEN 'stack' ELSE 'cluster' END AS shape FROM t JOIN g USING (image_id, group_id)),
+        b AS (SELECT *, CASE shape WHEN 'singleton' THEN 'singleton' WHEN 'row' THEN CASE x_rank WHEN 0 THEN 'left' WHEN size - 1 THEN 'right' ELSE 'middle' END WHEN 'stack' THEN CASE y_rank WHEN 0 THEN 'upper' WHEN size - 1 THEN 'lower' ELSE 'middle' END ELSE v || '_' || h END AS bucket_key FROM k)
+        SELECT image_id, node_id, group_id, size, unresolved, shape, x_rank, y_rank, bucket_key, (SELECT count(*) FROM t WHERE t.image_id = b.image_id AND t.group_id = b.group_id AND t.v || '_' || t.h = b.bucket_key) AS bucket_occupancy,
+            round_even(gx1, 2) AS group_x1, round_even(gy1, 2) AS group_y1, round_even(gx2, 2) AS group_x2, round_even(gy2, 2) AS group_y2 FROM b"""
+)
+def text_places(spark: SparkSession, d: str) -> DataFrame:
+    found = boxes.text_places(boxes.text_groups(V.nodes(spark, d))).withColumn("group_id", F.substring_index("group_id", "\u0001", -1))
+    return found.select("*", *(F.col(f"group_box.{s}").alias(f"group_{s}") for s in ("x1", "y1", "x2", "y2"))).drop("group_box")
+
+
 @query(
     f"""WITH {V.NODES}, p AS (SELECT a.image_id, a.node_id, b.node_id AS neighbor, round_even({X.distance("a.box", "b.box")}, 1) AS distance_px, {X.direction("a.box", "b.box", "a.image_width", "a.image_height")} AS relation
             FROM nodes a JOIN nodes b ON a.image_id = b.image_id AND a.node_id <> b.node_id), r AS (SELECT *, row_number() OVER (PARTITION BY image_id, node_id ORDER BY distance_px, neighbor)::INTEGER AS rank FROM p)

@@ -52,3 +52,27 @@ def test_groups_of_texts_come_with_their_smallest_key(spark):
     df = spark.createDataFrame(rows, f"image_id string, node_id string, box {BOX}, image_width int, image_height int")
     got = {(r.image_id, r.node_id): r.group_id for r in boxes.text_groups(df).select("image_id", "node_id", F.col("group_id")).collect()}
     assert got == {("i", f"n{k}"): "n0" for k in range(6)} | {("i", "z"): "z", ("j", "n9"): "n9"}
+
+
+def test_places_of_texts_in_their_group(spark, monkeypatch):
+    at = lambda i, n, x, y, ok=True: (i, n, (x, y, x + 10.0, y + 10.0), 1000, 1000, ok)
+    # a grid within one third of the picture; a compact row, stack and cluster about the picture's middle
+    rows = [at("grid", "ab"[r] + "12"[c], 20.0 + 15 * c, 20.0 + 15 * r, (r, c) != (0, 0)) for r in range(2) for c in range(2)] + [at("grid", "a3", 20.0, 35.0, None)]
+    rows += [at("row", f"n{k}", 320.0 + 12 * k, 500.0) for k in range(3)] + [at("stack", f"n{k}", 500.0, 320.0 + 12 * k) for k in range(2)] + [at("one", "n", 5.0, 5.0)]
+    rows += [at("cluster", f"n{k}", x, y) for k, (x, y) in enumerate([(335.0, 335.0), (347.0, 335.0), (335.0, 347.0)])]
+    df = spark.createDataFrame(rows, f"image_id string, node_id string, box {BOX}, image_width int, image_height int, resolvable boolean")
+
+    def got():
+        found = boxes.text_places(boxes.text_groups(df)).collect()
+        return {(r.image_id, r.node_id): (r.shape, r.size, r.unresolved, r.x_rank, r.y_rank, r.bucket_key, r.bucket_occupancy, tuple(r.group_box)) for r in found}
+
+    g, r, s, c = (20.0, 20.0, 45.0, 45.0), (320.0, 500.0, 354.0, 510.0), (500.0, 320.0, 510.0, 342.0), (335.0, 335.0, 357.0, 357.0)
+    want = {("grid", "a1"): ("grid", 5, 2, 0, 0, "upper_left", 1, g), ("grid", "a2"): ("grid", 5, 2, 3, 1, "upper_right", 1, g), ("grid", "b2"): ("grid", 5, 2, 4, 4, "lower_right", 1, g)}
+    want |= {("grid", n): ("grid", 5, 2, 1, 2, "lower_left", 2, g) for n in ("b1", "a3")}  # equal centres share a rank
+    want |= {("row", f"n{k}"): ("row", 3, 0, k, 0 + k, n, 0, r) for k, n in enumerate(["left", "middle", "right"])}
+    want |= {("stack", f"n{k}"): ("stack", 2, 0, k, k, n, 0, s) for k, n in enumerate(["upper", "lower"])}
+    want |= {("one", "n"): ("singleton", 1, 0, 0, 0, "singleton", 0, (5.0, 5.0, 15.0, 15.0))}
+    want |= {("cluster", f"n{k}"): ("cluster", 3, 0, *ranks, n, 1, c) for k, (ranks, n) in enumerate([((0, 0), "upper_left"), ((2, 1), "upper_right"), ((1, 2), "lower_left")])}
+    assert got() == want
+    monkeypatch.setattr(skew, "heavy_keys", lambda d, keys, *_: d.groupBy(*keys).count().where("count > 2").select(*keys))
+    assert got() == want
