@@ -2,7 +2,9 @@
 
 Images are tied by a common album, file name or link. Every album and file name ties its images to
 the smallest of them; the components of these ties are found by randomised contraction. Components
-of equal size and label profile form a bundle; a small flow for each bundle, largest components
+of equal size and label profile form a bundle. A profile counts each of the LABELS most frequent values
+and the others together; where there would be more than MAX_CELLS bundles, it is coarsened step by
+step, at last to the most frequent label of the component. A small flow for each bundle, largest components
 first, gives whole numbers of components for every split with the least deviation from the given
 shares; hashes say which components go where.
 
@@ -25,6 +27,10 @@ from glyphloom.operators.skew import HEAVY_ROWS, HEAVY_SHARE, heavy_keys, lookup
 from glyphloom.session import written
 
 
+#: Values of the label that are counted one by one.
+LABELS = 16
+
+
 def file_key(path: Column) -> Column:
     """The last component of a path in lower case; null if there is none."""
     return F.nullif(F.lower(F.regexp_extract(path, r"([^/]*)$", 1)), F.lit(""))
@@ -66,9 +72,9 @@ def tied_pairs(groups: DataFrame) -> DataFrame:
     return groups.where("image_id <> group_id").select(F.col("group_id").alias("image_id_a"), F.col("image_id").alias("image_id_b"))
 
 
-def _coarse(n: Column) -> Column:
-    """Itself below 16, else its leading four bits: few different values, however many rows."""
-    width = F.greatest(F.floor(F.log2(F.greatest(n, F.lit(1)).cast("double"))) - 3, F.lit(0)).cast("int")
+def _coarse(n: Column, bits: int = 4) -> Column:
+    """Itself below 16, else its leading four (or ``bits``) bits: few different values, however many rows."""
+    width = F.greatest(F.floor(F.log2(F.greatest(n, F.lit(1)).cast("double"))) - (bits - 1), F.lit(0)).cast("int")
     step = F.pow(F.lit(2.0), width).cast("long")
     return (n - F.pmod(n, step)).cast("long")
 
@@ -107,19 +113,24 @@ def split(tuples: DataFrame, groups: DataFrame, label: str, shares: dict[str, fl
     held = heavy_keys(rows, ["image_id"])
     rows = lookup_join(rows, groups, ["image_id"], "left", held).withColumn("group_id", F.coalesce("group_id", F.concat(F.lit("row:"), "ann_id")))
     rows = written(rows, "rows")
-    top = [r["label"] for r in rows.where("label is not null").groupBy("label").count().orderBy(F.desc("count"), "label").limit(2).collect()]
-    of = lambda c: F.count(F.when(c, 1))
-    profile = [of(F.col("label") == t).alias(f"n{i}") for i, t in enumerate(top)] + [F.count(F.lit(1)).alias("size")]
-    grouped = rows.groupBy("group_id").agg(*profile)
-    names = [f"n{i}" for i in range(len(top))] + ["size"]
-    grouped = written(grouped.select("group_id", F.col("size").alias("rows"), *(_coarse(F.col(n)).alias(n) for n in names)), "grouped")
-    count = lambda by: grouped.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.sum("rows").alias("_rows")).limit(MAX_CELLS + 1).collect()
-    found = count(names)
-    if len(found) > MAX_CELLS:  # then by size alone, of which there are few hundred coarse values
-        names = ["size"]
-        found = count(names)
+    top = [r["label"] for r in rows.where("label is not null").groupBy("label").count().orderBy(F.desc("count"), "label").limit(LABELS + 1).collect()]
+    classes = [F.col("label") == t for t in top[:LABELS]] + [~F.col("label").isin(top[:LABELS])] * (len(top) > LABELS)
+    counts = [f"c{i}" for i in range(len(classes))]
+    profile = [F.count(F.when(c, 1)).alias(n) for c, n in zip(classes, counts)]
+    grouped = written(rows.groupBy("group_id").agg(F.count(F.lit(1)).alias("rows"), *profile), "grouped")
+    size = _coarse(F.col("rows")).alias("size")
+    levels = [[*(_coarse(F.col(c), bits).alias(f"n{i}") for i, c in enumerate(counts)), size] for bits in (4, 3, 2, 1)]
+    if counts:  # the last one has few hundred coarse sizes for each class
+        most = F.greatest(*counts, F.lit(0)) if len(counts) > 1 else F.col(counts[0])
+        levels.append([F.coalesce(*(F.when((F.col(c) == most) & (most > 0), i) for i, c in enumerate(counts)), F.lit(-1)).alias("n0"), size])
+    for level in levels:
+        bundled = grouped.select("group_id", "rows", *level)
+        names = bundled.columns[2:]
+        found = bundled.groupBy(*names).agg(F.count(F.lit(1)).alias("_n"), F.sum("rows").alias("_rows")).limit(MAX_CELLS + 1).collect()
+        if len(found) <= MAX_CELLS:
+            break
     quotas = bundle_quotas([(tuple(r[n] for n in names), r["_n"], r["_rows"]) for r in found], shares)
-    left, parts = grouped.select("group_id", *names), []
+    left, parts = bundled.select("group_id", *names), []
     *some, last = sorted(shares, key=lambda s: shares[s])
     for i, s in enumerate(some):
         mine = written(draw(left, names, "group_id", quotas[s], seed + i).select("group_id"), "drawn")

@@ -92,6 +92,25 @@ def test_split_keeps_groups_whole_and_shares(spark):
     assert sorted(map(str, again)) == sorted(map(str, out))
 
 
+def test_shares_of_many_labels(spark):
+    rows = [(f"a{k:05d}", f"i{k:05d}", None, None, f"label{k % 8}" if k % 9 else None) for k in range(4500)]
+    df = tuples(spark, rows)
+    groups = splits.groups_of(df, spark.createDataFrame([], REGISTRY), spark.createDataFrame([], LINKS))
+    label = {r[0]: r[4] for r in rows}
+    n = Counter((label[r.ann_id], r.split) for r in splits.split(df, groups, "level", SHARES).collect())
+    assert len(n) == 27 and all(abs(v - SHARES[s] * 500) <= 2 for (_, s), v in n.items())
+
+
+def test_profiles_are_coarsened_not_dropped(spark, monkeypatch):
+    rnd = random.Random(8)
+    rows = [(f"a{g:03d}_{k:02d}", f"i{g:03d}", None, None, "abcdefgh"[g % 8] if k < 20 else rnd.choice("pqrstuvw")) for g in range(400) for k in range(30)]
+    df = tuples(spark, rows)
+    groups = splits.groups_of(df, spark.createDataFrame([], REGISTRY), spark.createDataFrame([], LINKS))
+    monkeypatch.setattr(splits, "MAX_CELLS", 40)
+    n = Counter((int(r.image_id[1:]) % 8, r.split) for r in splits.split(df, groups, "level", SHARES).collect())
+    assert all(abs(n[which, s] / 30 - share * 50) <= 1 for which in range(8) for s, share in SHARES.items())
+
+
 def test_empty(spark):
     df = tuples(spark, [])
     groups = splits.groups_of(df, spark.createDataFrame([], REGISTRY), spark.createDataFrame([], LINKS))
