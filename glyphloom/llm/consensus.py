@@ -40,7 +40,7 @@ CODES = DIFFERENT + 1
 #: Upper ends of the bands of confidence; band 0 is for none.
 BANDS = (0.55, 0.7, 0.85, 0.95)
 MAX_READERS = 500
-#: Beyond this many cells, two texts are laid side by side without gaps.
+#: Beyond this many cells, two texts are aligned by halves, in memory as long as one of them.
 ALIGN_CELLS = 1_000_000
 ROUNDS = 8
 #: The chance of one more slip in a text that has one.
@@ -63,6 +63,22 @@ def votes(readings: DataFrame) -> DataFrame:
     return last.select("image_id", "node_id", "reader", "v.text", "v.band").where("text <> ''")
 
 
+def _halves(x: str, y: str) -> tuple[int, int]:
+    """Where to cut x, in its middle, and y, so that the alignments of both sides have least edits
+    together (Hirschberg)."""
+    at = np.arange(len(y) + 1)
+
+    def edits(s: str, t: str) -> np.ndarray:
+        codes, row = np.array(list(map(ord, t))), at
+        for r, p in enumerate(s, start=1):
+            low = np.append(r, np.minimum(row[:-1] + (codes != ord(p)), row[1:] + 1))
+            row = np.minimum.accumulate(low - at) + at
+        return row
+
+    h = len(x) // 2
+    return h, int(np.argmin(edits(x[:h], y) + edits(x[h:][::-1], y[::-1])[::-1]))
+
+
 def align(a: str, b: str) -> list[tuple[int, int]]:
     """Codes of a and b side by side by least edits; 0 where one has nothing."""
     i = 0
@@ -75,7 +91,10 @@ def align(a: str, b: str) -> list[tuple[int, int]]:
     code = lambda c: _CODES.get(c, OTHER)
     both = lambda p, q: (code(p), DIFFERENT if p != q and code(p) == code(q) else code(q))
     middle: list[tuple[int, int]] = []
-    if not x or not y or len(x) * len(y) > ALIGN_CELLS:
+    if len(x) > 1 and len(x) * len(y) > ALIGN_CELLS:
+        h, k = _halves(x, y)
+        middle = align(x[:h], y[:k]) + align(x[h:], y[k:])
+    elif not x or not y:
         n = min(len(x), len(y))
         middle = [both(p, q) for p, q in zip(x, y)] + [(code(p), 0) for p in x[n:]] + [(0, code(q)) for q in y[n:]]
     else:

@@ -101,3 +101,17 @@ def test_results_do_not_depend_on_order(spark):
 def test_very_long_text(spark):
     rows = [("i", "n", "a", "x" * 50_000 + "y", 0.9, T0), ("i", "n", "b", "z" + "x" * 50_000, 0.9, T0), ("i", "n", "c", "q" * 3000 + "x" * 1000, 0.9, T0)]
     assert c.consensus(table(spark, rows)).found().count() == 1
+
+
+def test_long_texts_are_aligned_by_halves(monkeypatch):
+    rnd = random.Random(9)
+    edits = lambda rows: sum(p != q for p, q in rows)
+    texts = [("".join(rnd.choices("abc", k=rnd.randrange(30))), "".join(rnd.choices("abc", k=rnd.randrange(30)))) for _ in range(150)]
+    whole = [edits(c.align(a, b)) for a, b in texts]
+    long = "".join(rnd.choices("abcdefgh", k=3000))
+    got = c.align("x" + long + "y", long[:1500] + "z" + long[1500:])
+    assert len(got) == 3003 and edits(got) == 3
+    monkeypatch.setattr(c, "ALIGN_CELLS", 6)
+    halved = [c.align(a, b) for a, b in texts]
+    assert [edits(r) for r in halved] == whole
+    assert all([sum(p > 0 for p, _ in r), sum(q > 0 for _, q in r)] == [len(a), len(b)] for r, (a, b) in zip(halved, texts))
