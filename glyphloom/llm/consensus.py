@@ -8,8 +8,10 @@ together. Readers that make the same mistakes together count less where they agr
 copies another is no second witness. Agreement corrected for chance is reported apart and uses
 none of this.
 
-Everything is estimated over all readings. The driver holds the matrices only, readers x characters
-squared; each pass sums their counts in Spark.
+Everything is estimated over all readings. The texts of a node are aligned once, each two of them, all
+nodes of a batch together. The driver holds the matrices only, readers x characters squared; each pass
+sums their counts in Spark. The characters are the most frequent ones of the readings, in any script, as
+many as MATRIX_CELLS allows; rarer ones share a code.
 
 Results for odd input: of several readings by one reader on one node the one with the latest
 ``read_at`` counts (null is oldest; ties: the greatest text); if that has no letter or digit the
@@ -21,32 +23,35 @@ gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glyphloom.functions.words import spaced_key
+from glyphloom.llm import align
 from glyphloom.session import written
 
-#: Codes of characters: 0 none, then digits, letters, blank; OTHER any other, DIFFERENT another such.
-_CODES = {c: i for i, c in enumerate("0123456789abcdefghijklmnopqrstuvwxyz ", start=1)}
-OTHER = len(_CODES) + 1
-DIFFERENT = OTHER + 1
-CODES = DIFFERENT + 1
+#: Codes of characters: 0 none, then the alphabet's; OTHER any other, DIFFERENT another such.
+NONE, OTHER, DIFFERENT, FIRST = 0, 1, 2, 3
+#: Cells of all readers' confusion matrices together: they bound the alphabet, whose characters are
+#: the most frequent ones of the readings in whatever script; rarer ones share the code OTHER.
+MATRIX_CELLS = 1_000_000
+MOST_CODES = 512
 #: Upper ends of the bands of confidence; band 0 is for none.
 BANDS = (0.55, 0.7, 0.85, 0.95)
 MAX_READERS = 500
-#: Beyond this many cells, two texts are aligned by halves, in memory as long as one of them.
-ALIGN_CELLS = 1_000_000
-ROUNDS = 8
+#: Rounds end when no reader's accuracy in any band changes by more than STILL, at the latest after ROUNDS.
+ROUNDS = 30
+STILL = 0.002
 #: The chance of one more slip in a text that has one.
 MORE = 0.3
 
-NODES = "image_id string, node_id string, readers array<int>, bands array<int>, texts array<string>, voted array<int>, slips binary, lengths array<int>"
+NODES = "image_id string, node_id string, readers array<int>, bands array<int>, texts array<string>, voted array<int>, lengths array<int>, slips array<int>"
 
 
 def votes(readings: DataFrame) -> DataFrame:
@@ -63,74 +68,81 @@ def votes(readings: DataFrame) -> DataFrame:
     return last.select("image_id", "node_id", "reader", "v.text", "v.band").where("text <> ''")
 
 
-def _halves(x: str, y: str) -> tuple[int, int]:
-    """Where to cut x, in its middle, and y, so that the alignments of both sides have least edits
-    together (Hirschberg)."""
-    at = np.arange(len(y) + 1)
-
-    def edits(s: str, t: str) -> np.ndarray:
-        codes, row = np.array(list(map(ord, t))), at
-        for r, p in enumerate(s, start=1):
-            low = np.append(r, np.minimum(row[:-1] + (codes != ord(p)), row[1:] + 1))
-            row = np.minimum.accumulate(low - at) + at
-        return row
-
-    h = len(x) // 2
-    return h, int(np.argmin(edits(x[:h], y) + edits(x[h:][::-1], y[::-1])[::-1]))
-
-
-def align(a: str, b: str) -> list[tuple[int, int]]:
-    """Codes of a and b side by side by least edits; 0 where one has nothing."""
-    i = 0
-    while i < len(a) and i < len(b) and a[i] == b[i]:
-        i += 1
-    j = 0
-    while j < len(a) - i and j < len(b) - i and a[-1 - j] == b[-1 - j]:
-        j += 1
-    x, y = a[i : len(a) - j], b[i : len(b) - j]
-    code = lambda c: _CODES.get(c, OTHER)
-    both = lambda p, q: (code(p), DIFFERENT if p != q and code(p) == code(q) else code(q))
-    middle: list[tuple[int, int]] = []
-    if len(x) > 1 and len(x) * len(y) > ALIGN_CELLS:
-        h, k = _halves(x, y)
-        middle = align(x[:h], y[:k]) + align(x[h:], y[k:])
-    elif not x or not y:
-        n = min(len(x), len(y))
-        middle = [both(p, q) for p, q in zip(x, y)] + [(code(p), 0) for p in x[n:]] + [(0, code(q)) for q in y[n:]]
-    else:
-        rows = [list(range(len(y) + 1))]
-        for r, p in enumerate(x, start=1):
-            above, row = rows[-1], [r]
-            for k, q in enumerate(y):
-                row.append(min(above[k] + (p != q), above[k + 1] + 1, row[k] + 1))
-            rows.append(row)
-        r, k = len(x), len(y)
-        while r or k:
-            if r and k and rows[r][k] == rows[r - 1][k - 1] + (x[r - 1] != y[k - 1]):
-                r, k = r - 1, k - 1
-                middle.append(both(x[r], y[k]))
-            elif r and rows[r][k] == rows[r - 1][k] + 1:
-                r -= 1
-                middle.append((code(x[r]), 0))
-            else:
-                k -= 1
-                middle.append((0, code(y[k])))
-        middle.reverse()
-    same = lambda s: [(code(c), code(c)) for c in s]
-    return same(a[:i]) + middle + same(a[len(a) - j :] if j else "")
-
-
-def _prepared(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """NODES: where every text differs from every vote, vote by vote."""
-    for f in frames:
-        out = []
-        for image, node, vs in zip(f["image_id"], f["node_id"], f["votes"]):
-            vs = sorted((v["reader"], v["band"], v["text"]) for v in vs)
-            texts = sorted({t for *_, t in vs})
-            found = [[p for p in align(t, v) if p[0] != p[1]] for *_, v in vs for t in texts]
-            flat = np.array([p for a in found for p in a], dtype=np.uint8).tobytes()
-            out.append((image, node, [v[0] for v in vs], [v[1] for v in vs], texts, [texts.index(v[2]) for v in vs], flat, list(map(len, found))))
-        yield pd.DataFrame(out, columns=[c.split()[0] for c in NODES.split(", ")])
+def alphabet_of(votes: DataFrame, readers: int) -> np.ndarray:
+    """The code points that have a code of their own, by falling frequency in all votes."""
+    most = min(MOST_CODES, math.isqrt(MATRIX_CELLS // max(readers, 1))) - FIRST
+    texts = votes.groupBy("text").agg(F.count(F.lit(1)).alias("n"))
+    chars = texts.select("n", F.explode(F.split("text", "")).alias("c")).where("c <> ''").groupBy("c").agg(F.sum("n").alias("n"))
+    return np.array([ord(r["c"]) for r in chars.orderBy(F.desc("n"), "c").limit(most).collect()], dtype=np.int64)
+
+
+class Coder:
+    """Code points to codes."""
+
+    def __init__(self, alphabet: np.ndarray):
+        self.order = np.argsort(alphabet)
+        self.points = alphabet[self.order]
+
+    def codes(self, points: np.ndarray) -> np.ndarray:
+        """-1 stands for none."""
+        at = np.minimum(np.searchsorted(self.points, points), max(len(self.points) - 1, 0))
+        known = self.points[at] == points if len(self.points) else np.zeros(len(points), dtype=bool)
+        code = self.order[at] + FIRST if len(self.points) else at
+        return np.where(points < 0, NONE, np.where(known, code, OTHER))
+
+
+def _starts(lengths: np.ndarray) -> np.ndarray:
+    return np.cumsum(lengths) - lengths
+
+
+def _runs(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """starts[0], starts[0] + 1, ... for each length, one after the other."""
+    return np.repeat(starts - _starts(lengths), lengths) + np.arange(int(lengths.sum()))
+
+
+def _lists(values: np.ndarray, lengths: np.ndarray, kind: pa.DataType) -> pa.Array:
+    offsets = np.concatenate([[0], np.cumsum(lengths)])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values.cast(kind) if isinstance(values, pa.Array) else pa.array(values, kind))
+
+
+def _prepared(batches: Iterator[pa.RecordBatch], coder: Coder) -> Iterator[pa.RecordBatch]:
+    """NODES: the distinct texts of every node in order, and where each two of them differ."""
+    names = [c.split()[0] for c in NODES.split(", ")]
+    for batch in batches:
+        held = batch.column(2)
+        n_votes = held.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        flat = held.flatten()
+        reader, band = (flat.field(f).to_numpy(zero_copy_only=False).astype(np.int64) for f in ("reader", "band"))
+        seen = pa.array(flat.field("text")).dictionary_encode()
+        words = seen.dictionary.to_pylist()
+        # numbers of texts in the order of their code points
+        order = np.array(sorted(range(len(words)), key=words.__getitem__), dtype=np.int64)
+        rank = np.empty(len(words), dtype=np.int64)
+        rank[order] = np.arange(len(words))
+        text = rank[seen.indices.to_numpy(zero_copy_only=False)] if len(words) else np.zeros(0, np.int64)
+        node = np.repeat(np.arange(batch.num_rows), n_votes)
+        by_reader = np.lexsort((text, band, reader, node))
+        reader, band, text = reader[by_reader], band[by_reader], text[by_reader]
+        each, voted = np.unique(node * max(len(words), 1) + text, return_inverse=True)
+        text_node, text_rank = each // max(len(words), 1), each % max(len(words), 1)
+        n_texts = np.bincount(text_node, minlength=batch.num_rows)
+        first = _starts(n_texts)
+        # pairs i < j of the texts of a node, node by node, i by i
+        after = n_texts[text_node] - (np.arange(len(each)) - first[text_node]) - 1
+        i, j = np.repeat(np.arange(len(each)), after), _runs(np.arange(len(each)) + 1, after)
+        pairs, which = np.unique(text_rank[i] * max(len(words), 1) + text_rank[j], return_inverse=True)
+        sorted_words = [words[k] for k in order.tolist()]
+        pair, a, b = align.slips(align.Texts(sorted_words), pairs // max(len(words), 1), pairs % max(len(words), 1))
+        x, y = coder.codes(a), coder.codes(b)
+        y = np.where((x == OTHER) & (y == OTHER), DIFFERENT, y)
+        n_slips = np.bincount(pair, minlength=len(pairs))
+        lengths = n_slips[which]
+        slips = (x * MOST_CODES + y)[_runs(_starts(n_slips)[which], lengths)]
+        n_pairs = n_texts * (n_texts - 1) // 2
+        per_node = np.bincount(text_node[i], weights=lengths, minlength=batch.num_rows).astype(np.int64)
+        texts = pa.array(sorted_words, pa.string()).take(pa.array(text_rank)) if len(words) else pa.array([], pa.string())
+        columns = [batch.column(0), batch.column(1), _lists(reader, n_votes, pa.int32()), _lists(band, n_votes, pa.int32()), _lists(texts, n_texts, pa.string()), _lists(voted - first[node], n_votes, pa.int32()), _lists(lengths, n_pairs, pa.int32()), _lists(slips, per_node, pa.int32())]
+        yield pa.RecordBatch.from_arrays(columns, names)
 
 
 @dataclass
@@ -145,29 +157,47 @@ class Model:
     readings: np.ndarray = field(default_factory=lambda: np.zeros(0))  # [r]
 
     @staticmethod
-    def start(readers: list[str]) -> Model:
+    def start(readers: list[str], codes: int) -> Model:
         n = len(readers)
-        return Model(readers, np.full((n, len(BANDS) + 2), 0.7), np.full((n, CODES, CODES), 1 / CODES**2), np.zeros((n, n)))
+        return Model(readers, np.full((n, len(BANDS) + 2), 0.7), np.full((n, codes, codes), 1 / codes**2), np.zeros((n, n)))
 
 
 class Batch:
-    """Some nodes, flattened: votes, texts, pairs of a vote and a text, slips of the pairs."""
-
-    def __init__(self, f: pd.DataFrame):
-        self.nodes = len(f)
-        n_votes, n_texts = f["readers"].map(len).to_numpy(), f["texts"].map(len).to_numpy()
-        self.reader, self.band = (np.concatenate(f[c].to_list()).astype(np.int64) for c in ("readers", "bands"))
+    """Some nodes, flattened: votes, texts, pairs of a vote and another text, slips of the pairs."""
+
+    def __init__(self, batch: pa.RecordBatch):
+        self.nodes = batch.num_rows
+        flat = lambda name: batch.column(name).flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        length = lambda name: batch.column(name).value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        n_votes, n_texts = length("readers"), length("texts")
+        self.reader, self.band = flat("readers"), flat("bands")
         self.vote_node = np.repeat(np.arange(self.nodes), n_votes)
         self.text_node = np.repeat(np.arange(self.nodes), n_texts)
-        first = np.cumsum(n_texts) - n_texts
-        self.vote_text = np.concatenate(f["voted"].to_list()).astype(np.int64) + first[self.vote_node]
+        first = _starts(n_texts)
+        own = flat("voted")  # number of the voted text in its node
+        self.vote_text = own + first[self.vote_node]
+        self.texts = len(self.text_node)
         pairs = n_texts[self.vote_node]
         self.pair_vote = np.repeat(np.arange(len(self.reader)), pairs)
-        self.pair_text = np.repeat(first[self.vote_node], pairs) + np.arange(int(pairs.sum())) - np.repeat(np.cumsum(pairs) - pairs, pairs)
-        lengths = np.concatenate(f["lengths"].to_list()).astype(np.int64)
-        self.pair = np.repeat(np.arange(len(lengths)), lengths)
-        self.a, self.b = np.frombuffer(b"".join(f["slips"]), dtype=np.uint8).reshape(-1, 2).astype(np.int64).T
-        self.texts = len(self.text_node)
+        self.pair_text = _runs(first[self.vote_node], pairs)
+        self.same = self.vote_text[self.pair_vote] == self.pair_text
+        # of texts i < j of a node with n texts, the pair is number i * (2 n - i - 1) / 2 + j - i - 1 of the node
+        lengths, slips = flat("lengths"), flat("slips")
+        wrong = np.flatnonzero(~self.same)
+        node = self.vote_node[self.pair_vote[wrong]]
+        seen, true = own[self.pair_vote[wrong]], self.pair_text[wrong] - first[node]
+        i, j, n = np.minimum(seen, true), np.maximum(seen, true), n_texts[node]
+        number = _starts(n_texts * (n_texts - 1) // 2)[node] + i * (2 * n - i - 1) // 2 + j - i - 1
+        self.slips = np.zeros(len(self.same), dtype=np.int64)
+        self.slips[wrong] = lengths[number]
+        self.pair = np.repeat(wrong, lengths[number])
+        code = slips[_runs(_starts(lengths)[number], lengths[number])]
+        a, b = code // MOST_CODES, code % MOST_CODES
+        turned = np.repeat(true > seen, lengths[number])
+        b, a = np.where(turned, a, b), np.where(turned, b, a)
+        # the first of two different characters without a code is OTHER, whichever is the true one
+        swap = turned & (a == DIFFERENT)
+        self.a, self.b = np.where(swap, b, a), np.where(swap, a, b)
 
     def members(self, readers: int) -> np.ndarray:
         """[text, reader]: 1 where the reader saw the text."""
@@ -185,10 +215,9 @@ class Batch:
         vote = self.pair_vote[self.pair]
         slip = np.log(m.slips[self.reader[vote], self.a, self.b])
         each = np.bincount(self.pair, weights=slip, minlength=len(self.pair_vote))
-        slips = np.bincount(self.pair, minlength=len(self.pair_vote))
         right = m.right[self.reader, self.band][self.pair_vote]
-        wrong = np.log1p(-right) + each + np.log1p(-MORE) + np.log(MORE) * (slips - 1)
-        pair = np.where(self.vote_text[self.pair_vote] == self.pair_text, np.log(right), wrong)
+        wrong = np.log1p(-right) + each + np.log1p(-MORE) + np.log(MORE) * (self.slips - 1)
+        pair = np.where(self.same, np.log(right), wrong)
         alike = (self.members(len(m.readers)) @ m.copies.T)[self.vote_text, self.reader]
         score = np.bincount(self.pair_text, weights=pair / (1 + alike)[self.pair_vote], minlength=self.texts)
         top = np.full(self.nodes, -np.inf)
@@ -199,9 +228,10 @@ class Batch:
     def counts(self, m: Model, q: np.ndarray) -> np.ndarray:
         """Expected counts for the next model, in the order of _sections."""
         n, bands = m.right.shape
+        codes = m.slips.shape[1]
         of = lambda keys, weights, size: np.bincount(keys, weights=weights, minlength=size)
         r, w = self.reader[self.pair_vote[self.pair]], q[self.pair_text[self.pair]]
-        slips = of((r * CODES + self.a) * CODES + self.b, w, n * CODES * CODES)
+        slips = of((r * codes + self.a) * codes + self.b, w, n * codes * codes)
         band = self.reader * bands + self.band
         members = self.members(n)
         present = np.zeros((self.nodes, n))
@@ -211,15 +241,15 @@ class Batch:
         return np.concatenate(parts)
 
 
-def _sections(n: int) -> list[int]:
-    bands = len(BANDS) + 2
-    return [n * CODES * CODES, n * bands, n * bands, n * n, n * n]
+def _sections(m: Model) -> list[int]:
+    n, bands = m.right.shape
+    return [m.slips.size, n * bands, n * bands, n * n, n * n]
 
 
 def fitted(m: Model, counts: np.ndarray) -> Model:
     n = len(m.readers)
-    slips, right, readings, same, either = np.split(counts, np.cumsum(_sections(n))[:-1])
-    slips, right, readings = slips.reshape(n, CODES, CODES), right.reshape(m.right.shape), readings.reshape(m.right.shape)
+    slips, right, readings, same, either = np.split(counts, np.cumsum(_sections(m))[:-1])
+    slips, right, readings = slips.reshape(m.slips.shape), right.reshape(m.right.shape), readings.reshape(m.right.shape)
     # slips of all readers, of the reader; readings of the reader, of the reader with that confidence
     every = slips.sum(axis=0) + 0.01
     every /= every.sum()
@@ -243,20 +273,20 @@ class Consensus:
         agreeing is the share of its pairs of votes that are equal, null for a single vote."""
         sent = self.nodes.sparkSession.sparkContext.broadcast(self.model)
 
-        def best(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for f in filter(len, frames):
+        def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for f in _slices(batches, len(sent.value.readers)):
                 b = Batch(f)
                 q = b.posterior(sent.value).round(12)
-                texts = np.concatenate(f["texts"].to_list())
                 order = np.lexsort((np.arange(len(q)), -q, b.text_node))  # texts of a node are sorted
                 first = order[np.concatenate([[True], np.diff(b.text_node[order]) > 0])]
                 n = np.bincount(b.vote_node, minlength=b.nodes)
                 same = np.bincount(b.vote_text, minlength=b.texts)
                 pairs = np.bincount(b.text_node, weights=same * (same - 1), minlength=b.nodes)
-                agree = pd.Series(pairs / np.maximum(n * (n - 1), 1)).where(n > 1)
-                yield pd.DataFrame({"image_id": f["image_id"].to_numpy(), "node_id": f["node_id"].to_numpy(), "text_normalized": texts[first], "probability": q[first], "readers": n, "agreeing": agree})
+                agree = pa.array(pairs / np.maximum(n * (n - 1), 1), mask=n < 2)
+                texts = f.column("texts").flatten().take(pa.array(first))
+                yield pa.RecordBatch.from_arrays([f.column("image_id"), f.column("node_id"), texts, pa.array(q[first]), pa.array(n, pa.int32()), agree], ["image_id", "node_id", "text_normalized", "probability", "readers", "agreeing"])
 
-        return self.nodes.mapInPandas(best, "image_id string, node_id string, text_normalized string, probability double, readers int, agreeing double")
+        return self.nodes.mapInArrow(best, "image_id string, node_id string, text_normalized string, probability double, readers int, agreeing double")
 
     def reliability(self) -> DataFrame:
         """(reader, readings, reliability, most_alike, copied_share): a row a reader; most_alike is
@@ -268,35 +298,49 @@ class Consensus:
         return self.nodes.sparkSession.createDataFrame(rows, "reader string, readings long, reliability double, most_alike string, copied_share double")
 
 
-def consensus(readings: DataFrame, rounds: int = ROUNDS) -> Consensus:
+def _slices(batches: Iterator[pa.RecordBatch], readers: int) -> Iterator[pa.RecordBatch]:
+    """Batches of so few nodes that a table of their texts by readers stays small."""
+    step = max(20, 500_000 // max(readers, 1) ** 2)
+    for b in batches:
+        for at in range(0, b.num_rows, step):
+            yield b.slice(at, step)
+
+
+def consensus(readings: DataFrame, rounds: int = ROUNDS, still: float = STILL) -> Consensus:
     spark = readings.sparkSession
     cast = written(votes(readings), "votes")
     readers = [r["reader"] for r in cast.select("reader").distinct().orderBy("reader").limit(MAX_READERS + 1).collect()]
     if len(readers) > MAX_READERS:
         raise ValueError(f"more than {MAX_READERS} readers")
+    alphabet = alphabet_of(cast, len(readers))
+    coder = Coder(alphabet)
     # a node has at most one vote of each reader
     numbered = cast.withColumn("reader", F.array_position(F.array(*map(F.lit, readers)), F.col("reader")).cast("int") - 1) if readers else cast.withColumn("reader", F.lit(0))
     grouped = numbered.groupBy("image_id", "node_id").agg(F.collect_list(F.struct("reader", "text", "band")).alias("votes"))
-    nodes = written(grouped.mapInPandas(_prepared, NODES), "nodes")
-    model = Model.start(readers)
+    n = len(readers)
+    nodes = written(grouped.mapInArrow(lambda batches: _prepared(_slices(batches, n), coder), NODES), "nodes")
+    model = Model.start(readers, len(alphabet) + FIRST)
     for i in range(rounds if readers else 0):
-        sent = spark.sparkContext.broadcast(model)
+        sent = spark.sparkContext.broadcast(model)  # at most MATRIX_CELLS and readers squared numbers
 
-        def counted(frames: Iterator[pd.DataFrame], first: bool = i == 0, sent=sent) -> Iterator[pd.DataFrame]:
+        def counted(batches: Iterator[pa.RecordBatch], first: bool = i == 0, sent=sent) -> Iterator[pa.RecordBatch]:
             total = None
-            for f in filter(len, frames):
+            for f in _slices(batches, n):
                 b = Batch(f)
                 c = b.counts(sent.value, b.shares() if first else b.posterior(sent.value))
                 total = c if total is None else total + c
             if total is not None:
                 at = np.flatnonzero(total)
-                yield pd.DataFrame({"at": at, "n": total[at]})
+                yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["at", "n"])
 
-        sums = nodes.mapInPandas(counted, "at long, n double").groupBy("at").agg(F.sum("n").alias("n")).collect()
-        counts = np.zeros(sum(_sections(len(readers))))
+        sums = nodes.mapInArrow(counted, "at long, n double").groupBy("at").agg(F.sum("n").alias("n")).collect()
+        counts = np.zeros(sum(_sections(model)))
         for r in sums:
             counts[r["at"]] = r["n"]
-        model = fitted(model, counts)
+        old, model = model, fitted(model, counts)
+        sent.unpersist()
+        if i and np.abs(model.right - old.right).max() <= still:
+            break
     return Consensus(nodes, model)
 
 
