@@ -10,6 +10,8 @@ from __future__ import annotations
 import heapq
 from collections.abc import Hashable
 
+import numpy as np
+
 
 class MinCostFlow:
     def __init__(self) -> None:
@@ -76,3 +78,97 @@ class MinCostFlow:
                 v = self.to[came[v] ^ 1]
             sent += push
         return sent
+
+
+class DealFlow:
+    """A flow of whole components from bundles to splits, with deviation costs at the splits.
+
+    amounts[b]: components of bundle b. contents[b, k]: what each of them carries of the k-th kind (rows,
+    rows with some label). shares[s] of each kind should reach split s; a deviation x of a kind costs
+    x * x / what should reach it. Since one unit carries several kinds, the cost of a cycle is taken from
+    all it carries: a cycle moves components of a bundle from one split to another, or exchanges components
+    of two bundles between two splits. Negative cycles are cancelled, the best first, until there are none.
+    """
+
+    #: Bundles among which exchanges are searched, those of the smallest components.
+    EXCHANGED = 1500
+
+    def __init__(self, amounts: np.ndarray, contents: np.ndarray, shares: np.ndarray):
+        self.amounts, self.contents, self.shares = amounts.astype(np.int64), contents.astype(float), shares.astype(float)
+        self.total = self.amounts @ self.contents
+        self.want = np.outer(self.shares, self.total)
+        self.weight = 1 / np.maximum(self.want, 1e-9) * (self.want > 0)
+        self.flow = np.zeros((len(amounts), len(shares)), dtype=np.int64)
+
+    def off(self) -> np.ndarray:
+        """[split, kind]: what arrives beyond what should."""
+        return self.flow.T @ self.contents - self.want
+
+    def cost(self) -> float:
+        return float((self.weight * self.off() ** 2).sum())
+
+    def solve(self, most: int = 100_000) -> np.ndarray:
+        """[bundle, split]: whole components."""
+        self._start()
+        for _ in range(most):
+            if not (self._move() or self._exchange()):
+                break
+        return self.flow
+
+    def _start(self) -> None:
+        """The whole parts of the shares; then the rest, the components that carry most first."""
+        self.flow = np.floor(np.outer(self.amounts, self.shares) + 1e-9).astype(np.int64)
+        off = self.off()
+        rest = self.amounts - self.flow.sum(axis=1)
+        for b in np.argsort(-self.contents[:, 0], kind="stable"):
+            v = self.contents[b]
+            for _ in range(int(rest[b])):
+                s = int(np.argmin((self.weight * (2 * off * v + v * v)).sum(axis=1)))
+                self.flow[b, s] += 1
+                off[s] += v
+
+    def _pairs(self):
+        return ((s, t) for s in range(len(self.shares)) for t in range(len(self.shares)) if s != t)
+
+    def _move(self) -> bool:
+        off, v = self.off(), self.contents
+        best = (-1e-9, 0, 0, 0, 0)
+        for s, t in self._pairs():
+            slope = v @ (2 * (self.weight[t] * off[t] - self.weight[s] * off[s]))
+            bend = (v * v) @ (self.weight[s] + self.weight[t])
+            n = np.clip(np.rint(-slope / np.maximum(2 * bend, 1e-300)), 0, self.flow[:, s])
+            gain = n * slope + n * n * bend
+            b = int(np.argmin(gain)) if len(gain) else -1
+            if b >= 0 and gain[b] < best[0]:
+                best = (float(gain[b]), b, s, t, int(n[b]))
+        _, b, s, t, n = best
+        if n:
+            self.flow[b, s] -= n
+            self.flow[b, t] += n
+        return n > 0
+
+    def _exchange(self) -> bool:
+        off = self.off()
+        some = np.argsort(self.contents[:, 0], kind="stable")[: self.EXCHANGED]
+        v = self.contents[some]
+        best = (-1e-9, -1, -1, 0, 0)
+        for s, t in self._pairs():
+            if s > t:
+                continue
+            give, take = self.flow[some, s] > 0, self.flow[some, t] > 0
+            if not give.any() or not take.any():
+                continue
+            x, y, w = v[give], v[take], self.weight[s] + self.weight[t]
+            slope = 2 * (self.weight[t] * off[t] - self.weight[s] * off[s])
+            gain = (x @ slope + (x * x) @ w)[:, None] + ((y * y) @ w - y @ slope)[None, :] - 2 * (x * w) @ y.T
+            i, j = np.unravel_index(int(np.argmin(gain)), gain.shape)
+            if gain[i, j] < best[0]:
+                best = (float(gain[i, j]), int(some[give][i]), int(some[take][j]), s, t)
+        _, b, c, s, t = best
+        if b < 0:
+            return False
+        self.flow[b, s] -= 1
+        self.flow[b, t] += 1
+        self.flow[c, t] -= 1
+        self.flow[c, s] += 1
+        return True

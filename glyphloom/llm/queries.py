@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from glyphloom.llm import consensus, copies, leakage, mixture, packing, repetition, splits, terms, topn
-from glyphloom.session import table
+from glyphloom.session import table, written
 
 
 def _p1(spark: SparkSession, d: str) -> DataFrame:
@@ -100,16 +100,35 @@ def p4_agreement(spark: SparkSession, d: str) -> DataFrame:
 SHARES = {"train": 0.8, "validation": 0.1, "test": 0.1}
 
 
-def _p5(spark: SparkSession, d: str) -> DataFrame:
-    return splits.groups_of(table(spark, d, "bootstrap_tuples"), table(spark, d, "source_registry"), table(spark, d, "image_links"))
+def _p5(spark: SparkSession, d: str) -> splits.Splits:
+    tuples = table(spark, d, "bootstrap_tuples")
+    groups = splits.groups_of(tuples, table(spark, d, "source_registry"), table(spark, d, "image_links"))
+    return splits.split(tuples, groups, "answer_level", SHARES)
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    return splits.tied_pairs(_p5(spark, d))
+    return splits.tied_pairs(_p5(spark, d).images())
 
 
 def p5_splits(spark: SparkSession, d: str) -> DataFrame:
-    return splits.split(table(spark, d, "bootstrap_tuples"), _p5(spark, d), "answer_level", SHARES)
+    return _p5(spark, d).tuples().drop("label")
+
+
+def p5_balance(spark: SparkSession, d: str) -> DataFrame:
+    """For each split and label: the pool's rows, whether the split's share of them and of all rows is within
+    a point, or two rows, of what it should be, and whether its groups are in no other split."""
+    s = _p5(spark, d)
+    have = written(s.balance(), "balance")  # at most splits x LABELS rows
+    most = s.tuples().groupBy("group_id").agg(F.count_distinct("split").alias("n")).agg(F.max("n").alias("n")).first()["n"]
+    label, sizes = have.groupBy("label").agg(F.sum("rows").alias("pool_rows")), have.groupBy("split").agg(F.sum("rows").alias("size"))
+    pool = F.sum("pool_rows").over(Window.partitionBy(F.lit(0)))  # a row a label
+    should = F.explode(F.array(*(F.struct(F.lit(k).alias("split"), F.lit(v).alias("share")) for k, v in SHARES.items())))
+    grid = label.select("label", "pool_rows", pool.alias("pool"), should.alias("s")).select("label", "pool_rows", "pool", "s.*").join(F.broadcast(sizes), "split", "left")
+    found = grid.join(have.withColumnsRenamed({"split": "_s", "label": "_l"}), (F.col("split") == F.col("_s")) & F.col("label").eqNullSafe(F.col("_l")), "left")
+    size = F.coalesce("size", F.lit(0))
+    near = lambda x, of: F.abs(x) <= F.greatest(of * 0.01, F.lit(2.0))
+    label_off = F.coalesce("rows", F.lit(0)) - F.col("pool_rows") / F.col("pool") * size
+    return found.select("split", "label", "pool_rows", near(label_off, size).alias("label_share_kept"), near(size - F.col("share") * F.col("pool"), F.col("pool")).alias("share_kept"), F.lit(most == 1).alias("groups_whole"))
 
 
 def _p7(spark: SparkSession, d: str) -> DataFrame:

@@ -2,11 +2,11 @@
 
 Images are tied by a common album, file name or link. Every album and file name ties its images to
 the smallest of them; the components of these ties are found by randomised contraction. Components
-of equal size and label profile form a bundle. A profile counts each of the LABELS most frequent values
-and the others together; where there would be more than MAX_CELLS bundles, it is coarsened step by
-step, at last to the most frequent label of the component. A small flow for each bundle, largest components
-first, gives whole numbers of components for every split with the least deviation from the given
-shares; hashes say which components go where.
+of equal label profile, and so of equal size, form a bundle. One flow of whole components from all
+bundles to the splits, with deviation costs of rows and of every label, gives the quotas; hashes say
+which components go where. Where the profiles are more than the driver may hold (MAX_CELLS), counts keep
+their leading eight bits, then fewer, at last the size and the most frequent label; a bundle then carries
+its components' mean.
 
 Results for odd input: rows without an image are tied to nothing and split one by one; links with
 a null end or to themselves tie nothing, links to images without rows tie others through them; a
@@ -16,19 +16,23 @@ gives no rows; a tuple delivered several times counts once; other columns are ig
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from glyphloom.functions.words import alike_key
 from glyphloom.llm.draw import MAX_CELLS, draw
-from glyphloom.llm.flow import MinCostFlow
+from glyphloom.llm.flow import DealFlow
 from glyphloom.operators.graph import FINISH_EDGES, components
-from glyphloom.operators.skew import HEAVY_ROWS, HEAVY_SHARE, heavy_keys, lookup_join
+from glyphloom.operators.skew import HEAVY_ROWS, HEAVY_SHARE, lookup_join
 from glyphloom.session import written
 
-
-#: Values of the label that are counted one by one.
-LABELS = 16
+#: Classes of the label in a profile: its most frequent values one by one, all others, and null.
+LABELS = 256
+#: Counts of bundles by label that the driver holds.
+PROFILE_CELLS = 200_000
 
 
 def file_key(path: Column) -> Column:
@@ -67,76 +71,99 @@ def groups_of(tuples: DataFrame, registry: DataFrame, links: DataFrame, finish_e
     return lookup_join(here, least, ["root"]).select(F.col("node").alias("image_id"), "group_id")
 
 
-def tied_pairs(groups: DataFrame) -> DataFrame:
-    """(image_id_a, image_id_b): each group's smallest image with every other one."""
-    return groups.where("image_id <> group_id").select(F.col("group_id").alias("image_id_a"), F.col("image_id").alias("image_id_b"))
+def _coarse(n: Column, bits: int | None) -> Column:
+    """Its leading ``bits`` bits, or itself."""
+    if bits is None:
+        return n
+    step = F.pow(F.lit(2.0), F.greatest(F.floor(F.log2(F.greatest(n, F.lit(1)).cast("double"))) - (bits - 1), F.lit(0))).cast("long")
+    return (n - F.pmod(n, step)).cast("long")
+
 
+def bundle_quotas(bundles: dict[str, tuple[int, dict[int, int]]], shares: dict[str, float]) -> dict[str, dict[tuple, int]]:
+    """split -> bundle -> components. bundles: components and, over all of them, rows by label."""
+    names = sorted(bundles)
+    codes = sorted({c for _, profile in bundles.values() for c in profile})
+    at = {c: k for k, c in enumerate(codes, 1)}
+    amounts, contents = np.array([bundles[b][0] for b in names], dtype=np.int64), np.zeros((len(names), len(codes) + 1))
+    for i, b in enumerate(names):
+        n, profile = bundles[b]
+        for c, rows in profile.items():
+            contents[i, at[c]] = rows / n
+        contents[i, 0] = sum(profile.values()) / n
+    flow = DealFlow(amounts, contents, np.array(list(shares.values()))).solve()
+    return {s: {(b,): int(n) for b, n in zip(names, flow[:, k])} for k, s in enumerate(shares)}
 
-def _coarse(n: Column, bits: int = 4) -> Column:
-    """Itself below 16, else its leading four (or ``bits``) bits: few different values, however many rows."""
-    width = F.greatest(F.floor(F.log2(F.greatest(n, F.lit(1)).cast("double"))) - (bits - 1), F.lit(0)).cast("int")
-    step = F.pow(F.lit(2.0), width).cast("long")
-    return (n - F.pmod(n, step)).cast("long")
 
+@dataclass(frozen=True)
+class Splits:
+    rows: DataFrame  # (ann_id, image_id, label, group_id), a written table
+    groups: DataFrame  # (image_id, group_id)
+    dealt: DataFrame  # (group_id, split), a written table
+
+    def tuples(self) -> DataFrame:
+        """(ann_id, image_id, label, group_id, split) of every tuple."""
+        return lookup_join(self.rows, self.dealt, ["group_id"]).select("ann_id", "image_id", "label", "group_id", "split")
 
-def bundle_quotas(bundles: list[tuple[tuple, int, int]], shares: dict[str, float]) -> dict[str, dict[tuple, int]]:
-    """split -> bundle -> components. bundles: (bundle, components, rows); largest components first,
-    each bundle is dealt by what the splits still lack, whole components by least deviation."""
-    total = sum(rows for *_, rows in bundles)
-    lack = {s: share * total for s, share in shares.items()}
-    quotas: dict[str, dict[tuple, int]] = {s: {} for s in shares}
-    for bundle, n, rows in sorted(bundles, key=lambda b: (-b[2] / b[1], str(b[0]))):
-        size = rows / n
-        open_rows = sum(max(0.0, x) for x in lack.values()) or 1.0
-        base = {s: min(n, int(max(0.0, x) / open_rows * n)) for s, x in lack.items()}
-        rest = n - sum(base.values())
-        net = MinCostFlow()
-        arcs: dict[str, list[int]] = {s: [] for s in shares}
-        off = lambda s, k: abs(lack[s] - (base[s] + k) * size)
-        for s in shares:
-            for k in range(rest):  # fewer than there are splits; the 2 * size keeps costs from below 0
-                arcs[s].append(net.add("source", s, 1, round((off(s, k + 1) - off(s, k) + 2 * size) * 1000)))
-            net.add(s, "sink", rest, 0)
-        net.solve("source", "sink", rest)
-        for s in shares:
-            quotas[s][bundle] = base[s] + sum(map(net.flow, arcs[s]))
-            lack[s] -= quotas[s][bundle] * size
-    return quotas
-
-
-def split(tuples: DataFrame, groups: DataFrame, label: str, shares: dict[str, float], seed: int = 0) -> DataFrame:
-    """(ann_id, image_id, group_id, split) of every tuple; shares are of tuples and sum to 1.
-
-    label: the column whose values' counts make a group's profile."""
+    def images(self) -> DataFrame:
+        """(image_id, group_id, split) of every image."""
+        return lookup_join(self.groups, self.dealt, ["group_id"]).select("image_id", "group_id", "split")
+
+    def balance(self) -> DataFrame:
+        """(split, label, rows): how many rows with each label every split has."""
+        return self.tuples().groupBy("split", "label").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def split(tuples: DataFrame, groups: DataFrame, label: str, shares: dict[str, float], seed: int = 0) -> Splits:
+    """Deals the groups to splits; shares are of tuples and sum to 1.
+
+    label: the column whose values' counts make a group's profile. The LABELS - 2 most frequent values
+    are counted one by one, the others together, and nulls."""
+    groups = written(groups, "groups")
     newest = F.max(F.struct("image_id", F.col(label).alias("label")))
     rows = tuples.where("ann_id is not null").groupBy("ann_id").agg(newest.alias("m")).select("ann_id", "m.image_id", "m.label")
-    held = heavy_keys(rows, ["image_id"])
-    rows = lookup_join(rows, groups, ["image_id"], "left", held).withColumn("group_id", F.coalesce("group_id", F.concat(F.lit("row:"), "ann_id")))
+    rows = written(rows, "newest")
+    rows = lookup_join(rows, groups, ["image_id"], "left").withColumn("group_id", F.coalesce("group_id", F.concat(F.lit("row:"), "ann_id")))
     rows = written(rows, "rows")
-    top = [r["label"] for r in rows.where("label is not null").groupBy("label").count().orderBy(F.desc("count"), "label").limit(LABELS + 1).collect()]
-    classes = [F.col("label") == t for t in top[:LABELS]] + [~F.col("label").isin(top[:LABELS])] * (len(top) > LABELS)
-    counts = [f"c{i}" for i in range(len(classes))]
-    profile = [F.count(F.when(c, 1)).alias(n) for c, n in zip(classes, counts)]
-    grouped = written(rows.groupBy("group_id").agg(F.count(F.lit(1)).alias("rows"), *profile), "grouped")
-    size = _coarse(F.col("rows")).alias("size")
-    levels = [[*(_coarse(F.col(c), bits).alias(f"n{i}") for i, c in enumerate(counts)), size] for bits in (4, 3, 2, 1)]
-    if counts:  # the last one has few hundred coarse sizes for each class
-        most = F.greatest(*counts, F.lit(0)) if len(counts) > 1 else F.col(counts[0])
-        levels.append([F.coalesce(*(F.when((F.col(c) == most) & (most > 0), i) for i, c in enumerate(counts)), F.lit(-1)).alias("n0"), size])
-    for level in levels:
-        bundled = grouped.select("group_id", "rows", *level)
-        names = bundled.columns[2:]
-        found = bundled.groupBy(*names).agg(F.count(F.lit(1)).alias("_n"), F.sum("rows").alias("_rows")).limit(MAX_CELLS + 1).collect()
-        if len(found) <= MAX_CELLS:
+    top = [r["label"] for r in rows.where("label is not null").groupBy("label").count().orderBy(F.desc("count"), "label").limit(LABELS - 2).collect()]
+    known = F.array_position(F.array(*map(F.lit, top)), F.col("label")) if top else F.lit(0)  # 0: none of them
+    code = F.when(F.col("label").isNull(), -1).otherwise(known).cast("int")
+    counted = rows.groupBy("group_id", code.alias("code")).agg(F.count(F.lit(1)).alias("n"))
+    # a group has at most LABELS codes
+    grouped = counted.groupBy("group_id").agg(F.sort_array(F.collect_list(F.struct("code", "n"))).alias("profile"))
+    grouped = written(grouped, "grouped")
+    for bits in (None, 8, 6, 5, 4, 3, 2, 1, 0):
+        if bits:
+            parts = F.transform("profile", lambda p, bits=bits: F.concat_ws(":", p["code"], _coarse(p["n"], bits)))
+        elif bits is None:
+            parts = F.transform("profile", lambda p: F.concat_ws(":", p["code"], p["n"]))
+        else:  # at last the size and which label is the most frequent: few hundred for each label
+            size = F.aggregate("profile", F.lit(0).cast("long"), lambda a, p: a + p["n"])
+            most = F.array_max(F.transform("profile", lambda p: F.struct(p["n"].alias("n"), (-p["code"]).alias("c"))))
+            parts = F.array(F.concat_ws(":", -most["c"], _coarse(size, 4)))
+        bundled = grouped.select("group_id", F.array_join(parts, ",").alias("bundle"), "profile")
+        sums = bundled.select("bundle", F.explode("profile").alias("p")).groupBy("bundle", F.col("p.code").alias("code")).agg(F.sum("p.n").alias("rows"))
+        cells = sums.limit(PROFILE_CELLS + 1).collect()
+        if len(cells) <= PROFILE_CELLS and len({r["bundle"] for r in cells}) <= MAX_CELLS:
             break
-    quotas = bundle_quotas([(tuple(r[n] for n in names), r["_n"], r["_rows"]) for r in found], shares)
-    left, parts = bundled.select("group_id", *names), []
+    else:
+        raise ValueError(f"more than {MAX_CELLS} bundles or {PROFILE_CELLS} counts of them")
+    amounts = {r["bundle"]: r["n"] for r in bundled.groupBy("bundle").agg(F.count(F.lit(1)).alias("n")).collect()}  # no more than cells
+    profiles: dict[str, dict[int, int]] = {}
+    for r in cells:
+        profiles.setdefault(r["bundle"], {})[r["code"]] = r["rows"]
+    quotas = bundle_quotas({b: (amounts[b], p) for b, p in profiles.items()}, shares)
+    left, parts = bundled.select("group_id", "bundle"), []
     *some, last = sorted(shares, key=lambda s: shares[s])
     for i, s in enumerate(some):
-        mine = written(draw(left, names, "group_id", quotas[s], seed + i).select("group_id"), "drawn")
+        mine = written(draw(left, ["bundle"], "group_id", quotas[s], seed + i).select("group_id"), "drawn")
         parts.append(mine.withColumn("split", F.lit(s)))
         left = left.join(mine, "group_id", "left_anti")
     at = left.select("group_id", F.lit(last).alias("split"))
     for p in parts:
         at = at.unionByName(p)
-    return lookup_join(rows.select("ann_id", "image_id", "group_id"), at, ["group_id"]).select("ann_id", "image_id", "group_id", "split")
+    return Splits(rows, groups, written(at, "dealt"))
+
+
+def tied_pairs(images: DataFrame) -> DataFrame:
+    """(image_id_a, image_id_b): each group's smallest image with every other one, which share a split."""
+    return images.where("image_id <> group_id").select(F.col("group_id").alias("image_id_a"), F.col("image_id").alias("image_id_b"))

