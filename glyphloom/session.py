@@ -79,9 +79,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     ship(spark)
     path = fresh_path(spark, name)
-    if not _written:
-        atexit.register(clear, spark)
-    _written.append(path)
+    forget_later(spark, path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -89,6 +87,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
 _written: list[str] = []
 
 
+def forget_later(spark: SparkSession, path: str) -> None:
+    """Lets clear(), or the program's end, delete what is or will be at path."""
+    if not _written:
+        atexit.register(clear, spark)
+    _written.append(path)
+
+
 def clear(spark: SparkSession) -> None:
     """Deletes the tables written so far; results that aren't written elsewhere yet are lost with them."""
     while _written:
