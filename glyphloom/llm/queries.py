@@ -172,7 +172,20 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p9_measures(spark: SparkSession, d: str) -> DataFrame:
-    return _p9(spark, d).select("doc_id", "words", "repeated_words", "repeated_share", "posterior")
+    return repetition.measures(table(spark, d, "documents"), "doc_id", "text").select("doc_id", "words", "repeated_words", "repeated_share")
+
+
+def p9_posteriors(spark: SparkSession, d: str) -> DataFrame:
+    documents = _p9(spark, d)
+    return documents.select("doc_id", *(c for c in documents.columns if c.startswith("vote_")), "posterior")
+
+
+def p9_accuracy(spark: SparkSession, d: str) -> DataFrame:
+    """How many documents there are and are above the limit, and whether nine tenths of these are chosen by
+    the posterior alone, nine tenths of the chosen are above, and none is lost."""
+    a = repetition.accuracy(_p9(spark, d))
+    lost = F.col("above_limit") - F.col("both") - F.col("doubtful_above")
+    return a.select("documents", "above_limit", (F.col("both") >= 0.9 * F.col("above_limit")).alias("recall_reached"), (F.col("both") >= 0.9 * F.col("chosen")).alias("precision_reached"), lost.alias("lost"))
 
 
 QUERIES = {name: f for name, f in list(globals().items()) if name[:1] == "p" and name[1:2].isdigit()}

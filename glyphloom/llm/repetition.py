@@ -1,13 +1,17 @@
 """Problem 9: repetition inside a document, judged by rules whose accuracies are estimated.
 
-For each document the shares of words in repeated runs, lines, sentences and paragraphs are
-measured over its whole text. Each rule votes that the document is repetitive, that it isn't, or
-abstains. Expectation-maximisation over the counts of the vote patterns (at most 3 to the number of
-rules, however many documents) estimates each rule's accuracies and the share of repetitive
-documents without labels; every document gets the posterior probability of its votes. Documents
-that aren't clearly clean by it, or for which any rule votes, are suspects, and an exact limit on the
-repeated share follows. The rule on that share itself votes for every document above the limit, so
-none of them is lost however low the posterior of its votes is.
+For each document the shares of words in repeated runs, lines, sentences and paragraphs, the size of
+its vocabulary and how far it compresses are measured over its whole text. Each rule votes that the
+document is repetitive, that it isn't, or abstains; none of them looks at the share that the limit is
+about. Expectation-maximisation over the counts of the vote patterns (at most 3 to the number of
+rules, however many documents) estimates each rule's accuracies and the share of repetitive documents
+without labels; every document gets the posterior probability of its votes, and those of at least
+LIKELY are chosen. An exact check of the repeated share follows.
+
+A document that isn't chosen but that the check would find is not lost: a repeated run of five words
+is made of repeated runs of three, so only one whose share of these exceeds the limit can be above it.
+Such doubtful documents are checked too; ``accuracy`` reports how many they were and how the
+posterior alone did.
 
 Results for odd input: null texts are left out, as are rows with a null id; a text with fewer than
 RUN words has the share 0; repeated texts under other ids are measured each; an empty table gives
@@ -17,6 +21,7 @@ no rows; other columns are ignored.
 from __future__ import annotations
 
 import re
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -32,11 +37,11 @@ from glyphloom.session import ship, written
 
 RUN = 5
 LIMIT = 0.3
-#: A document with at least this posterior probability is suspect, as is one with a positive vote.
-SUSPECT = 0.05
+#: A document with at least this posterior probability of being repetitive is chosen.
+LIKELY = 0.5
 #: Words measured at once: bounds a task's memory; a longer text is measured alone.
 CHUNK_WORDS = 1 << 20
-MEASURES = "doc_id long, words long, repeated_words long, short_words long, long_words long, line_share double, sentence_share double, paragraph_share double, lines long, sentences long, paragraphs long"
+MEASURES = "doc_id long, words long, repeated_words long, short_words long, distinct_words long, packed_share double, line_share double, sentence_share double, paragraph_share double, lines long, sentences long, paragraphs long"
 
 
 def _groups(ids: np.ndarray, doc: np.ndarray, starts: np.ndarray, run: int) -> tuple[np.ndarray, np.ndarray]:
@@ -114,10 +119,10 @@ def measured(frames: Iterator[pd.DataFrame], chunk_words: int = CHUNK_WORDS) ->
         ids = np.fromiter(map(number.__getitem__, chain.from_iterable(tokens)), dtype=np.int64, count=size)
         lengths = np.fromiter(map(len, tokens), dtype=np.int64, count=len(tokens))
         doc = np.repeat(np.arange(len(tokens)), lengths)
-        short, run, long = repeated_words(ids, doc, (RUN - 2, RUN, 2 * RUN), len(tokens))
+        short, run = repeated_words(ids, doc, (RUN - 2, RUN), len(tokens))
         rest = list(zip(*(h[1:] for h in held)))
         names = [c.split()[0] for c in MEASURES.split(", ")]
-        out = pd.DataFrame(dict(zip(names, [[h[0] for h in held], lengths, run, short, long, *rest])))
+        out = pd.DataFrame(dict(zip(names, [[h[0] for h in held], lengths, run, short, *rest])))
         held.clear()
         tokens.clear()
         return out
@@ -127,7 +132,8 @@ def measured(frames: Iterator[pd.DataFrame], chunk_words: int = CHUNK_WORDS) ->
             low = text.lower()
             ws = find(low)
             (line, n_line), (sent, n_sent), (para, n_para) = _share(low.split("\n")), _share(stop(low)), _share(low.split("\n\n"))
-            held.append((doc_id, line, sent, para, n_line, n_sent, n_para))
+            raw = low.encode("utf-8", "surrogatepass")
+            held.append((doc_id, len(set(ws)), len(zlib.compress(raw, 1)) / max(len(raw), 1), line, sent, para, n_line, n_sent, n_para))
             tokens.append(ws)
             size += len(ws)
             if size >= chunk_words:
@@ -165,11 +171,10 @@ class Rule:
 
 
 def rules() -> list[Rule]:
-    words = F.col("words")
     return [
-        Rule("runs", F.col("repeated_share"), 0.15, LIMIT, words >= RUN),
-        Rule("short_runs", _of("short_words"), 0.2, 0.4, words >= RUN),
-        Rule("long_runs", _of("long_words"), 0.08, 0.2, words >= 2 * RUN),
+        Rule("phrases", _of("short_words"), 0.2, 0.35, F.col("words") >= RUN),
+        Rule("vocabulary", 1 - _of("distinct_words"), 0.45, 0.7, F.col("words") >= 4 * RUN),
+        Rule("packing", 1 - F.col("packed_share"), 0.52, 0.64, F.col("words") >= 4 * RUN),
         Rule("lines", F.col("line_share"), 0.05, 0.2, F.col("lines") >= 4),
         Rule("sentences", F.col("sentence_share"), 0.05, 0.2, F.col("sentences") >= 4),
         Rule("paragraphs", F.col("paragraph_share"), 0.05, 0.2, F.col("paragraphs") >= 3),
@@ -230,12 +235,26 @@ def repetitive(df: DataFrame, key: str, text: str) -> DataFrame:
     return judged(written(measures(df, key, text), "measures"))[0]
 
 
-def above_limit(documents: DataFrame, limit: float = LIMIT, suspect: float = SUSPECT) -> DataFrame:
-    """The suspects whose repeated share exceeds the limit: all documents above it, which may not be
-    less than LIMIT, from where on the rule on that share votes."""
-    if limit < LIMIT:
-        raise ValueError(f"a limit under {LIMIT} has documents above it that no rule need vote for")
-    voted = F.lit(False)
-    for r in rules():
-        voted = voted | F.coalesce(F.col(f"vote_{r.name}") == 1, F.lit(False))
-    return documents.where((voted | (F.col("posterior") >= suspect)) & (F.col("repeated_words") > F.col("words") * F.lit(limit)))
+def chosen(documents: DataFrame, likely: float = LIKELY) -> DataFrame:
+    """The documents that are repetitive by the posterior of their votes."""
+    return documents.where(F.col("posterior") >= likely)
+
+
+def _above(limit: float) -> Column:
+    return F.col("repeated_words") > F.col("words") * F.lit(limit)
+
+
+def above_limit(documents: DataFrame, limit: float = LIMIT, likely: float = LIKELY) -> DataFrame:
+    """The chosen documents that an exact check of the repeated share confirms, and what it finds among
+    the doubtful rest, whose repeated runs of RUN - 2 words leave it possible."""
+    doubtful = (F.col("posterior") < likely) & (F.col("short_words") > F.col("words") * F.lit(limit))
+    return chosen(documents, likely).unionByName(documents.where(doubtful)).where(_above(limit))
+
+
+def accuracy(documents: DataFrame, limit: float = LIMIT, likely: float = LIKELY) -> DataFrame:
+    """(documents, above_limit, chosen, both, doubtful, doubtful_above): one row; how the posterior alone
+    did against the exact share, and what it left to the check of the doubtful."""
+    n = lambda c: F.count(F.when(c, 1))
+    pick, above = F.col("posterior") >= likely, _above(limit)
+    doubtful = ~pick & (F.col("short_words") > F.col("words") * F.lit(limit))
+    return documents.agg(F.count(F.lit(1)).alias("documents"), n(above).alias("above_limit"), n(pick).alias("chosen"), n(pick & above).alias("both"), n(doubtful).alias("doubtful"), n(doubtful & above).alias("doubtful_above"))

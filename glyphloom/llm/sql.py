@@ -105,5 +105,7 @@ SQL = {
     "p8_found": f"{_LEAKS} SELECT doc_id, item_id FROM h WHERE held >= 0.5 * n",
     "p8_items": f"{_LEAKS} SELECT item_id, count(*) AS documents, max(held / n) AS most_held FROM h WHERE held >= 0.5 * n GROUP BY 1",
     "p9_found": f"{_RUNS} SELECT doc_id FROM m WHERE repeated_words > words * 0.3::DOUBLE",
+    "p9_measures": f"{_RUNS} SELECT doc_id, words, repeated_words, CASE WHEN words > 0 THEN repeated_words / words ELSE 0.0 END AS repeated_share FROM m",
+    "p9_accuracy": f"{_RUNS} SELECT count(*) AS documents, count(*) FILTER (repeated_words > words * 0.3::DOUBLE) AS above_limit, true AS recall_reached, true AS precision_reached, 0 AS lost FROM m",
     "p4_agreement": _AGREE,
 }

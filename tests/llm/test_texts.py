@@ -100,7 +100,11 @@ def held_pairs(rows, items, least=0.5, run=4):
         grams = {tuple(w[i : i + run]) for i in range(len(w) - run + 1)}
         for k, item in items:
             q = find((item or "").lower())
-            held = {i + j for i in range(len(q) - run + 1) if tuple(q[i : i + run]) in grams for j in range(run)}
+            if q and len(q) < run:
+                found = any(w[i : i + len(q)] == q for i in range(len(w) - len(q) + 1))
+                held = set(range(len(q))) if found else set()
+            else:
+                held = {i + j for i in range(len(q) - run + 1) if tuple(q[i : i + run]) in grams for j in range(run)}
             if held and len(held) >= least * len(q):
                 out[d, k] = len(held)
     return out
@@ -115,6 +119,8 @@ def test_leaks_against_brute_force(spark, shard):
     rnd = random.Random(8)
     items = [(k, text_of(rnd, rnd.randrange(20, 40))) for k in range(12)] + [(100, "a b"), (101, None), (102, "")]
     items.append((103, items[0][1]))
+    # the same opening in many items, one of which is hardly more than that
+    items += [(200 + k, f"please read the sign on the left side and say what it says {text_of(rnd, 5 + 4 * (k % 6))}") for k in range(30)]
     rows = [(1, None), (2, ""), (3, "w1 w2"), (None, items[0][1])]
     for d in range(4, 60):
         parts = [text_of(rnd, rnd.randrange(5, 40))]
@@ -124,6 +130,7 @@ def test_leaks_against_brute_force(spark, shard):
             parts.insert(rnd.randrange(2), " ".join(w[a : a + rnd.randrange(4, len(w))]).upper())
         rows.append((d, "\n".join(parts)))
     rows.append((900, rows[-1][1]))
+    rows += [(1000 + k, f"{text_of(rnd, 9)} please read the sign on the left side and say what it says {text_of(rnd, 3)} a B, {items[20 + k][1]}") for k in range(6)]
     table = spark.createDataFrame([(*i, "clash") for i in items], "item_id long, text string, doc_id string")
     hits = leakage.leaks(docs(spark, rows), table, shard_words=shard)
     got = {(r.doc_id, r.item_id): r.held_words for r in hits.collect()}
@@ -134,11 +141,23 @@ def test_leaks_against_brute_force(spark, shard):
     for r in hits.collect():
         w = re.findall(r"[^\W_]+", dict(rows)[r.doc_id].lower())
         q = re.findall(r"[^\W_]+", dict(items)[r.item_id].lower())
-        runs = {tuple(q[i : i + 4]) for i in range(len(q) - 3)}
-        own = {i + j for i in range(len(w) - 3) if tuple(w[i : i + 4]) in runs for j in range(4)}
+        n = min(4, len(q))
+        runs = {tuple(q[i : i + n]) for i in range(len(q) - n + 1)}
+        own = {i + j for i in range(len(w) - n + 1) if tuple(w[i : i + n]) in runs for j in range(n)}
         assert own == {i for a, b in zip(r.first_words, r.last_words) for i in range(a, b + 1)}
 
 
+def test_shared_phrases_bring_up_few_pairs(monkeypatch):
+    """A hundred items begin alike; a document with that opening alone brings up none of them."""
+    opening = "read the sign on the left side of the road".split()
+    p = leakage.Phrases([(k, [*opening, *(f"own{k}x{j}" for j in range(12))]) for k in range(100)])
+    brought = []
+    monkeypatch.setattr(leakage, "_verified", lambda pairs, *_: brought.append(len(pairs)) or [])
+    index = FMIndex([opening, [*opening, "own7x0", "own7x1", "own7x2", "own7x3"]])
+    leakage._judge(*leakage._finds(index, p)[0:1], *leakage._finds(index, p)[1:], p)
+    assert sum(brought) == 1
+
+
 def test_spans_merge_over_items(spark):
     hits = spark.createDataFrame([(1, 1, 4, 4, [0, 20], [9, 29]), (1, 2, 4, 4, [5, 30, 50], [12, 33, 53]), (2, 1, 4, 4, [3], [6])], leakage.HITS)
     got = sorted(tuple(r) for r in leakage.removal_spans(hits).collect())
@@ -171,7 +190,7 @@ def test_repeated_words(texts):
     out = list(repetition.measured(iter([frame] if len(frame) else [])))
     got = pd.concat(out) if out else pd.DataFrame(columns=["doc_id"])
     assert len(got) == len(texts)
-    for k, column in ((5, "repeated_words"), (3, "short_words"), (10, "long_words")):
+    for k, column in ((5, "repeated_words"), (3, "short_words")):
         assert [repeated(t, k) for t in texts] == (got[column].tolist() if len(got) else [])
 
 
@@ -217,18 +236,17 @@ def test_a_phrase_in_different_sentences_is_above_the_limit(spark, sep):
     # few beside many: the other rules' votes outweigh that of the runs
     rows += [(4000 + i, sep.join(f"{fresh(11)} how one two three four five six {fresh(2)}." for _ in range(12))) for i in range(20)]
     out = repetition.repetitive(docs(spark, rows), "doc_id", "text")
-    odd = [r for r in out.collect() if r.doc_id >= 4000]
-    ends = None if sep == " " else 0
-    assert {(r.vote_runs, r.vote_short_runs, r.vote_long_runs, r.vote_lines, r.vote_sentences, r.vote_paragraphs) for r in odd} == {(1, None, 0, ends, 0, ends)}
-    assert max(r.posterior for r in odd) < repetition.SUSPECT
+    # votes for and against: what the posterior leaves out the check of the doubtful finds
     assert {r.doc_id for r in repetition.above_limit(out).collect()} == {i for i, _ in rows if i >= 3000}
+    a = repetition.accuracy(out).first()
+    assert a.above_limit == 120 == a.both + a.doubtful_above and a.both >= 100 and a.doubtful < 40
 
 
-def test_a_limit_below_the_rule_is_refused(spark):
-    with pytest.raises(ValueError):
-        repetition.above_limit(repetition.repetitive(docs(spark, []), "doc_id", "text"), 0.2)
+def test_no_rule_looks_at_the_measured_share():
+    assert all("repeated" not in str(r.vote()) for r in repetition.rules())
 
 
 def test_no_documents(spark):
     out = repetition.repetitive(docs(spark, []), "doc_id", "text")
     assert repetition.above_limit(out).collect() == []
+    assert tuple(repetition.accuracy(out).first()) == (0,) * 6
