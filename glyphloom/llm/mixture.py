@@ -4,7 +4,7 @@ The pool is counted in cells of category x stratum. A flow network over these co
 quotas: from the source to every category arcs for its minimum and for the rest of its target, on
 to its cells as far as rows are available, from the cells to the strata (whose margins follow the
 pool) and to the sink; a slack arc past each category shows what it lacks. Fractions are rounded
-by random costs, so quotas are whole numbers drawn at random. The rows are then drawn by hash.
+by random costs, up with a probability near the fraction, so quotas are whole numbers drawn at random. The rows are then drawn by hash.
 
 Results for odd input: a record is a non-null key, of several deliveries the alphabetically first
 category counts; records whose category is null or in no target are outside the pool; a category
@@ -29,7 +29,7 @@ from glyphloom.session import written
 
 #: Costs in the network: a unit that a category lacks, a unit off a stratum's margin, a unit off a
 #: cell's proportional share; random costs for rounding lie below ROUND.
-LACK, OFF_MARGIN, OFF_CELL, ROUND = 10**9, 10**4, 10**3, 10**2
+LACK, OFF_MARGIN, OFF_CELL, ROUND = 10**15, 10**9, 10**8, 10**7
 
 
 @dataclass(frozen=True)
@@ -69,6 +69,15 @@ class Plan:
     lacking: dict[str, int]
 
 
+def _round_cost(part: float, rnd: random.Random) -> int:
+    """A random cost of rounding up what has the fractional part ``part``. Of parts that compete, those of
+    least cost are rounded up, each with a probability near its part (order sampling of Pareto type)."""
+    u = rnd.random()
+    odds = lambda p: p / max(1 - p, 1e-9)
+    q = odds(u) / max(odds(part), 1e-9)
+    return int((ROUND - 1) * q / (1 + q))
+
+
 def plan_quotas(cells: dict[tuple, int], targets: list[Target], seed: int) -> Plan:
     """Quotas of the cells, from their counts."""
     pool = sum(cells.values())
@@ -90,12 +99,12 @@ def plan_quotas(cells: dict[tuple, int], targets: list[Target], seed: int) -> Pl
                 continue
             share = min(n, want[c]) * n / max(have[c], 1) if want[c] >= have[c] else want[c] * n / have[c]
             whole = min(n, math.floor(share))
-            steps = ((whole, 0), (min(1, n - whole), rnd.randrange(ROUND)), (n - whole - min(1, n - whole), OFF_CELL))
+            steps = ((whole, 0), (min(1, n - whole), _round_cost(share - whole, rnd)), (n - whole - min(1, n - whole), OFF_CELL))
             parts[c, s] = [net.add(("category", c), ("cell", c, s), size, cost) for size, cost in steps]
             net.add(("cell", c, s), ("stratum", s), n, 0)
     for s in strata:
         net.add(("stratum", s), "sink", math.floor(margin[s]), 0)
-        net.add(("stratum", s), "sink", 1, rnd.randrange(ROUND))
+        net.add(("stratum", s), "sink", 1, 0)  # rounded with the cells
         net.add(("stratum", s), "sink", total, OFF_MARGIN)
     net.solve("source", "sink", total)
     return Plan({k: sum(map(net.flow, arcs)) for k, arcs in parts.items()}, want, have, {c: net.flow(arc) for c, arc in slack.items()})

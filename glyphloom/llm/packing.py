@@ -14,6 +14,8 @@ other columns are ignored.
 from __future__ import annotations
 
 import math
+import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,42 +34,61 @@ WORKER_ITEMS = 50_000
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The pattern that splits texts before the merges of the rank file (a fixed value of the vocabulary).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: A text the pattern can't be matched on at once (endless white space, say) is counted in pieces of this length.
-PIECE_CHARS = 20_000
+#: White space longer than this is counted as the one piece that the pattern makes of it, without the
+#: pattern, whose engine would run out of stack.
+LONG_SPACE = 20_000
+#: White space as the pattern's engine has it.
+SPACE = r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+#: The setting that names the rank file on the driver; tasks get its content.
+TOKENIZER_SETTING = "spark.glyphloom.tokenizer"
+#: A rank file larger than this is refused: it is sent to every worker.
+RANK_BYTES = 64 << 20
 
 _encodings: dict = {}
 
 
-def _encoding(path: str, pattern: str):
-    """One per Python worker."""
-    if (path, pattern) not in _encodings:
+def encoding_of(ranks: bytes, pattern: str = PATTERN):
+    """The encoding of a rank file's content; one per Python worker."""
+    key = (hash(ranks), pattern)
+    if key not in _encodings:
         import base64
 
         import tiktoken
 
-        with open(path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        _encodings[path, pattern] = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-    return _encodings[path, pattern]
+        table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}
+        _encodings.clear()
+        _encodings[key] = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table, special_tokens={})
+    return _encodings[key]
 
 
-def _count(encoding, text: str | None) -> int:
-    if not text:
-        return 0
-    try:
-        return len(encoding.encode_ordinary(text))
-    except Exception:  # noqa: BLE001 - the library raises what its regex engine does
-        return sum(len(encoding.encode_ordinary(text[i : i + PIECE_CHARS])) for i in range(0, len(text), PIECE_CHARS))
+def count_tokens(encoding, text: str | None, long_space: int = LONG_SPACE) -> int:
+    """As many as encoding the whole text gives.
 
+    The pattern takes white space before a word as one piece but for its last character, and white space
+    at the end as one piece; so a text can be cut there."""
+    n = at = 0
+    for m in re.finditer(f"{SPACE}{{{long_space},}}", text or ""):
+        end = m.end() if m.end() == len(text) else m.end() - 1
+        n += len(encoding.encode_ordinary(text[at : m.start()])) + len(encoding._encode_single_piece(text[m.start() : end]))
+        at = end
+    return n + len(encoding.encode_ordinary(text[at:] if at else text or ""))
 
-def token_counts(df: DataFrame, key: str, text: str, tokenizer: str = TOKENIZER, pattern: str = PATTERN) -> DataFrame:
-    """(key, tokens) of every row with a key."""
-    ship(df.sparkSession)
+
+def token_counts(df: DataFrame, key: str, text: str, tokenizer: str | None = None, pattern: str = PATTERN) -> DataFrame:
+    """(key, tokens) of every row with a key. tokenizer: a rank file on the driver; by default the one that
+    the session's setting names."""
+    spark = df.sparkSession
+    ship(spark)
+    path = tokenizer or spark.conf.get(TOKENIZER_SETTING, TOKENIZER)
+    if os.path.getsize(path) > RANK_BYTES:
+        raise ValueError(f"{path} has more than {RANK_BYTES} bytes")
+    with open(path, "rb") as f:
+        sent = spark.sparkContext.broadcast(f.read())
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoding = _encoding(tokenizer, pattern)
+        encoding = encoding_of(sent.value, pattern)
         for b in batches:
-            n = [_count(encoding, t.as_py()) for t in b.column(1)]
+            n = [count_tokens(encoding, t.as_py()) for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64())], ["key", "tokens"])
 
     return df.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("key"), text).mapInArrow(count, "key long, tokens long")
@@ -134,7 +155,7 @@ def pack(parts: DataFrame, capacity: int = CAPACITY, classes: tuple[int, ...] =
     return spread.groupBy("worker").applyInPandas(one, "container_id long, key long, part long, first_token long, tokens long")
 
 
-def packed(df: DataFrame, key: str, text: str, tokenizer: str = TOKENIZER, capacity: int = CAPACITY) -> DataFrame:
+def packed(df: DataFrame, key: str, text: str, tokenizer: str | None = None, capacity: int = CAPACITY) -> DataFrame:
     return pack(written(parts_of(token_counts(df, key, text, tokenizer), capacity), "parts"), capacity)
 
 
@@ -148,3 +169,19 @@ def fill(containers: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     each = containers.groupBy("container_id").agg(F.sum("tokens").alias("tokens"))
     n, tokens = F.count(F.lit(1)), F.coalesce(F.sum("tokens"), F.lit(0))
     return each.agg(n.alias("containers"), tokens.alias("tokens"), F.when(n > 0, tokens / (n * capacity)).alias("fill_share"))
+
+
+def audit(containers: DataFrame, capacity: int = CAPACITY, least_fill: float = 0.97) -> DataFrame:
+    """One row: the texts in containers; how many containers hold more than fits, texts are in parts though
+    they would fit, texts lack tokens or have some twice; and whether the containers are full enough."""
+    held = written(containers, "containers")
+    n = lambda c: F.count(F.when(c, 1))
+    loads = held.groupBy("container_id").agg(F.sum("tokens").alias("load"))
+    loads = loads.agg(n(F.col("load") > capacity).alias("over_capacity"), F.count(F.lit(1)).alias("containers"))
+    ends = F.max(F.col("first_token") + F.col("tokens"))
+    texts = held.groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.max("part").alias("last"), F.count_distinct("first_token").alias("starts"), F.sum("tokens").alias("tokens"), ends.alias("end"))
+    texts = texts.agg(F.count(F.lit(1)).alias("documents"), n((F.col("parts") > 1) & (F.col("end") <= capacity)).alias("split_needlessly"), n((F.col("parts") != F.col("last") + 1) | (F.col("parts") != F.col("starts")) | (F.col("tokens") != F.col("end"))).alias("incomplete"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"))
+    load, text = loads.first(), texts.first()
+    full = text["tokens"] >= least_fill * load["containers"] * capacity
+    row = (text["documents"], load["over_capacity"], text["split_needlessly"], text["incomplete"], full)
+    return held.sparkSession.createDataFrame([row], "documents long, over_capacity long, split_needlessly long, incomplete long, full boolean")

@@ -47,6 +47,17 @@ def p2_sample(spark: SparkSession, d: str) -> DataFrame:
     return drawn[0].unionByName(drawn[1])
 
 
+def p2_drawn(spark: SparkSession, d: str) -> DataFrame:
+    """For each category the rows of the sample, and how many of them are there twice or not in the pool."""
+    parts = []
+    for field, m in _p2(spark, d).items():
+        sample = written(m.sample(), "sample")
+        n = sample.groupBy("category").agg(F.count(F.lit(1)).alias("drawn"), (F.count(F.lit(1)) - F.count_distinct("key")).alias("twice"))
+        strange = sample.join(m.pool, ["key", "category"], "left_anti").groupBy("category").agg(F.count(F.lit(1)).alias("strange"))
+        parts.append(n.join(strange, "category", "left").select(F.lit(field).alias("field_name"), "category", "drawn", "twice", F.coalesce("strange", F.lit(0)).alias("strange")))
+    return parts[0].unionByName(parts[1])
+
+
 def _p3(spark: SparkSession, d: str) -> dict[str, copies.Collapsed]:
     raw = copies.json_fields(table(spark, d, "raw_qa_records"), "record_id", "payload")
     return {
@@ -88,6 +99,21 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return p4_nodes(spark, d).select("image_id", "node_id", "text_normalized")
 
 
+def p4_unanimous(spark: SparkSession, d: str) -> DataFrame:
+    """The nodes on which all readers agree, one reader included."""
+    agreeing = F.coalesce(F.col("agreeing"), F.lit(1.0))
+    return p4_nodes(spark, d).where(agreeing == 1).select("image_id", "node_id", "text_normalized", "readers")
+
+
+def p4_seen(spark: SparkSession, d: str) -> DataFrame:
+    """The nodes with a text, and how many of them have one that a reader saw, a row each and a proper probability."""
+    found = written(p4_nodes(spark, d), "found")
+    cast = consensus.votes(table(spark, d, "readings")).select("image_id", "node_id", F.col("text").alias("text_normalized")).distinct()
+    seen = found.join(cast, ["image_id", "node_id", "text_normalized"], "left_semi")
+    proper = seen.where("probability > 0 and probability <= 1").agg(F.count_distinct("image_id", "node_id").alias("seen")).first()["seen"]
+    return found.agg(F.count(F.lit(1)).alias("nodes"), F.lit(proper).alias("seen"), F.sum("readers").alias("votes"))
+
+
 def p4_readers(spark: SparkSession, d: str) -> DataFrame:
     return consensus.consensus(table(spark, d, "readings")).reliability()
 
@@ -147,6 +173,10 @@ def p7_fill(spark: SparkSession, d: str) -> DataFrame:
     return packing.fill(_p7(spark, d))
 
 
+def p7_audit(spark: SparkSession, d: str) -> DataFrame:
+    return packing.audit(_p7(spark, d))
+
+
 def _p8(spark: SparkSession, d: str) -> DataFrame:
     return leakage.leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))
 

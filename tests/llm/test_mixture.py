@@ -50,6 +50,14 @@ def test_quotas_meet_targets_or_show_what_lacks():
     assert abs(p.quotas["a", "x"] - 37.5) < 5
 
 
+def test_fractions_are_rounded_up_as_often_as_they_say():
+    targets = [Target("a", 1.0, 0, 0.1)]
+    cells = {("a", "x"): 112, ("a", "y"): 37, ("a", "z"): 61}  # shares of 11.2, 3.7 and 6.1 rows
+    n = 600
+    mean = {k: sum(plan_quotas(cells, targets, seed).quotas[k] for seed in range(n)) / n for k in cells}
+    assert all(abs(mean[k] - c / 10) < 0.12 for k, c in cells.items())
+
+
 def test_draw_is_exact_and_repeats(spark):
     rows = [(c, k, f"{c}{i}") for c, k, n in (("a", 1, 900), ("a", None, 40), ("b", 1, 10), ("c", 2, 5)) for i in range(n)]
     df = spark.createDataFrame(rows, "cat string, k int, id string").withColumnRenamed("cat", "_cat").withColumnRenamed("_cat", "cat")

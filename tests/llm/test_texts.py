@@ -60,6 +60,25 @@ def test_containers(spark):
     assert packing.fill(packing.packed(docs(spark, []), "doc_id", "text")).first() == (0, 0, None)
 
 
+def test_long_white_space_counts_as_in_the_whole_text():
+    with open(packing.TOKENIZER, "rb") as f:
+        e = packing.encoding_of(f.read())
+    rnd = random.Random(2)
+    for _ in range(200):
+        t = "".join(rnd.choice(["a", " ", "\n", "\u3000", "\x1c", ".", "1", "ab ", " " * rnd.randrange(12), "\n" * rnd.randrange(9)]) for _ in range(rnd.randrange(30)))
+        assert packing.count_tokens(e, t, 3) == len(e.encode_ordinary(t))
+    assert packing.count_tokens(e, "a" + " " * 2_000_000 + "b" + "\n" * 1_000_000) > 100_000
+
+
+def test_audit_sees_what_is_wrong(spark):
+    fields = "container_id long, key long, part long, first_token long, tokens long"
+    good = [(1, 1, 0, 0, 10), (1, 2, 0, 0, 90), (2, 3, 0, 0, 100), (3, 3, 1, 100, 99)]
+    assert tuple(packing.audit(spark.createDataFrame(good, fields), 100).first()) == (3, 0, 0, 0, True)
+    bad = [(1, 1, 0, 0, 50), (1, 2, 0, 0, 60), (2, 3, 0, 0, 10), (3, 3, 1, 10, 10), (4, 4, 1, 100, 20)]
+    assert tuple(packing.audit(spark.createDataFrame(bad, fields), 100).first()) == (4, 1, 1, 1, False)
+    assert tuple(packing.audit(spark.createDataFrame([], fields), 100).first()) == (0, 0, 0, 0, True)
+
+
 def test_workers_are_spread(spark):
     parts = spark.range(3000).selectExpr("id as key", "0L as part", "0L as first_token", "1 + id % 300 as tokens")
     out = packing.pack(parts, 1000, worker_items=200).collect()
