@@ -70,19 +70,21 @@ def last_wins(df: DataFrame, key: str, ordinal: list[str]) -> DataFrame:
 
 
 def exact_sample(df: DataFrame, key: str, n: int, seed: int, excluded: DataFrame | None = None) -> DataFrame:
-    """n rows without replacement, those whose keys have the smallest hashes; a top-n, not a sort."""
+    """n rows without replacement, those whose keys have the smallest hashes (MD5, the same in any engine);
+    a top-n, not a sort."""
     left = without(df, excluded, key) if excluded is not None else df
-    return left.orderBy(F.xxhash64(F.lit(seed), F.col(key)), key).limit(n)
+    return left.orderBy(F.md5(F.concat_ws(":", F.lit(seed), F.col(key))), key).limit(n)
 
 
 def round_robin(df: DataFrame, strata: list[str], key: str, score: str, n: int, seed: int) -> DataFrame:
     """n rows taken in turns from strata, best first, in a shuffled order of the strata each turn.
 
     A key counts once, with its best row. Spark cuts every stratum to its first n rows early."""
-    best = one_a_key(df, key, [F.desc(score), *map(F.asc, strata)])
+    best = one_a_key(df, key, [F.desc(score), *map(F.asc, strata), *(F.asc(c) for c in df.columns if c not in (key, score, *strata))])
     w = Window.partitionBy(*strata).orderBy(F.desc(score), F.asc(key))
     turns = best.withColumn("turn", F.row_number().over(w)).where(F.col("turn") <= n)
-    return turns.orderBy("turn", F.xxhash64(F.lit(seed), "turn", *strata), key).limit(n).orderBy(key)
+    names = [F.coalesce(F.col(s).cast("string"), F.lit("")) for s in strata]
+    return turns.orderBy("turn", F.md5(F.concat_ws(":", F.lit(seed), F.col("turn"), *names)), key).limit(n).orderBy(key)
 
 
 def ordered_rows(df: DataFrame, order: list[Column], n: int) -> DataFrame:

@@ -18,6 +18,7 @@ from glyphloom.functions import normalize as N
 from glyphloom.functions import scoring as S
 from glyphloom.functions.geometry import Box
 from glyphloom.operators import agreement, boxes, folds, quality, rescue, tables, tuples, votes
+from glyphloom.plans import foldsql as Y
 from glyphloom.plans import sqltext as X
 from glyphloom.plans import views as V
 from glyphloom.session import table, written
@@ -251,7 +252,7 @@ def _best(spark: SparkSession, d: str) -> DataFrame:
     return folds.with_support(candidates).withColumn("selection_score", boxes.selection_score(L.PLAIN_ANCHORS))
 
 
-@query()
+@query(f"WITH {_CANDIDATES}, {Y.CHOSEN} SELECT image_id, node_id, anchor_id, label, relation, relevance, selection_score, rank FROM ranked WHERE rank <= 5")
 def best_anchors(spark: SparkSession, d: str) -> DataFrame:
     return boxes.best_anchors(_best(spark, d)).select("image_id", "node_id", "anchor_id", "label", "relation", "relevance", "selection_score", "rank")
 
@@ -325,13 +326,18 @@ def latest_specs(spark: SparkSession, d: str) -> DataFrame:
     return tables.last_wins(specs, "image_id", ["listed_at"]).select("image_id", "image_path")
 
 
-@query()
+@query("SELECT DISTINCT image_id, md5('42:' || image_id) AS h FROM image_specs WHERE image_id IS NOT NULL AND image_id NOT IN (SELECT image_id FROM text_nodes WHERE image_id IS NOT NULL) ORDER BY h, image_id LIMIT 200".join(("SELECT image_id FROM (", ")")))
 def sampled_images(spark: SparkSession, d: str) -> DataFrame:
     specs = table(spark, d, "image_specs").where("image_id is not null").select("image_id").distinct()
     return tables.exact_sample(specs, "image_id", 200, 42, table(spark, d, "text_nodes"))
 
 
-@query()
+@query(
+    f"""WITH {V.TUPLES.replace("'valid_text_count': valid_text_count}", "'valid_text_count': valid_text_count, 'density_bucket': density_bucket, 'area_bucket': area_bucket, 'sc': score}")},
+        b AS (SELECT DISTINCT ON (image_id) image_id, ann_id, sc AS score, density_bucket, area_bucket, region_key FROM tuples WHERE image_id IS NOT NULL AND sc IS NOT NULL AND NOT isnan(sc) ORDER BY image_id, sc DESC, density_bucket NULLS FIRST, area_bucket NULLS FIRST, region_key NULLS FIRST, ann_id),
+        t AS (SELECT *, row_number() OVER (PARTITION BY density_bucket, area_bucket, region_key ORDER BY score DESC, image_id)::INTEGER AS turn FROM b)
+        SELECT image_id, ann_id, score, turn FROM (SELECT * FROM t ORDER BY turn, md5(concat_ws(':', '42', turn, coalesce(density_bucket, ''), coalesce(area_bucket, ''), coalesce(region_key, ''))), image_id LIMIT 200)"""
+)
 def stratified_tuples(spark: SparkSession, d: str) -> DataFrame:
     t = V.tuples(spark, d).where("image_id is not null and score is not null and not isnan(score)")
     return tables.round_robin(t, ["density_bucket", "area_bucket", "region_key"], "image_id", "score", 200, 42).select("image_id", "ann_id", "score", "turn")
@@ -533,44 +539,78 @@ def rescue_images(spark: SparkSession, d: str) -> DataFrame:
     return chosen.select("image_id", "score", "final_rows", "final_type_count", "answer_entropy", "unique_anchor_labels")
 
 
-# folds: checked against plain restatements in the tests
+# folds
 
 
-@query()
+@query(
+    f"""WITH RECURSIVE {V.TUPLES}, r AS (SELECT image_id, ann_id AS key, {{'x1': text_bbox[1], 'y1': text_bbox[2], 'x2': text_bbox[1] + text_bbox[3], 'y2': text_bbox[2] + text_bbox[4]}} AS box, area_fraction AS confidence, coalesce(relation, 'unknown') AS source FROM tuples WHERE image_id IS NOT NULL AND text_bbox IS NOT NULL),
+        {Y.merged("r")}, u AS (SELECT image_id, unnest(st) AS k, generate_subscripts(st, 1) AS number FROM f)
+        SELECT image_id, k.key AS key, k.box.x1 AS x1, k.box.y1 AS y1, k.box.x2 AS x2, k.box.y2 AS y2, k.confidence AS confidence, array_to_string(k.sources, '|') AS sources, number::INTEGER AS number FROM u WHERE number <= 128"""
+)
 def merged_detections(spark: SparkSession, d: str) -> DataFrame:
     t = V.tuples(spark, d).where("image_id is not null")
     rows = t.select("image_id", F.col("ann_id").alias("key"), G.from_xywh(F.col("text_bbox")).alias("box"), F.col("area_fraction").alias("confidence"), F.array(F.coalesce("relation", F.lit("unknown"))).alias("sources"))
-    return folds.merge_detections(rows)
+    return folds.merge_detections(rows).select("image_id", "key", "box.*", "confidence", F.array_join("sources", "|").alias("sources"), "number")
 
 
-@query()
+@query(
+    f"""WITH RECURSIVE {V.NODES}, {V.SEEN_TWICE}, {Y.distinct_rows("twice", f"confidence DESC NULLS LAST, length(coalesce(text, '')) DESC, greatest({X.width('box')}, 1.0) * greatest({X.height('box')}, 1.0) DESC, key", "key, text, text_normalized, confidence, box", f"key VARCHAR, text VARCHAR, text_normalized VARCHAR, confidence DOUBLE, box {Y.BOX}", f"coalesce(o.text_normalized, '') <> '' AND coalesce(k.text_normalized, '') <> '' AND (contains(o.text_normalized, k.text_normalized) OR contains(k.text_normalized, o.text_normalized)) AND {Y.like('k.box', 'o.box', 0.74, 0.6)}")}
+        SELECT image_id, k.key AS key, k.text AS text, k.confidence AS confidence FROM (SELECT image_id, unnest(st) AS k FROM f)"""
+)
 def deduped_nodes(spark: SparkSession, d: str) -> DataFrame:
-    return folds.dedupe_nodes(V.nodes(spark, d).withColumnRenamed("node_id", "key")).select("image_id", "key", "text", "confidence")
+    return folds.dedupe_nodes(V.seen_twice(spark, d)).select("image_id", "key", "text", "confidence")
 
 
-@query()
+@query(
+    f"""WITH RECURSIVE {V.ANCHORS}, {Y.distinct_rows("(SELECT image_id, anchor_id AS key, label, score, box FROM anchors WHERE box.x1 IS NOT NULL AND box.x2 IS NOT NULL)", "score DESC NULLS LAST, label NULLS FIRST, key", "key, label, score, box", f"key VARCHAR, label VARCHAR, score DOUBLE, box {Y.BOX}", f"k.label = o.label AND {Y._sides('k.box', 'o.box')[0]} >= 0.85::DOUBLE AND {Y._sides('k.box', 'o.box')[1]} >= 0.85::DOUBLE")}
+        SELECT image_id, k.key AS key, k.label AS label, k.score AS score FROM (SELECT image_id, unnest(st) AS k FROM f)"""
+)
 def deduped_anchors(spark: SparkSession, d: str) -> DataFrame:
     return folds.dedupe_anchors(V.anchors(spark, d).withColumnRenamed("anchor_id", "key")).select("image_id", "key", "label", "score")
 
 
-@query()
+@query(
+    f"""WITH RECURSIVE {_CANDIDATES}, {Y.CHOSEN}, lab AS ({_label_sql()}),
+        r AS (SELECT image_id || chr(1) || node_id AS image_id, anchor_id AS key, relation, box, coalesce(lab.label, chosen.label) AS label, selection_score, score, support_count, source FROM chosen LEFT JOIN lab ON lab.anchor_label = chosen.label),
+        {Y.exemplar_numbers("r", "selection_score DESC, score DESC, label, key", "relation, box", f"relation VARCHAR, box {Y.BOX}", f"k.relation = o.relation AND {Y.like('k.box', 'o.box', 0.78, 0.68)}")},
+        w AS (SELECT *, selection_score + 0.10::DOUBLE * greatest(support_count, 1) + CASE WHEN label NOT IN ({Y._PLAIN}) THEN 0.08::DOUBLE ELSE 0 END + CASE WHEN len({X.tokens('label')}) >= 2 THEN 0.04::DOUBLE ELSE 0 END + CASE WHEN source = 'florence_region' THEN 0.03::DOUBLE ELSE 0 END AS weight FROM f_c),
+        v AS (SELECT image_id, c, label, round(sum(weight), 9) AS vote FROM w GROUP BY 1, 2, 3),
+        l AS (SELECT DISTINCT ON (image_id, c) * FROM v ORDER BY image_id, c, vote DESC, label NOT IN ({Y._PLAIN}) DESC, len({X.tokens('label')}) DESC, label DESC),
+        s AS (SELECT image_id, c, count(*) AS size, count(DISTINCT label) - 1 AS conflicts, array_to_string(list_sort(list(DISTINCT label)), '|') AS labels FROM w GROUP BY 1, 2),
+        b AS (SELECT DISTINCT ON (image_id, c) w.* FROM w JOIN l USING (image_id, c, label) ORDER BY image_id, c, selection_score DESC, score DESC, n)
+        SELECT image_id, key, relation, label, selection_score, labels AS alternate_labels, conflicts::INTEGER AS label_conflict_count, size::INTEGER AS cluster_size, greatest(support_count, size) AS support_count FROM b JOIN s USING (image_id, c)"""
+)
 def consolidated_anchors(spark: SparkSession, d: str) -> DataFrame:
     rows = tables.mapped(_best(spark, d), "label", L.vocabulary_label, "clean")
     rows = rows.select(F.concat_ws("\u0001", "image_id", "node_id").alias("image_id"), F.col("anchor_id").alias("key"), "relation", "box", F.coalesce("clean", "label").alias("label"), "selection_score", "score", "support_count", "source")
-    return folds.consolidate(rows, L.PLAIN_ANCHORS)
+    found = folds.consolidate(rows, L.PLAIN_ANCHORS)
+    return found.select("image_id", "key", "relation", "label", "selection_score", F.array_join("alternate_labels", "|").alias("alternate_labels"), "label_conflict_count", "cluster_size", "support_count")
 
 
-@query()
+@query(
+    f"""WITH RECURSIVE {V.ANCHORS}, r AS (SELECT image_id, anchor_id AS key, length(anchor_id) % 3 AS pass_index, {X.spaced("label")} AS label, label AS raw_label, box, score FROM anchors WHERE box.x1 IS NOT NULL AND box.x2 IS NOT NULL AND {X.spaced("label")} <> ''),
+        {Y.exemplar_numbers("r", "score DESC, label, key", "label, box", f"label VARCHAR, box {Y.BOX}", f"k.label = o.label AND {Y.iou('k.box', 'o.box')} >= 0.55::DOUBLE")},
+        s AS (SELECT image_id, c, count(DISTINCT pass_index) AS passes, array_to_string(list_sort(list(DISTINCT {X.strip("raw_label")})), '|') AS labels FROM f_c GROUP BY 1, 2),
+        b AS (SELECT DISTINCT ON (image_id, c) * FROM f_c ORDER BY image_id, c, score DESC, raw_label DESC, n)
+        SELECT image_id, key, label, round_even(score + 0.03::DOUBLE * (passes - 1), 4) AS score, passes::INTEGER AS pass_support_count, labels AS alternate_labels FROM b JOIN s USING (image_id, c)"""
+)
 def merged_inventory(spark: SparkSession, d: str) -> DataFrame:
-    a = tables.mapped(V.anchors(spark, d), "label", L.open_label, "clean")
-    rows = a.select("image_id", F.col("anchor_id").alias("key"), F.pmod(F.length("anchor_id"), F.lit(3)).alias("pass_index"), F.coalesce("clean", F.lower("label")).alias("label"), F.col("label").alias("raw_label"), "box", "score")
-    return folds.merge_passes(rows)
+    a = V.anchors(spark, d)
+    rows = a.select("image_id", F.col("anchor_id").alias("key"), F.pmod(F.length("anchor_id"), F.lit(3)).alias("pass_index"), N.spaced(F.col("label")).alias("label"), F.col("label").alias("raw_label"), "box", "score")
+    return folds.merge_passes(rows).select("image_id", "key", "label", "score", "pass_support_count", F.array_join("alternate_labels", "|").alias("alternate_labels"))
 
 
-@query()
+@query(
+    f"""WITH RECURSIVE {_CANDIDATES}, {Y.CHOSEN}, r AS (SELECT image_id, node_id AS key, box, label, selection_score, score FROM ranked WHERE rank = 1 AND relation = 'on'),
+        {Y.exemplar_numbers("r", "score DESC, label, key", "box", f"box {Y.BOX}", f"{Y.alike('k.box', 'o.box')} >= 0.1::DOUBLE")},
+        s AS (SELECT image_id, c, min(box.x1) AS x1, min(box.y1) AS y1, max(box.x2) AS x2, max(box.y2) AS y2, string_agg(key, '|' ORDER BY n) AS member_keys, count(DISTINCT label) AS labels FROM f_c GROUP BY 1, 2),
+        b AS (SELECT DISTINCT ON (image_id, c) * FROM f_c ORDER BY image_id, c, selection_score DESC, score DESC, n)
+        SELECT image_id, c::INTEGER AS cluster_no, key, label, x1, y1, x2, y2, member_keys, labels::INTEGER AS labels FROM b JOIN s USING (image_id, c)"""
+)
 def anchor_clusters(spark: SparkSession, d: str) -> DataFrame:
     best = boxes.best_anchors(_best(spark, d), 1).where("relation = 'on'")
-    return folds.anchor_clusters(best.select("image_id", F.col("node_id").alias("key"), "box", "label", "selection_score", "score"))
+    found = folds.anchor_clusters(best.select("image_id", F.col("node_id").alias("key"), "box", "label", "selection_score", "score"))
+    return found.select("image_id", "cluster_no", "key", "label", "box.*", F.array_join("member_keys", "|").alias("member_keys"), F.size("labels").alias("labels"))
 
 
 def _on_anchor(spark: SparkSession, d: str) -> DataFrame:
@@ -608,17 +648,38 @@ def merged_signs(spark: SparkSession, d: str) -> DataFrame:
     return tuples.merged_signs(V.nodes(spark, d), clusters, tuples.WIDE)
 
 
-@query()
-def line_windows(spark: SparkSession, d: str) -> DataFrame:
-    return tuples.line_windows(folds.text_lines(V.nodes(spark, d).withColumnRenamed("node_id", "key")))
-
-
-@query()
+@query(
+    f"""WITH RECURSIVE {_TEXT_GROUPS}, t AS (SELECT n.image_id, gr.group_id, n.node_id AS key, n.text, n.box FROM nodes n JOIN gr USING (image_id, node_id) WHERE n.box IS NOT NULL),
+        m AS (SELECT image_id, group_id, list_sort(list(greatest({X.height("box")}, 1.0))) AS hs FROM t GROUP BY 1, 2), q AS (SELECT t.*, greatest(0.6::DOUBLE * hs[len(hs) // 2 + 1], 2.0) AS reach FROM t JOIN m USING (image_id, group_id)),
+        {Y.lines("q", "image_id, group_id", 1.0, "abs(o.cy - k.y / k.n) <= o.reach")}
+        SELECT image_id, group_id, key, text, row_number() OVER (PARTITION BY image_id, group_id ORDER BY c, cx, n)::INTEGER AS position FROM f_c"""
+)
 def reading_order(spark: SparkSession, d: str) -> DataFrame:
     grouped = boxes.text_groups(V.nodes(spark, d)).withColumnRenamed("node_id", "key")
-    return folds.reading_order(grouped).select("image_id", "group_id", "key", "text", "position")
+    return folds.reading_order(grouped).select("image_id", F.substring_index("group_id", "\u0001", -1).alias("group_id"), "key", "text", "position")
 
 
-@query()
+_LINES = f"""{V.NODES}, t AS (SELECT image_id, node_id AS key, text, box FROM nodes), {Y.lines("t", "image_id", 1e-6, "abs(o.cy - k.y / k.n) <= 0.65::DOUBLE * greatest(o.h, k.h / k.n)")},
+    ln AS (SELECT image_id, key, text, box, c::INTEGER AS line_no, row_number() OVER (PARTITION BY image_id, c ORDER BY cx, n)::INTEGER AS position FROM f_c)"""
+
+
+@query(f"WITH RECURSIVE {_LINES} SELECT image_id, key, text, line_no, position FROM ln")
 def text_lines(spark: SparkSession, d: str) -> DataFrame:
     return folds.text_lines(V.nodes(spark, d).withColumnRenamed("node_id", "key")).select("image_id", "key", "text", "line_no", "position")
+
+
+_HIGH = "greatest(b.y2 - b.y1, 1e-6)", "greatest(box.y2 - box.y1, 1e-6)"
+
+
+@query(
+    f"""WITH RECURSIVE {_LINES}, p AS (SELECT *, lag(box) OVER (PARTITION BY image_id, line_no ORDER BY position) AS b FROM ln),
+        j AS (SELECT *, coalesce(greatest(least(b.y2, box.y2) - greatest(b.y1, box.y1), 0.0) / least({_HIGH[0]}, {_HIGH[1]}) >= 0.35::DOUBLE AND box.x1 - b.x2 BETWEEN -0.1::DOUBLE * greatest({_HIGH[0]}, {_HIGH[1]}) AND 1.6::DOUBLE * greatest({_HIGH[0]}, {_HIGH[1]}), false) AS joins FROM p),
+        u AS (SELECT *, sum((NOT joins)::INT) OVER (PARTITION BY image_id, line_no ORDER BY position) AS run FROM j),
+        m AS (SELECT image_id, list({{'key': key, 'text': text}}) OVER (PARTITION BY image_id, line_no, run ORDER BY position ROWS BETWEEN CURRENT ROW AND 3 FOLLOWING) AS m FROM u),
+        x AS (SELECT image_id, m[1:k] AS m FROM m, range(2, 5) t(k) WHERE len(m) >= k),
+        y AS (SELECT image_id, array_to_string([i.key FOR i IN m], '|') AS node_ids, array_to_string([{X.strip("i.text")} FOR i IN m IF {X.strip("i.text")} <> ''], ' ') AS answer FROM x WHERE len([1 FOR i IN m IF {X.blocked("i.text")}]) = 0)
+        SELECT * FROM y WHERE length(answer) BETWEEN 4 AND 48"""
+)
+def line_windows(spark: SparkSession, d: str) -> DataFrame:
+    found = tuples.line_windows(folds.text_lines(V.nodes(spark, d).withColumnRenamed("node_id", "key")))
+    return found.select("image_id", F.array_join("node_ids", "|").alias("node_ids"), "answer")

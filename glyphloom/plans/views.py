@@ -23,6 +23,20 @@ def nodes(spark: SparkSession, d: str) -> DataFrame:
 NODES = "nodes AS (SELECT DISTINCT ON (image_id, node_id) image_id, node_id, text, text_normalized, polygon, bbox AS box, image_width, image_height, confidence, resolvable, region_key, source_dataset FROM text_nodes)"
 
 
+def seen_twice(spark: SparkSession, d: str) -> DataFrame:
+    """The text nodes and what a second, less sure pass saw of them: a little to the right, without the
+    last character."""
+    n = nodes(spark, d).select("image_id", F.col("node_id").alias("key"), "text", "text_normalized", "confidence", "box")
+    b, t = Box.of("box"), F.col("text_normalized")
+    moved = Box(b.x1 + b.width * 0.0625, b.y1, b.x2 + b.width * 0.0625, b.y2).struct()
+    again = n.select("image_id", F.concat("key", F.lit("+")).alias("key"), "text", F.substring(t, F.lit(1), F.greatest(F.length(t) - 1, F.lit(0))).alias("text_normalized"), (F.col("confidence") * 0.5).alias("confidence"), moved.alias("box"))
+    return n.unionByName(again)
+
+
+SEEN_TWICE = """twice AS (SELECT image_id, node_id AS key, text, text_normalized, confidence, box FROM nodes WHERE box.x1 IS NOT NULL UNION ALL
+    SELECT image_id, node_id || '+', text, substr(text_normalized, 1, greatest(length(text_normalized) - 1, 0)), confidence * 0.5::DOUBLE, {'x1': box.x1 + (box.x2 - box.x1) * 0.0625::DOUBLE, 'y1': box.y1, 'x2': box.x2 + (box.x2 - box.x1) * 0.0625::DOUBLE, 'y2': box.y2} FROM nodes WHERE box.x1 IS NOT NULL)"""
+
+
 def tuples(spark: SparkSession, d: str) -> DataFrame:
     """Tuples, the latest version of each."""
     t = table(spark, d, "bootstrap_tuples").where("ann_id is not null")
