@@ -142,12 +142,6 @@ def anchor_labels(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "bootstrap_tuples").select(a).distinct().select(a, L.color(a).alias("color"), L.vocabulary_label(a).alias("label"), L.is_generic(a).alias("generic"))
 
 
-@query()
-def label_forms(spark: SparkSession, d: str) -> DataFrame:
-    a = F.col("anchor_label")
-    return table(spark, d, "bootstrap_tuples").select(a).distinct().select(a, L.open_label(a).alias("open_label"), L.category(a).alias("category"), L.is_useless(a).alias("useless"), L.refers_to_text(a).alias("refers_to_text"), L.looks_copied(a).alias("looks_copied"), L.without_colors(a).alias("without_colors"), N.plural_phrase(a).alias("plural"), N.short_location(a).alias("short_location"), F.array_join(L.caption_tags(a), "|").alias("caption_tags"), N.stable_choice(F.array(F.lit("x"), F.lit("y"), F.lit("z")), a).alias("choice"))
-
-
 # geometry
 
 

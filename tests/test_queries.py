@@ -6,6 +6,7 @@ import math
 import os
 
 import pytest
+from glyphloom.plans import checks as _  # noqa: F401 - adds its queries
 from glyphloom.plans import queries as Q
 
 
