@@ -176,6 +176,12 @@ def region(b: Box, width: Column, height: Column) -> Column:
     return F.concat(third(b.cy, height, "ucl"), third(b.cx, width, "lcr"))
 
 
+def fine_cell(b: Box, width: Column, height: Column, parts: int = 6) -> Column:
+    """Row and column of the centre in a grid of parts x parts; empty where the picture's size is unknown."""
+    at = lambda v, size: F.greatest(F.least(F.floor(v * parts / size), F.lit(parts - 1)), F.lit(0))
+    return F.when((width > 0) & (height > 0), F.concat_ws("-", at(b.cy, height), at(b.cx, width))).otherwise("")
+
+
 def bucket_name(x: Column, y: Column) -> Column:
     """Name of the cell in which a point lies, given in shares of the sides."""
     part = lambda v, names: F.when(v < 0.34, names[0]).when(v <= 0.66, names[1]).otherwise(names[2])

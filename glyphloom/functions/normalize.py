@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 SPACE = r"[\s\p{Z}]"
+#: The same characters.
+SPACES = "\t\n\x0b\f\r \xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Neither letter, digit, underscore nor white space.
 PUNCTUATION = r"[^\p{L}\p{N}_\s\p{Z}]"
 
@@ -46,7 +48,7 @@ def text_of(c: Column) -> Column:
 
 def strip(c: Column) -> Column:
     """Without white space at the ends."""
-    return F.regexp_replace(text_of(c), f"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(text_of(c), F.lit(SPACES))
 
 
 def spaced(c: Column) -> Column:

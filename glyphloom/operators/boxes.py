@@ -141,13 +141,13 @@ def text_places(grouped: DataFrame, key: str = "node_id") -> DataFrame:
     return out.select("image_id", key, "group_id", "size", "unresolved", "shape", "x_rank", "y_rank", "bucket_key", F.coalesce("bucket_occupancy", F.lit(0)).alias("bucket_occupancy"), box.alias("group_box"))
 
 
-def nearest(nodes: DataFrame, n: int = 10, key: str = "node_id", most_levels: int = 24) -> DataFrame:
+def nearest(nodes: DataFrame, n: int = 10, key: str = "node_id", most_levels: int = 16) -> DataFrame:
     """(image_id, key, neighbor, distance_px, relation, rank): the n nearest other nodes of every node
     by centre distance rounded to a tenth, ties by key.
 
     Cells start at a size that holds about n nodes on average. A node looks into its own and the
     eight cells around; if n neighbours lie within a cell's side it is done, else it looks again
-    with cells of twice the side, until the cells cover the image."""
+    with cells of three times the side, until the cells cover the image."""
     b = Box.of("box")
     base = nodes.select("image_id", F.col(key).alias("key"), "box", "image_width", "image_height", b.cx.alias("cx"), b.cy.alias("cy"))
     spread = F.sqrt((F.max("cx") - F.min("cx") + 1) * (F.max("cy") - F.min("cy") + 1) * n / F.count(F.lit(1)))
@@ -156,7 +156,7 @@ def nearest(nodes: DataFrame, n: int = 10, key: str = "node_id", most_levels: in
     base = written(base.join(sizes, "image_id"), "points")
     todo, found = base.select("image_id", "key"), []
     for level in range(most_levels):
-        side = F.col("side") * float(2**level)
+        side = F.col("side") * float(3**level)
         at = lambda c, side=side: F.floor(F.col(c) / side)
         points = base.select("image_id", F.struct("key", "box", "cx", "cy").alias("o"), at("cx").alias("gx"), at("cy").alias("gy"))
         asks = base.join(todo, ["image_id", "key"], "left_semi").withColumns({"_side": side, "gx": at("cx"), "gy": at("cy")})
@@ -174,6 +174,8 @@ def nearest(nodes: DataFrame, n: int = 10, key: str = "node_id", most_levels: in
         todo = written(todo.join(done, ["image_id", "key"], "left_anti"), "todo")
         if todo.isEmpty():
             break
+    else:
+        raise ValueError(f"the {most_levels} levels of cells don't cover every image")
     out = found[0]
     for f in found[1:]:
         out = out.unionByName(f)

@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from glyphloom.functions.normalize import plain_answer, strip
+from glyphloom.session import written
 
 QUESTION_TYPES = ("DIRECT_READ", "YES_NO", "REVERSE_GROUND", "TEXT_PROPERTY", "ANCHOR_PROPERTY")
 
@@ -160,11 +161,52 @@ def histogram(df: DataFrame, value: str, edges: list[float]) -> DataFrame:
     return df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin")).join(n, "bin", "left").select("bin", F.coalesce("n", F.lit(0)).alias("rows"))
 
 
+#: Buckets of a histogram that finds a rank, and distinct values of one bucket that a task may sort.
+RANK_BUCKETS, RANK_VALUES = 1024, 200_000
+
+
+def ranked_values(df: DataFrame, value: str, by: list[str], shares: dict[str, float], most: int = RANK_VALUES) -> DataFrame:
+    """(by..., each share's quantile), interpolated between ranks; exact, without gathering a group.
+
+    The values of a group are counted in buckets; those about a sought rank are narrowed by further
+    histograms until few distinct values are left in them, and only these are sorted. NaN counts as greatest."""
+    key = F.struct(*(F.col(c) for c in by)) if by else F.lit(0)
+    values = df.where(F.col(value).isNotNull()).groupBy(key.alias("_g"), F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    values = written(values, "values")
+    stats = values.groupBy("_g").agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_n").alias("_all"), F.count(F.lit(1)).alias("_d"))
+    wanted = F.explode(F.array(*(F.struct(F.lit(n).alias("_q"), F.lit(p).alias("_p"), F.lit(up).alias("_up")) for n, p in shares.items() for up in (0, 1))))
+    at = F.col("_p") * (F.col("_all") - 1)
+    asks = stats.select("_g", "_lo", "_hi", "_all", "_d", wanted.alias("w")).select("_g", "_lo", "_hi", "_all", "_d", "w.*")
+    asks = asks.withColumn("_rank", F.when(F.col("_up") == 1, F.ceil(at)).otherwise(F.floor(at))).withColumn("_before", F.lit(0).cast("long"))
+    asks, same = written(asks, "asks"), ["_g", "_q", "_up"]
+    inside = lambda: values.join(asks, "_g").where("_v >= _lo and _v <= _hi")
+    while not asks.where((F.col("_d") > most) & (F.col("_hi") > F.col("_lo"))).isEmpty():
+        width = F.col("_hi") / RANK_BUCKETS - F.col("_lo") / RANK_BUCKETS
+        bucket = F.least(F.floor(F.col("_v") / width - F.col("_lo") / width), F.lit(RANK_BUCKETS - 1))
+        counts = inside().groupBy(*same, "_p", "_all", "_rank", "_before", F.when(width > 0, bucket).otherwise(0).alias("_b")).agg(F.sum("_n").alias("_n"), F.count(F.lit(1)).alias("_d"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+        upward = Window.partitionBy(*same).orderBy("_b")  # at most RANK_BUCKETS rows
+        counts = counts.withColumn("_sum", F.sum("_n").over(upward) + F.col("_before"))
+        found = counts.where("_rank < _sum and _rank >= _sum - _n")
+        narrowed = found.select("_g", "_lo", "_hi", "_all", "_d", "_q", "_p", "_up", "_rank", (F.col("_sum") - F.col("_n")).alias("_before"))
+        asks = written(narrowed, "asks")
+    upward = Window.partitionBy(*same).orderBy("_v")
+    placed = inside().withColumn("_sum", F.sum("_n").over(upward) + F.col("_before")).where("_rank < _sum and _rank >= _sum - _n")
+    part = F.max("_p") * (F.max("_all") - 1) - F.floor(F.max("_p") * (F.max("_all") - 1))
+    low, high = F.max(F.when(F.col("_up") == 0, F.col("_v"))), F.max(F.when(F.col("_up") == 1, F.col("_v")))
+    each = placed.groupBy("_g", "_q").agg((low + (high - low) * part).alias("_x"))
+    wide = each.groupBy("_g").pivot("_q", list(shares)).agg(F.max("_x"))
+    return wide.select("_g.*", *shares) if by else wide.select(*shares)
+
+
 def summary_of(df: DataFrame, value: str, by: list[str] | None = None) -> DataFrame:
     """(by..., count, min, p25, median, p75, max, mean), quantiles interpolated, 4 decimals."""
-    q = lambda p: F.bround(F.percentile(value, F.lit(p)), 4)
+    by = by or []
     r = lambda c: F.bround(c, 4)
-    return df.groupBy(*(by or [])).agg(F.count(value).alias("count"), r(F.min(value)).alias("min"), q(0.25).alias("p25"), q(0.5).alias("median"), q(0.75).alias("p75"), r(F.max(value)).alias("max"), r(F.avg(value)).alias("mean"))
+    quantiles = ranked_values(df, value, by, {"p25": 0.25, "median": 0.5, "p75": 0.75})
+    plain = df.groupBy(*by).agg(F.count(value).alias("count"), r(F.min(value)).alias("min"), r(F.max(value)).alias("max"), r(F.avg(value)).alias("mean"))
+    q = quantiles.withColumnsRenamed({c: f"_{c}" for c in by})
+    both = plain.join(q, reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by], F.lit(True)), "left")
+    return both.select(*by, "count", "min", r(F.col("p25")).alias("p25"), r(F.col("median")).alias("median"), r(F.col("p75")).alias("p75"), "max", "mean")
 
 
 def resolvability_stats(nodes: DataFrame) -> DataFrame:

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: A key is heavy if it holds at least this share of the rows, so there are never more than
-#: 1 / HEAVY_SHARE heavy keys: that bounds what is broadcast, whatever the size of the input.
-HEAVY_SHARE = 1 / 1000
+#: A key is heavy if it holds at least this share of the rows, so there are never more than 20,000 heavy
+#: keys: that bounds what is broadcast, whatever the size of the input.
+HEAVY_SHARE = 1 / 20_000
 #: Below this many rows no key can trouble a task.
 HEAVY_ROWS = 20_000
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from glyphloom.operators.skew import lookup_join
-from glyphloom.session import written
+from glyphloom.session import evenly, written
 
 
 def subset(df: DataFrame, ids: DataFrame, key: str = "image_id") -> DataFrame:
@@ -109,7 +109,8 @@ def mapped(df: DataFrame, column: str, function: Callable[[Column], Column], nam
     """df with function of the column as ``name``, computed once for every distinct value.
 
     For costly functions of columns with few values. Rows of heavy values meet theirs by broadcast."""
-    values = written(df.select(F.col(column).alias(column)).where(F.col(column).isNotNull()).distinct().withColumn(name, function(F.col(column))), "values")
+    values = evenly(df.select(F.col(column).alias(column)).where(F.col(column).isNotNull()).distinct())
+    values = written(values.withColumn(name, function(F.col(column))), "values")
     return lookup_join(df, values, [column], "left")
 
 

@@ -20,7 +20,7 @@ from glyphloom.plans import foldsql as Y
 from glyphloom.plans import sqltext as X
 from glyphloom.plans import views as V
 from glyphloom.plans.queries import _COMPETING, query
-from glyphloom.session import forget_later, fresh_path, table, written
+from glyphloom.session import evenly, forget_later, fresh_path, table, written
 from glyphloom.sources import readers, writers
 
 # labels
@@ -59,14 +59,14 @@ for _side in ("upper-left", "upper-right", "lower-left", "lower-right"):
 def label_forms(spark: SparkSession, d: str) -> DataFrame:
     a = F.col("anchor_label")
     options = F.array(F.lit("x"), F.lit("y"), F.lit("z"))
-    return table(spark, d, "bootstrap_tuples").select(a).distinct().select(a, L.category(a).alias("category"), L.is_useless(a).alias("useless"), L.refers_to_text(a).alias("refers_to_text"), L.looks_copied(a).alias("looks_copied"), L.without_colors(a).alias("without_colors"), N.plural_phrase(a).alias("plural"), N.short_location(a).alias("short_location"), N.stable_choice(options, a).alias("choice"))
+    return evenly(table(spark, d, "bootstrap_tuples").select(a).distinct()).select(a, L.category(a).alias("category"), L.is_useless(a).alias("useless"), L.refers_to_text(a).alias("refers_to_text"), L.looks_copied(a).alias("looks_copied"), L.without_colors(a).alias("without_colors"), N.plural_phrase(a).alias("plural"), N.short_location(a).alias("short_location"), N.stable_choice(options, a).alias("choice"))
 
 
 @query()
 def label_openings(spark: SparkSession, d: str) -> DataFrame:
     """Free labels and tags of captions; their rules are tested one by one on small tables."""
     a = F.col("anchor_label")
-    return table(spark, d, "bootstrap_tuples").select(a).distinct().select(a, L.open_label(a).alias("open_label"), F.array_join(L.caption_tags(a), "|").alias("caption_tags"), F.array_join(L.label_tags([a]), "|").alias("label_tags"))
+    return evenly(table(spark, d, "bootstrap_tuples").select(a).distinct()).select(a, L.open_label(a).alias("open_label"), F.array_join(L.caption_tags(a), "|").alias("caption_tags"), F.array_join(L.label_tags([a]), "|").alias("label_tags"))
 
 
 _EXPECTED = " ".join(f"WHEN relation_kind = {X.q(k)} THEN {X.plain('answer')} IN ({', '.join(map(X.q, v))})" for k, v in L.EXPECTED_ANSWERS.items())

@@ -21,7 +21,7 @@ from glyphloom.operators import agreement, boxes, folds, quality, rescue, tables
 from glyphloom.plans import foldsql as Y
 from glyphloom.plans import sqltext as X
 from glyphloom.plans import views as V
-from glyphloom.session import table, written
+from glyphloom.session import evenly, spread, table, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -105,7 +105,7 @@ def reading_confidence(spark: SparkSession, d: str) -> DataFrame:
 )
 def text_normal_forms(spark: SparkSession, d: str) -> DataFrame:
     t = F.col("text")
-    return table(spark, d, "documents").select("doc_id", F.md5(N.plain_answer(t)).alias("plain"), F.md5(N.vqa_answer(t)).alias("vqa"), F.md5(N.text_answer(t)).alias("said"), N.valid_text(t).alias("valid"), N.blocked_answer(t).alias("blocked"), N.case_tag(t).alias("case_tag"), N.text_kind(t).alias("text_kind"))
+    return spread(table(spark, d, "documents").select("doc_id", "text")).select("doc_id", F.md5(N.plain_answer(t)).alias("plain"), F.md5(N.vqa_answer(t)).alias("vqa"), F.md5(N.text_answer(t)).alias("said"), N.valid_text(t).alias("valid"), N.blocked_answer(t).alias("blocked"), N.case_tag(t).alias("case_tag"), N.text_kind(t).alias("text_kind"))
 
 
 @query(f"WITH {V.SAMPLES} SELECT sample_id, {X.by_type('answer', 'answer_type')} AS normal, {X.plain('answer')} AS plain, {X.valid('answer')} AS valid FROM samples")
@@ -139,7 +139,8 @@ def _label_sql() -> str:
 @query(_label_sql())
 def anchor_labels(spark: SparkSession, d: str) -> DataFrame:
     a = F.col("anchor_label")
-    return table(spark, d, "bootstrap_tuples").select(a).distinct().select(a, L.color(a).alias("color"), L.vocabulary_label(a).alias("label"), L.is_generic(a).alias("generic"))
+    rows = evenly(table(spark, d, "bootstrap_tuples").select(a).distinct()).select(a, L.color(a).alias("color"), L.vocabulary_label(a).alias("label"))
+    return rows.withColumn("generic", F.coalesce(F.col("label").isin(*L.GENERIC_ANCHORS), F.lit(False)))
 
 
 # geometry
@@ -257,22 +258,22 @@ def region_anchors(spark: SparkSession, d: str) -> DataFrame:
     return boxes.region_anchors(images).select("image_id", "region_key")
 
 
-_COMPETING = f"""{V.TUPLES}, u AS (SELECT image_id, ann_id AS tuple_id, coalesce(relation, '') AS relation, {X.plain("anchor_label")} AS label, {X.plain("answer")} AS answer, {X.plain("region_key")} AS coarse, '' AS specific, coalesce(region_key, '') AS bucket,
+_COMPETING = f"""{V.TUPLES}, u AS (SELECT image_id, ann_id AS tuple_id, coalesce(relation, '') AS relation, {X.plain("anchor_label")} AS label, {X.plain("answer")} AS answer, {X.plain("region_key")} AS coarse, coalesce(CASE WHEN image_width > 0 AND image_height > 0 THEN greatest(least(floor((text_bbox[2] + text_bbox[2] + text_bbox[4]) / 2 * 6 / image_height), 5), 0)::INTEGER || '-' || greatest(least(floor((text_bbox[1] + text_bbox[1] + text_bbox[3]) / 2 * 6 / image_width), 5), 0)::INTEGER END, '') AS specific, coalesce(region_key, '') AS bucket,
         {{'x1': text_bbox[1], 'y1': text_bbox[2], 'x2': text_bbox[1] + text_bbox[3], 'y2': text_bbox[2] + text_bbox[4]}} AS box FROM tuples WHERE image_id IS NOT NULL)"""
 
 
 @query(
-    f"""WITH {_COMPETING}, p AS (SELECT a.image_id, a.tuple_id, a.answer AS own, b.tuple_id AS o, b.answer AS other, coalesce(a.label = b.label, false) AS l, coalesce(a.coarse <> '' AND a.coarse = b.coarse, false) AS c, coalesce(a.bucket <> '' AND a.bucket = b.bucket, false) AS k, CASE WHEN b.tuple_id IS NOT NULL THEN {X.iou("a.box", "b.box")} END AS v
+    f"""WITH {_COMPETING}, p AS (SELECT a.image_id, a.tuple_id, a.answer AS own, b.tuple_id AS o, b.answer AS other, coalesce(a.label = b.label, false) AS l, coalesce(a.coarse <> '' AND a.coarse = b.coarse, false) AS c, coalesce(a.specific <> '' AND a.specific = b.specific, false) AS s, coalesce(a.bucket <> '' AND a.bucket = b.bucket, false) AS k, CASE WHEN b.tuple_id IS NOT NULL THEN {X.iou("a.box", "b.box")} END AS v
             FROM u a LEFT JOIN u b ON a.image_id = b.image_id AND a.relation = b.relation AND a.tuple_id <> b.tuple_id),
-        s AS (SELECT image_id, tuple_id, min(own) AS own, count(*) FILTER (l) AS al, count(*) FILTER (v >= 0.45) AS ao, count(*) FILTER (c) AS cr, count(*) FILTER (k) AS bk, count(*) FILTER ((l AND (c OR k)) OR v >= 0.6 OR (c AND k)) AS comp,
+        s AS (SELECT image_id, tuple_id, min(own) AS own, count(*) FILTER (l) AS al, count(*) FILTER (v >= 0.45) AS ao, count(*) FILTER (c) AS cr, count(*) FILTER (k) AS bk, count(*) FILTER ((l AND (c OR s OR k)) OR v >= 0.6 OR (c AND k)) AS comp,
               count(*) FILTER (l AND own <> '' AND other = own) AS sa, count(*) FILTER (l AND own <> '' AND other = own AND v < 0.35) AS nz, len(list_distinct(list_append(coalesce(list(other) FILTER (l AND other <> ''), []), min(nullif(own, ''))))) AS da FROM p GROUP BY 1, 2)
         SELECT image_id, tuple_id, al AS anchor_label_competitors, ao AS anchor_overlap_competitors, cr AS coarse_region_competitors, bk AS bucket_competitors, comp AS competing_tuples, CASE WHEN own <> '' THEN sa + 1 ELSE 0 END AS same_anchor_same_answer_count,
                CASE WHEN own <> '' THEN nz + 1 ELSE 0 END AS same_anchor_same_answer_nonoverlap_instances, da AS same_anchor_distinct_answer_count, al >= 2 AND ao <= 1 AS diffuse_same_anchor_scene FROM s"""
 )
 def competing_tuples(spark: SparkSession, d: str) -> DataFrame:
-    t = V.tuples(spark, d).where("image_id is not null")
+    t = V.tuples(spark, d).where("image_id is not null").withColumn("b", G.from_xywh(F.col("text_bbox")))
     text = lambda c: N.plain_answer(F.col(c))
-    rows = t.select("image_id", F.col("ann_id").alias("tuple_id"), N.text_of(F.col("relation")).alias("relation"), text("anchor_label").alias("label"), text("answer").alias("answer"), text("region_key").alias("coarse"), F.lit("").alias("specific"), N.text_of(F.col("region_key")).alias("bucket"), G.from_xywh(F.col("text_bbox")).alias("box"))
+    rows = t.select("image_id", F.col("ann_id").alias("tuple_id"), N.text_of(F.col("relation")).alias("relation"), text("anchor_label").alias("label"), text("answer").alias("answer"), text("region_key").alias("coarse"), G.fine_cell(Box.of("b"), F.col("image_width"), F.col("image_height")).alias("specific"), N.text_of(F.col("region_key")).alias("bucket"), F.col("b").alias("box"))
     return boxes.competitors(rows)
 
 

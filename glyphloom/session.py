@@ -105,6 +105,20 @@ def clear(spark: SparkSession) -> None:
             return
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df over all cores: repartitioned if its scan has fewer tasks than there are cores, as small or
+    unsplittable files have; else as it is. For work on every row that costs more than a shuffle of it."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def evenly(df: DataFrame) -> DataFrame:
+    """The rows of an aggregate in as many tasks as a shuffle has, whatever their bytes: few and small rows
+    would otherwise end in one task, also where each is costly."""
+    spark = df.sparkSession
+    return df.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
