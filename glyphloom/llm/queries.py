@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from glyphloom.llm import consensus, copies, leakage, mixture, packing, repetition, splits, terms, topn
-from glyphloom.session import table, written
+from glyphloom.session import spread, table, written
 
 
 def _p1(spark: SparkSession, d: str) -> DataFrame:
@@ -157,8 +157,12 @@ def p5_balance(spark: SparkSession, d: str) -> DataFrame:
     return found.select("split", "label", "pool_rows", near(label_off, size).alias("label_share_kept"), near(size - F.col("share") * F.col("pool"), F.col("pool")).alias("share_kept"), F.lit(most == 1).alias("groups_whole"))
 
 
+def _documents(spark: SparkSession, d: str) -> DataFrame:
+    return spread(table(spark, d, "documents").select("doc_id", "text"))
+
+
 def _p7(spark: SparkSession, d: str) -> DataFrame:
-    return packing.packed(table(spark, d, "documents"), "doc_id", "text")
+    return packing.packed(_documents(spark, d), "doc_id", "text")
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
@@ -178,7 +182,7 @@ def p7_audit(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _p8(spark: SparkSession, d: str) -> DataFrame:
-    return leakage.leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))
+    return leakage.leaks(_documents(spark, d), table(spark, d, "eval_items"))
 
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
@@ -194,7 +198,7 @@ def p8_items(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _p9(spark: SparkSession, d: str) -> DataFrame:
-    return repetition.repetitive(table(spark, d, "documents"), "doc_id", "text")
+    return repetition.repetitive(_documents(spark, d), "doc_id", "text")
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
@@ -202,7 +206,7 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p9_measures(spark: SparkSession, d: str) -> DataFrame:
-    return repetition.measures(table(spark, d, "documents"), "doc_id", "text").select("doc_id", "words", "repeated_words", "repeated_share")
+    return repetition.measures(_documents(spark, d), "doc_id", "text").select("doc_id", "words", "repeated_words", "repeated_share")
 
 
 def p9_posteriors(spark: SparkSession, d: str) -> DataFrame:

@@ -132,10 +132,12 @@ def radix_aggregate(batches: Iterator[pa.RecordBatch], base: str, depth: int, pa
     """Sums the partial counts of one radix partition, whose terms agree in ``depth`` hash bits.
 
     Holds at most part_bytes and one spill buffer; what exceeds it is split by the next SPLIT_BITS
-    bits, recursively, until the parts fit or the bits are used up (then all rows are of one term
-    or of colliding ones, of which each map chunk sent one row, and DuckDB spills by itself).
+    bits, recursively, until the parts fit or the bits are used up (then all rows are of one term or of
+    colliding ones, and are summed batch by batch). DuckDB may spill to the same folder if that is local;
+    elsewhere the parts fit its memory.
     """
     sql = "SELECT field_name, term, sum(occurrences)::BIGINT AS occurrences, sum(records)::BIGINT AS records FROM t GROUP BY ALL"
+    names = [c.split()[0] for c in COUNTS.split(", ")]
     spill: _Spill | None = None
 
     def split(rows: Iterator[pa.RecordBatch], name: str, depth: int) -> list[tuple[str, int]]:
@@ -148,7 +150,14 @@ def radix_aggregate(batches: Iterator[pa.RecordBatch], base: str, depth: int, pa
         return spill.finish(f"{name}.")
 
     def solve(name: str, size: int, depth: int) -> Iterator[pa.RecordBatch]:
-        if size <= part_bytes or depth + SPLIT_BITS > HASH_BITS:
+        if size > part_bytes and depth + SPLIT_BITS > HASH_BITS:
+            # one term, or few whose hashes are the same: batch by batch, so that little is ever held
+            sums = pa.Table.from_batches([], spill.schema).select(names)
+            for b in spill.read(name):
+                both = pa.concat_tables([sums, pa.Table.from_batches([b]).select(names)])
+                sums = _aggregate(both, sql, spill.local).cast(sums.schema)
+            yield from sums.to_batches()
+        elif size <= part_bytes:
             yield from _aggregate(pa.Table.from_batches(spill.read(name), spill.schema), sql, spill.local).to_batches()
         else:
             for child, n in split(spill.read(name), name, depth):

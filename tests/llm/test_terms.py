@@ -65,6 +65,15 @@ def test_radix_splits_recursively_and_cleans_up(tmp_path):
     assert list(tmp_path.iterdir()) == []
 
 
+def test_colliding_hashes_are_summed_batch_by_batch(tmp_path):
+    schema = pa.schema([("field_name", pa.string()), ("term", pa.string()), ("hash", pa.int64()), ("occurrences", pa.int64()), ("records", pa.int64())])
+    rows = [{"field_name": "f", "term": f"t{i % 3}", "hash": 77, "occurrences": 2, "records": 1} for i in range(600)]
+    batches = pa.Table.from_pylist(rows, schema=schema).to_batches(max_chunksize=50)
+    out = pa.Table.from_batches(list(terms.radix_aggregate(iter(batches), str(tmp_path), 0, part_bytes=1000))).to_pylist()
+    assert sorted((r["term"], r["occurrences"], r["records"]) for r in out) == [(f"t{k}", 400, 200) for k in range(3)]
+    assert list(tmp_path.iterdir()) == []
+
+
 def test_very_long_text(spark):
     df = spark.createDataFrame([("a", "word " * 200_000 + "end", 1)], "id string, text string, v int")
     got = counted(terms.term_frequencies(terms.records_of(df, "f", "id", "text", "v")))
