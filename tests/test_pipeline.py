@@ -16,6 +16,23 @@ def test_settings():
         Config(anchors_per_node=0)
 
 
+def test_settings_from_the_environment():
+    got = Config.from_environment({"GLYPHLOOM_TEXT_MERGE_ENABLED": "1", "GLYPHLOOM_MERGING_GAP": "2.5", "GLYPHLOOM_ANCHORS_PER_NODE": " 7 ", "GLYPHLOOM_REGION_BONUS": "", "OTHER": "x"}, PRODUCTION)
+    assert got.text_merge_enabled and got.merging.gap == 2.5 and got.anchors_per_node == 7 and got.region_bonus == PRODUCTION.region_bonus
+    assert got.metadata()["merging"]["gap"] == 2.5 and Config.from_environment({}) == DEFAULT
+    with pytest.raises(ValueError):
+        Config.from_environment({"GLYPHLOOM_ANCHORS_PER_NODE": "0"})
+
+
+def test_changed_inputs_name_other_stages(spark, tmp_path):
+    path = str(tmp_path / "in")
+    spark.range(3).write.parquet(path)
+    first = pipeline.inputs_signature(spark, (spark.read.parquet(path),))
+    assert first == pipeline.inputs_signature(spark, (spark.read.parquet(path),))
+    spark.range(4).write.mode("overwrite").parquet(path)
+    assert first != pipeline.inputs_signature(spark, (spark.read.parquet(path),))
+
+
 def test_adapters_conform(spark):
     df = spark.createDataFrame([("i", "n", "extra", "0.5")], "image_id string, node_id string, more string, confidence string")
     got = Given({"readings": df}).table(spark, "readings")
