@@ -173,15 +173,16 @@ def fill(containers: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 def audit(containers: DataFrame, capacity: int = CAPACITY, least_fill: float = 0.97) -> DataFrame:
     """One row: the texts in containers; how many containers hold more than fits, texts are in parts though
-    they would fit, texts lack tokens or have some twice; and whether the containers are full enough."""
+    they would fit, texts lack tokens or have some twice; and whether the containers are full enough: no more of them than
+    the tokens need at a fill of least_fill, but for one that each worker leaves open."""
     held = written(containers, "containers")
     n = lambda c: F.count(F.when(c, 1))
     loads = held.groupBy("container_id").agg(F.sum("tokens").alias("load"))
-    loads = loads.agg(n(F.col("load") > capacity).alias("over_capacity"), F.count(F.lit(1)).alias("containers"))
+    loads = loads.agg(n(F.col("load") > capacity).alias("over_capacity"), F.count(F.lit(1)).alias("containers"), F.count_distinct(F.shiftright("container_id", 32)).alias("workers"))
     ends = F.max(F.col("first_token") + F.col("tokens"))
     texts = held.groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.max("part").alias("last"), F.count_distinct("first_token").alias("starts"), F.sum("tokens").alias("tokens"), ends.alias("end"))
     texts = texts.agg(F.count(F.lit(1)).alias("documents"), n((F.col("parts") > 1) & (F.col("end") <= capacity)).alias("split_needlessly"), n((F.col("parts") != F.col("last") + 1) | (F.col("parts") != F.col("starts")) | (F.col("tokens") != F.col("end"))).alias("incomplete"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"))
     load, text = loads.first(), texts.first()
-    full = text["tokens"] >= least_fill * load["containers"] * capacity
+    full = text["tokens"] >= least_fill * (load["containers"] - load["workers"]) * capacity
     row = (text["documents"], load["over_capacity"], text["split_needlessly"], text["incomplete"], full)
     return held.sparkSession.createDataFrame([row], "documents long, over_capacity long, split_needlessly long, incomplete long, full boolean")
