@@ -147,9 +147,10 @@ def p5_balance(spark: SparkSession, d: str) -> DataFrame:
     have = written(s.balance(), "balance")  # at most splits x LABELS rows
     most = s.tuples().groupBy("group_id").agg(F.count_distinct("split").alias("n")).agg(F.max("n").alias("n")).first()["n"]
     label, sizes = have.groupBy("label").agg(F.sum("rows").alias("pool_rows")), have.groupBy("split").agg(F.sum("rows").alias("size"))
-    pool = F.sum("pool_rows").over(Window.partitionBy(F.lit(0)))  # a row a label
+    # a row a label; in one select with the explode, the sum would be over its rows
+    label = label.withColumn("pool", F.sum("pool_rows").over(Window.partitionBy(F.lit(0))))
     should = F.explode(F.array(*(F.struct(F.lit(k).alias("split"), F.lit(v).alias("share")) for k, v in SHARES.items())))
-    grid = label.select("label", "pool_rows", pool.alias("pool"), should.alias("s")).select("label", "pool_rows", "pool", "s.*").join(F.broadcast(sizes), "split", "left")
+    grid = label.select("label", "pool_rows", "pool", should.alias("s")).select("label", "pool_rows", "pool", "s.*").join(F.broadcast(sizes), "split", "left")
     found = grid.join(have.withColumnsRenamed({"split": "_s", "label": "_l"}), (F.col("split") == F.col("_s")) & F.col("label").eqNullSafe(F.col("_l")), "left")
     size = F.coalesce("size", F.lit(0))
     near = lambda x, of: F.abs(x) <= F.greatest(of * 0.01, F.lit(2.0))

@@ -5,7 +5,8 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
-from glyphloom.llm import splits
+import pytest
+from glyphloom.llm import queries, splits
 from glyphloom.llm.flow import DealFlow
 
 TUPLES = "ann_id string, image_id string, image_path string, source_dataset string, level string, split string, group_id string"
@@ -147,3 +148,21 @@ def test_empty(spark):
     df = tuples(spark, [])
     groups = splits.groups_of(df, spark.createDataFrame([], REGISTRY), spark.createDataFrame([], LINKS))
     assert groups.collect() == [] and splits.split(df, groups, "level", SHARES).tuples().collect() == []
+
+
+@pytest.mark.parametrize(("hot", "kept"), [(0, True), (950, False)])
+def test_balance_compares_with_the_whole_pool(spark, tmp_path, hot, kept):
+    """hot: rows of one image, which no split but train can take and train only beyond its share."""
+    rows = [(f"a{k:04d}", "hot" if k < hot else f"i{k:04d}", None, None, ("line", "word", None)[k % 3]) for k in range(1000)]
+    tuples(spark, rows + rows[:50]).withColumnRenamed("level", "answer_level").write.parquet(f"{tmp_path}/bootstrap_tuples.parquet")
+    spark.createDataFrame([], REGISTRY).write.parquet(f"{tmp_path}/source_registry.parquet")
+    spark.createDataFrame([], LINKS).write.parquet(f"{tmp_path}/image_links.parquet")
+    got = {(r.split, r.label): tuple(r)[2:] for r in queries.p5_balance(spark, str(tmp_path)).collect()}
+    assert {k: v[0] for k, v in got.items()} == {(s, label): n for s in SHARES for label, n in (("line", 334), ("word", 333), (None, 333))}
+    assert all(share == kept and whole for _, _, share, whole in got.values())
+    assert not kept or all(label_share for _, label_share, _, _ in got.values())
+
+
+def test_balance_on_the_smallest_tables(spark, sf):
+    got = queries.p5_balance(spark, sf).collect()
+    assert len(got) == 6 and all(r.label_share_kept and r.share_kept and r.groups_whole for r in got)
