@@ -8,6 +8,7 @@ import pytest
 from glyphloom.operators import boxes
 from glyphloom.plans import queries as Q
 from glyphloom.plans import views as V
+from pyspark.sql import functions as F
 
 BOX = "struct<x1: double, y1: double, x2: double, y2: double>"
 CA = Q._CANDIDATES.removeprefix(f"{V.NODES}, {V.ANCHORS}, ")
@@ -64,3 +65,17 @@ def test_candidates_as_in_sql(spark, db, n, sizes):
     assert len({r[3] for r in want}) == 5
     assert keyed(boxes.anchor_candidates(texts, anchors).collect(), columns) == want
     assert keyed(anchoring.candidates(texts, anchors, tile_texts=15).collect(), columns) == want
+
+
+def test_best_anchor_as_in_sql(spark, db):
+    """Chosen in the tile, among equal relevance and score by anchor_id."""
+    from glyphloom.operators import anchoring
+
+    texts, anchors = made(spark, 300, 5, ((900, 700), (2000, 1500)))
+    anchors = anchors.unionByName(anchors.withColumn("anchor_id", F.concat(F.lit("0"), "anchor_id")))
+    columns = ["image_id", "node_id", "anchor_id", "relation", "relevance"]
+    sql = f"WITH {CA} SELECT DISTINCT ON (image_id, node_id) {', '.join(columns)} FROM cand ORDER BY image_id, node_id, relevance DESC, score DESC, anchor_id"
+    want = keyed(db(nodes=texts, anchors=anchors).execute(sql).df().to_dict("records"), columns)
+    assert len(want) > 400 and all(r[2][0] == "0" for r in want)
+    assert keyed(anchoring.nearest_anchors(texts, anchors).collect(), columns) == want
+    assert keyed(anchoring.nearest_anchors(texts, anchors, tile_texts=15).collect(), columns) == want
