@@ -79,3 +79,16 @@ def test_best_anchor_as_in_sql(spark, db):
     assert len(want) > 400 and all(r[2][0] == "0" for r in want)
     assert keyed(anchoring.nearest_anchors(texts, anchors).collect(), columns) == want
     assert keyed(anchoring.nearest_anchors(texts, anchors, tile_texts=15).collect(), columns) == want
+
+
+def test_signs_of_a_large_image(spark, sf, db, monkeypatch):
+    """The image that holds a tenth of the rows, cut into tiles, bears the signs that SQL finds."""
+    from glyphloom.operators import anchoring
+
+    monkeypatch.setattr(anchoring, "tiled", lambda n, a, k, f=anchoring.tiled: f(n, a, 2))
+    c = db()
+    for t in ("text_nodes", "bootstrap_tuples"):
+        c.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
+    columns = ["image_id", "label", "node_ids", "answer"]
+    want = keyed(c.execute(Q.SQL["sign_groups"]).df().to_dict("records"), columns)
+    assert want and keyed(Q.QUERIES["sign_groups"](spark, sf).collect(), columns) == want
