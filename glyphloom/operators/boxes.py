@@ -23,6 +23,10 @@ from glyphloom.session import written
 #: Pixels of a grid cell's side, for boxes themselves and for those enlarged by far reaches: about
 #: as large as what it holds, so a box covers few cells and a cell holds few boxes.
 CELL, REACH_CELL = 256, 512
+#: Pixels between the points of the lattice that ties boxes, and so many of a box are looked at.
+POINT, MOST_POINTS = 64, 4096
+#: So many cells with boxes that aren't tied yet are met by broadcast.
+MIXED_CELLS = 20_000
 
 
 def _cells(df: DataFrame, frame: Column, cell: int) -> DataFrame:
@@ -49,6 +53,51 @@ def near_pairs(left: DataFrame, right: DataFrame, left_box: str = "box", right_b
     return joined.where(touch & home).select(*on, "l", "r")
 
 
+def strangers(rows: DataFrame, root: str, frame: str, scope: str = "image_id", cell: int = CELL) -> DataFrame:
+    """Pairs (l, r) of rows of one scope whose frames touch and whose roots differ, some twice.
+
+    rows should be a written table. Cells whose rows all have one root are left out; in the others each
+    row meets those that haven't the cell's most frequent root. So where nearly all is tied already,
+    few pairs are formed, however many rows a cell has."""
+    key = [scope, "_cx", "_cy"]
+    packed = _cells(rows.select(scope, F.col(root).alias("_root"), F.struct(*rows.columns).alias("_row")), F.col("_row")[frame], cell)
+    counts = packed.groupBy(*key, "_root").agg(F.count(F.lit(1)).alias("_n"))
+    mixed = counts.groupBy(*key).agg(F.max_by("_root", F.struct("_n", "_root")).alias("_most"), F.count(F.lit(1)).alias("_roots")).where("_roots > 1").drop("_roots")
+    mixed = F.broadcast(few) if (few := written(mixed, "mixed")).count() <= MIXED_CELLS else few
+    side = lambda d, n: d.select(*key, F.col("_root").alias(f"_{n}root"), F.col("_row").alias(n), F.col("_f").alias(f"_{n}f"))
+    both = packed.join(mixed, key)
+    joined = side(both, "l").join(side(both.where("_root <> _most"), "r"), key).where("_lroot <> _rroot")
+    x, y = F.greatest("_lf.x1", "_rf.x1"), F.greatest("_lf.y1", "_rf.y1")
+    touch = (x <= F.least("_lf.x2", "_rf.x2")) & (y <= F.least("_lf.y2", "_rf.y2"))
+    return joined.where(touch & (F.floor(x / cell) == F.col("_cx")) & (F.floor(y / cell) == F.col("_cy"))).select("l", "r")
+
+
+def joined_roots(rows: DataFrame, root: str, edges: DataFrame) -> DataFrame:
+    """rows with the roots that edges (a, b) of roots tie made one."""
+    tied = components(edges).select(F.col("node").alias(root), F.col("root").alias("_tied"))
+    return lookup_join(rows, tied, [root], "left").withColumn(root, F.coalesce("_tied", root)).drop("_tied")
+
+
+def touching(rows: DataFrame, name: str, scope: str, box: str = "box") -> DataFrame:
+    """rows with _root, a string that those share whose boxes touch, directly or through others of the
+    scope. name: a string column, unique over all scopes.
+
+    Boxes on one point of a lattice touch: these are tied without pairs, then what is left apart."""
+    b = Box.of(box)
+    low, high = lambda v: F.ceil(v / POINT), lambda v: F.floor(v / POINT)
+    points = (F.greatest(high(b.x2) - low(b.x1) + 1, F.lit(0)) * F.greatest(high(b.y2) - low(b.y1) + 1, F.lit(0))).between(1, MOST_POINTS)
+    at = lambda x, y: F.concat_ws("\u0002", scope, x, y)
+    covered = rows.where(points).select(scope, low(b.x1).alias("x1"), low(b.y1).alias("y1"), high(b.x2).alias("x2"), high(b.y2).alias("y2"))
+    lattice = covered.select("*", F.explode(F.sequence("x1", "x2")).alias("x")).select("*", F.explode(F.sequence("y1", "y2")).alias("y"))
+    lattice = lattice.groupBy(scope, "x", "y").agg(F.max(F.col("x") < F.col("x2")).alias("right"), F.max(F.col("y") < F.col("y2")).alias("down"))
+    lattice = written(lattice, "lattice")
+    edge = lambda which, x, y: lattice.where(which).select(at("x", "y").alias("a"), at(x, y).alias("b"))
+    first = rows.withColumn("_root", F.when(points, at(low(b.x1), low(b.y1))).otherwise(F.col(name)))
+    tied = written(joined_roots(first, "_root", edge("right", F.col("x") + 1, F.col("y")).unionByName(edge("down", F.col("x"), F.col("y") + 1))), "tied")
+    pairs = strangers(tied, "_root", box, scope)
+    return joined_roots(tied, "_root", pairs.select(F.col("l._root").alias("a"), F.col("r._root").alias("b")))
+
+
 def overlapping_pairs(nodes: DataFrame, key: str, least: float, measure: Callable[[Box, Box], Column] = G.iou) -> DataFrame:
     """(image_id, a, b, value): unordered pairs of an image's boxes with at least that measure."""
     narrow = nodes.select("image_id", key, "box")

@@ -1,7 +1,8 @@
 """Folds within images whose result depends on the order of the rows.
 
 A fold sees the rows of one block in a stated order. A block is an image; of an image with more than
-BLOCK_ROWS rows it is a group of boxes that overlap, directly or through others, since boxes that
+BLOCK_ROWS rows it is the rows of one label or relation, if a cluster has but one, and if these are
+more than BLOCK_ROWS too, a group of boxes that overlap, directly or through others, since boxes that
 don't can't fall into one cluster. Spark shuffles by block and sorts; the fold runs over the sorted
 stream, a block at a time, so a task holds one block and one batch of rows.
 
@@ -11,6 +12,7 @@ sides of the box are left out; equal rows are told apart by the key, which shoul
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from itertools import chain
 
@@ -20,8 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from glyphloom.operators.boxes import near_pairs
-from glyphloom.operators.graph import components
+from glyphloom.operators.boxes import touching
 from glyphloom.session import ship, written
 
 BLOCK_ROWS = 10_000
@@ -30,17 +31,25 @@ BLOCK_ROWS = 10_000
 def blocks(df: DataFrame, key: str, box: str = "box", block_rows: int = BLOCK_ROWS) -> DataFrame:
     """df with block_id: the image, or in large images the group of overlapping boxes.
 
-    At most rows / block_rows images are large; their list is met by a join on the image."""
+    A column _part, if there is one, tells apart rows that can't fall into one cluster: a large image
+    is cut by it first, and only what is still large by overlaps. At most rows / block_rows images are
+    large; their list is met by broadcast."""
     df = written(df.where(" and ".join(f"{box}.{s} is not null" for s in ("x1", "y1", "x2", "y2"))), "boxes")
-    large = df.groupBy("image_id").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > block_rows).select("image_id")
+    many = lambda d, by: d.groupBy(by).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > block_rows).select(by)
+    large = written(many(df, "image_id"), "large")
     if large.isEmpty():
-        return df.withColumn("block_id", F.col("image_id"))
-    heavy = df.join(large, "image_id", "left_semi")
-    name = lambda c: F.concat(F.col("image_id"), F.lit("\u0001"), c.cast("string"))
-    pairs = near_pairs(heavy, heavy, box, box).where(F.col(f"l.{key}") < F.col(f"r.{key}"))
-    roots = components(pairs.select(name(F.col(f"l.{key}")).alias("a"), name(F.col(f"r.{key}")).alias("b")))
-    named = heavy.withColumn("node", name(F.col(key))).join(roots, "node", "left").withColumn("block_id", F.coalesce("root", "node")).drop("node", "root")
-    return df.join(large, "image_id", "left_anti").withColumn("block_id", F.col("image_id")).unionByName(named)
+        return df.withColumn("block_id", F.col("image_id")).drop("_part")
+    large = F.broadcast(large)
+    part = ["_part"] if "_part" in df.columns else []
+    heavy = df.join(large, "image_id", "left_semi").withColumn("block_id", F.concat_ws("\u0001", "image_id", *part))
+    out = df.join(large, "image_id", "left_anti").withColumn("block_id", F.col("image_id"))
+    crowded = written(many(heavy, "block_id"), "crowded")
+    out = out.unionByName(heavy.join(F.broadcast(crowded), "block_id", "left_anti"))
+    if not crowded.isEmpty():
+        named = heavy.join(F.broadcast(crowded), "block_id", "left_semi").withColumn("_name", F.concat_ws("\u0001", "block_id", F.col(key).cast("string")))
+        groups = touching(written(named, "crowd"), "_name", "block_id", box)
+        out = out.unionByName(groups.withColumn("block_id", F.col("_root")).drop("_name", "_root"))
+    return out.drop("_part")
 
 
 class Block:
@@ -112,19 +121,79 @@ def fold(df: DataFrame, order: list[Column], step: Step, more: str = "") -> Data
 
 
 class Overlaps:
-    """Overlaps of one box with the boxes kept so far, all at once."""
+    """Overlaps of one box with the boxes kept so far, all at once.
 
-    def __init__(self, size: int):
+    least, if at least a half: boxes share that much of the larger's area, or more, wherever it matters.
+    Then each side is shared in that part too, so kept boxes are looked up by the sizes of their sides
+    (powers of two) and the place of their corner (cells of half that size)."""
+
+    #: Up to so many boxes all are measured.
+    FEW = 128
+
+    def __init__(self, size: int, least: float = 0.0):
         self.kept = np.zeros((size, 4))
         self.n = 0
+        self.least = least if least >= 0.5 else 0.0
+        self.cells: dict[tuple[int, int, int, int], list[int]] = {}
+        self.places: list[tuple[int, int, int, int] | None] = []
+        #: the kept boxes that were measured last
+        self.at = np.zeros(0, dtype=int)
+
+    def _place(self, box: np.ndarray) -> tuple[int, int, int, int] | None:
+        x1, y1, x2, y2 = box.tolist()
+        if not (0 < x2 - x1 < math.inf and 0 < y2 - y1 < math.inf):
+            return None  # shares no part of its area
+        kw, kh = math.frexp(x2 - x1)[1], math.frexp(y2 - y1)[1]
+        return kw, kh, math.floor(math.ldexp(x1, 1 - kw)), math.floor(math.ldexp(y1, 1 - kh))
 
     def add(self, box: np.ndarray) -> None:
         self.kept[self.n] = box
+        if self.least:
+            self.places.append(self._place(box))
+            if self.places[-1]:
+                self.cells.setdefault(self.places[-1], []).append(self.n)
         self.n += 1
 
+    def replace(self, i: int, box: np.ndarray) -> None:
+        self.kept[i] = box
+        if self.least and (new := self._place(box)) != self.places[i]:
+            if self.places[i]:
+                self.cells[self.places[i]].remove(i)
+            if new:
+                self.cells.setdefault(new, []).append(i)
+            self.places[i] = new
+
+    def _near(self, box: np.ndarray) -> np.ndarray:
+        if not self.least or self.n <= self.FEW:
+            return np.arange(self.n)
+        x1, y1, x2, y2 = box.tolist()
+        if not (0 < x2 - x1 < math.inf and 0 < y2 - y1 < math.inf):
+            return np.zeros(0, dtype=int)
+        t = self.least * (1 - 1e-9)
+
+        def reached(low: float, size: float) -> list[tuple[int, int, int]]:
+            """Sizes and cells of kept sides that share t of the longer with this one."""
+            most, out = size / t, []
+            for k in range(math.frexp(size * t)[1], math.frexp(most)[1] + 1):
+                far = (1 - t) * min(math.ldexp(1.0, max(k, math.frexp(size)[1])), most) + 1e-9 * (abs(low) + size)
+                out.append((k, math.floor(math.ldexp(low - far, 1 - k)), math.floor(math.ldexp(low + far, 1 - k)) + 1))
+            return out
+
+        found: list[int] = []
+        ys = reached(y1, y2 - y1)
+        for kw, xa, xb in reached(x1, x2 - x1):
+            for kh, ya, yb in ys:
+                for gx in range(xa, xb):
+                    for gy in range(ya, yb):
+                        if rows := self.cells.get((kw, kh, gx, gy)):
+                            found.extend(rows)
+        found.sort()
+        return np.array(found, dtype=int)
+
     def measure(self, box: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(share of box in kept ones, of them in box, intersection over union)."""
-        k = self.kept[: self.n]
+        """(share of box in kept ones, of them in box, intersection over union), of those in ``at``."""
+        self.at = self._near(box)
+        k = self.kept[self.at] if len(self.at) < self.n else self.kept[: self.n]
         side = lambda lo, hi: np.clip(np.minimum(box[hi], k[:, hi]) - np.maximum(box[lo], k[:, lo]), 0, None)
         s = side(0, 2) * side(1, 3)
         own, theirs = max((box[2] - box[0]) * (box[3] - box[1]), 1e-6), np.maximum((k[:, 2] - k[:, 0]) * (k[:, 3] - k[:, 1]), 1e-6)
@@ -138,11 +207,13 @@ class Overlaps:
 Fits = Callable[[Overlaps, np.ndarray], np.ndarray]
 
 
-def exemplars(b: Block, fits: Fits, same: list[str]) -> list[list[int]]:
-    """Clusters of rows: each joins the first whose first member fits it and agrees in ``same``."""
-    keys, clusters, o = list(zip(*map(b.text, same))) if same else [()] * len(b), [], Overlaps(len(b))
+def exemplars(b: Block, fits: Fits, same: list[str], least: float = 0.0) -> list[list[int]]:
+    """Clusters of rows: each joins the first whose first member fits it and agrees in ``same``. least:
+    of the larger's area what fitting boxes share at least."""
+    keys, clusters, o = list(zip(*map(b.text, same))) if same else [()] * len(b), [], Overlaps(len(b), least)
     for i, box in enumerate(b.boxes()):
-        fit = np.flatnonzero(fits(o, box)).tolist() if o.n else []
+        near = np.flatnonzero(fits(o, box)) if o.n else []
+        fit = o.at[near].tolist() if len(near) else []
         at = next((c for c in fit if keys[clusters[c][0]] == keys[i]), None)
         if at is None:
             clusters.append([i])
@@ -162,9 +233,9 @@ def like(least: float, iou: float) -> Fits:
     return fits
 
 
-def distinct_by(b: Block, duplicate: Callable[[Overlaps, np.ndarray, list[int], int], bool]) -> list[int]:
-    """Rows that are no duplicate of one kept before."""
-    kept, o = [], Overlaps(len(b))
+def distinct_by(b: Block, duplicate: Callable[[Overlaps, np.ndarray, list[int], int], bool], least: float = 0.0) -> list[int]:
+    """Rows that are no duplicate of one kept before; least as in exemplars."""
+    kept, o = [], Overlaps(len(b), least)
     for i, box in enumerate(b.boxes()):
         if not (o.n and duplicate(o, box, kept, i)):
             o.add(box)
@@ -172,6 +243,11 @@ def distinct_by(b: Block, duplicate: Callable[[Overlaps, np.ndarray, list[int],
     return kept
 
 
+def _known(c: str) -> Column:
+    """As the folds take texts: what is null is empty."""
+    return F.coalesce(c, F.lit(""))
+
+
 def _area(box: str = "box", least: float = 0.0) -> Column:
     side = lambda n: F.greatest(F.col(f"{box}.{n}2") - F.col(f"{box}.{n}1"), F.lit(least))
     return side("x") * side("y")
@@ -183,11 +259,11 @@ def merge_detections(df: DataFrame, least: float = 0.62, most: int = 128) -> Dat
     of an image, those kept first; number counts them. df: image_id, key, box, confidence, sources."""
 
     def step(b: Block) -> tuple[list[int], dict[str, list]]:
-        o, kept, confidence, sources = Overlaps(len(b)), [], [], []
+        o, kept, confidence, sources = Overlaps(len(b), least), [], [], []
         conf, names = b.number("confidence"), b["sources"]
         for i, box in enumerate(b.boxes()):
             score = o.alike(box) if o.n else np.zeros(0)
-            at = int(score.argmax()) if len(score) and score.max() >= least else -1
+            at = int(o.at[score.argmax()]) if len(score) and score.max() >= least else -1
             if at < 0:
                 o.add(box)
                 kept.append(i)
@@ -195,7 +271,7 @@ def merge_detections(df: DataFrame, least: float = 0.62, most: int = 128) -> Dat
                 sources.append(list(dict.fromkeys(names[i])))
                 continue
             k = o.kept[at]
-            o.kept[at] = np.round([*np.minimum(k[:2], box[:2]), *np.maximum(k[2:], box[2:])], 2)
+            o.replace(at, np.round([*np.minimum(k[:2], box[:2]), *np.maximum(k[2:], box[2:])], 2))
             confidence[at] = max(confidence[at], float(conf[i]))
             sources[at] = list(dict.fromkeys([*sources[at], *names[i]]))
         grown = [dict(zip(("x1", "y1", "x2", "y2"), k)) for k in o.kept[: o.n].tolist()]
@@ -203,10 +279,11 @@ def merge_detections(df: DataFrame, least: float = 0.62, most: int = 128) -> Dat
 
     from pyspark.sql import Window
 
-    out = fold(blocks(df, "key"), [F.desc("confidence"), F.desc(_area()), F.asc("key")], step, "_n int")
+    named = blocks(df.withColumn("_first", F.struct("confidence", _area().alias("area"))), "key")
+    out = fold(named, [F.desc("confidence"), F.desc(_area()), F.asc("key")], step, "_n int")
     # blocks of one image are numbered through in the order in which their boxes were kept
-    w = Window.partitionBy("image_id").orderBy(F.desc("confidence"), "block_id", "_n")
-    return out.withColumn("number", F.row_number().over(w)).where(F.col("number") <= most).drop("_n", "block_id")
+    w = Window.partitionBy("image_id").orderBy(F.desc("_first.confidence"), F.desc("_first.area"), "key", "block_id", "_n")
+    return out.withColumn("number", F.row_number().over(w)).where(F.col("number") <= most).drop("_n", "_first", "block_id")
 
 
 def dedupe_anchors(df: DataFrame, least: float = 0.85) -> DataFrame:
@@ -218,11 +295,11 @@ def dedupe_anchors(df: DataFrame, least: float = 0.85) -> DataFrame:
 
         def duplicate(o: Overlaps, box: np.ndarray, kept: list[int], i: int) -> bool:
             x, y, _ = o.measure(box)
-            return any(labels[kept[j]] == labels[i] for j in np.flatnonzero((x >= least) & (y >= least)))
+            return any(labels[kept[j]] == labels[i] for j in o.at[np.flatnonzero((x >= least) & (y >= least))])
 
-        return distinct_by(b, duplicate), {}
+        return distinct_by(b, duplicate, least), {}
 
-    return fold(blocks(df, "key"), [F.desc("score"), F.asc("label"), F.asc("key")], step).drop("block_id")
+    return fold(blocks(df.withColumn("_part", _known("label")), "key"), [F.desc("score"), F.asc("label"), F.asc("key")], step).drop("block_id")
 
 
 def dedupe_nodes(df: DataFrame, least: float = 0.74, iou: float = 0.60) -> DataFrame:
@@ -234,10 +311,11 @@ def dedupe_nodes(df: DataFrame, least: float = 0.74, iou: float = 0.60) -> DataF
         texts = b.text("text_normalized")
 
         def duplicate(o: Overlaps, box: np.ndarray, kept: list[int], i: int) -> bool:
-            near = (texts[kept[j]] for j in np.flatnonzero(fits(o, box)))
+            fit = np.flatnonzero(fits(o, box))
+            near = (texts[kept[j]] for j in o.at[fit])
             return bool(texts[i]) and any(t and (t in texts[i] or texts[i] in t) for t in near)
 
-        return distinct_by(b, duplicate), {}
+        return distinct_by(b, duplicate, min(least, iou)), {}
 
     order = [F.desc("confidence"), F.desc(F.length(F.coalesce("text", F.lit("")))), F.desc(_area(least=1.0)), F.asc("key")]
     return fold(blocks(df, "key"), order, step).drop("block_id")
@@ -255,14 +333,15 @@ def _numbered(df: DataFrame, name: str, order: list[Column]) -> DataFrame:
 def relabel_groups(df: DataFrame, conflict: float = 0.78) -> DataFrame:
     """df with group_no: tuples of one relation whose anchors are like the group's first. df: image_id,
     key, relation, box, anchor_score."""
-    fits = like(conflict, max(0.55, conflict - 0.08))
+    iou = max(0.55, conflict - 0.08)
+    fits = like(conflict, iou)
 
     def step(b: Block) -> tuple[list[int], dict[str, list]]:
-        clusters, first = exemplars(b, fits, ["relation"]), b["_first"]
+        clusters, first = exemplars(b, fits, ["relation"], min(conflict, iou)), b["_first"]
         return list(chain.from_iterable(clusters)), {"_first": [first[c[0]] for c in clusters for _ in c], "_n": [n for n, c in enumerate(clusters, 1) for _ in c]}
 
     order = lambda at="": [F.asc(f"{at}relation"), F.desc(f"{at}anchor_score"), F.asc(f"{at}key")]
-    named = blocks(df, "key").withColumn("_first", F.struct("relation", "anchor_score", "key"))
+    named = blocks(df.withColumn("_part", _known("relation")), "key").withColumn("_first", F.struct("relation", "anchor_score", "key"))
     return _numbered(fold(named, order(), step, "_n int"), "group_no", order("_first."))
 
 
@@ -270,13 +349,14 @@ def consolidate(df: DataFrame, plain: tuple[str, ...], conflict: float = 0.78) -
     """Candidates for the same thing as one row each: the label with the most weight, its best row,
     the other labels and how many there were. df: image_id, key, relation, box, label (clean),
     selection_score, score, support_count, source."""
-    fits = like(conflict, max(0.55, conflict - 0.10))
+    iou = max(0.55, conflict - 0.10)
+    fits = like(conflict, iou)
 
     def step(b: Block) -> tuple[list[int], dict[str, list]]:
         labels, chosen, score, support, source = b.text("label"), b.number("selection_score"), b.number("score"), b.number("support_count", 1.0), b.text("source")
         weight = [chosen[i] + 0.10 * max(support[i], 1.0) + 0.08 * (x not in plain) + 0.04 * (len(x.split()) >= 2) + 0.03 * (source[i] == "florence_region") for i, x in enumerate(labels)]
         kept, new = [], {n: [] for n in ("alternate_labels", "label_conflict_count", "cluster_size", "support_count")}
-        for rows in exemplars(b, fits, ["relation"]):
+        for rows in exemplars(b, fits, ["relation"], min(conflict, iou)):
             vote: dict[str, float] = {}
             for i in rows:
                 vote[labels[i]] = vote.get(labels[i], 0.0) + weight[i]
@@ -321,7 +401,7 @@ def merge_passes(df: DataFrame, iou: float = 0.55, least_passes: int = 1) -> Dat
     def step(b: Block) -> tuple[list[int], dict[str, list]]:
         passes, label, raw, score = b["pass_index"], b.text("label"), b.text("raw_label"), b.number("score")
         kept, new = [], {n: [] for n in ("score", "pass_support_count", "alternate_labels")}
-        for rows in exemplars(b, lambda o, box: o.measure(box)[2] >= iou, ["label"]):
+        for rows in exemplars(b, lambda o, box: o.measure(box)[2] >= iou, ["label"], iou):
             n = len({passes[i] for i in rows})
             if n >= max(1, least_passes):
                 kept.append(max(rows, key=lambda i: (score[i], raw[i], -i)))
@@ -331,7 +411,7 @@ def merge_passes(df: DataFrame, iou: float = 0.55, least_passes: int = 1) -> Dat
         return kept, new
 
     order = [F.desc("score"), F.asc("label"), F.asc("key")]
-    return fold(blocks(df.where("coalesce(label, '') <> ''"), "key"), order, step, "pass_support_count int, alternate_labels array<string>").drop("block_id")
+    return fold(blocks(df.where("coalesce(label, '') <> ''").withColumn("_part", _known("label")), "key"), order, step, "pass_support_count int, alternate_labels array<string>").drop("block_id")
 
 
 def with_support(df: DataFrame) -> DataFrame:
