@@ -27,6 +27,8 @@ CELL, REACH_CELL = 256, 512
 POINT, MOST_POINTS = 64, 4096
 #: So many cells with boxes that aren't tied yet are met by broadcast.
 MIXED_CELLS = 20_000
+#: Texts of an image that are all compared with each other at once.
+SMALL_IMAGE = 100
 
 
 def _cells(df: DataFrame, frame: Column, cell: int) -> DataFrame:
@@ -122,15 +124,44 @@ def connected_pairs(nodes: DataFrame, key: str = "node_id") -> DataFrame:
     return pairs.where(together).select("image_id", F.col(f"l.{key}").alias("a"), F.col(f"r.{key}").alias("b"))
 
 
-def text_groups(nodes: DataFrame, key: str = "node_id") -> DataFrame:
-    """nodes (one row a key) with group_id, the smallest key of their connected group."""
-    name = lambda c: F.concat(F.col("image_id"), F.lit("\u0001"), F.col(c).cast("string"))
-    edges = connected_pairs(nodes, key).select(name("a").alias("a"), name("b").alias("b"))
-    roots = components(edges)
-    named = nodes.withColumn("_node", name(key)).join(roots.withColumnRenamed("node", "_node"), "_node", "left").withColumn("_root", F.coalesce("root", "_node"))
-    named = written(named.drop("_node", "root"), "named")
-    least = named.groupBy("_root").agg(F.min(key).alias("group_id"))
-    return lookup_join(named, least, ["_root"]).drop("_root")
+def text_groups(nodes: DataFrame, key: str = "node_id", small: int = SMALL_IMAGE) -> DataFrame:
+    """nodes (one row a key) with group_id, the smallest key of their connected group. Rows without an
+    image or a key are left out.
+
+    Images of up to ``small`` texts are grouped by a task each, as arrays. In others texts whose centres
+    lie in one small tile of the picture are near each other whatever their size, so tiles, and the same
+    set off by half a tile, tie them without pairs; only texts apart after that are compared."""
+    from glyphloom.operators import folds
+
+    known = f"image_id is not null and {key} is not null"
+    sided = " and ".join(f"box.{s} is not null" for s in ("x1", "y1", "x2", "y2"))
+    texts = written(nodes.where(f"{known} and {sided}").select("image_id", key, "box", "image_width", "image_height"), "texts")
+    crowded = written(texts.groupBy("image_id").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > small).select("image_id"), "crowded")
+    n = crowded.count()
+    crowded = F.broadcast(crowded) if n <= MIXED_CELLS else crowded
+    found = folds.grouped_texts(texts.join(crowded, "image_id", "left_anti"), key).select("image_id", key, "group_id")
+    if n:
+        found = found.unionByName(_crowd_groups(texts.join(crowded, "image_id", "left_semi"), key))
+    return nodes.where(known).join(found, ["image_id", key], "left").withColumn("group_id", F.coalesce("group_id", key))
+
+
+def _crowd_groups(texts: DataFrame, key: str) -> DataFrame:
+    b = Box.of("box")
+    name = F.concat("image_id", F.lit("\u0001"), F.col(key).cast("string"))
+    # 0.7 of what is near for texts of any size: a tile's diagonal is shorter than that
+    side = F.greatest(F.lit(40.0), F.greatest("image_width", "image_height") * 0.11) * 0.7
+    tile = lambda off: F.concat_ws("\u0002", "image_id", *(F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in ("image_width", "image_height")), *(F.floor(v / side + off) for v in (b.cx, b.cy)), F.lit(off).cast("string"))
+    sure = (F.abs(b.cx) < 1e9) & (F.abs(b.cy) < 1e9)
+    tiled = written(texts.select("*", F.when(sure, tile(0.0)).otherwise(name).alias("_root"), _reach(F.col("box"), F.col("image_width"), F.col("image_height")).alias("frame")), "tiled")
+    edges = tiled.where(sure).select(F.col("_root").alias("a"), tile(0.5).alias("b"))
+    tied = written(joined_roots(tiled, "_root", edges), "tied")
+    l, r = F.col("l"), F.col("r")
+    of = lambda c: F.when(l[key] < r[key], l[c]).otherwise(r[c])  # noqa: E731 - the picture's size, by the smaller key
+    together = G.connected(Box.of("l.box"), Box.of("r.box"), of("image_width"), of("image_height"))
+    pairs = strangers(tied, "_root", "frame", cell=REACH_CELL).where(together)
+    grouped = written(joined_roots(tied, "_root", pairs.select(l["_root"].alias("a"), r["_root"].alias("b"))).select("image_id", key, "_root"), "grouped")
+    least = grouped.groupBy("_root").agg(F.min(key).alias("group_id"))
+    return lookup_join(grouped, least, ["_root"]).drop("_root")
 
 
 def group_shapes(grouped: DataFrame) -> DataFrame:

@@ -440,6 +440,42 @@ def with_support(df: DataFrame) -> DataFrame:
     return fold(d, [F.asc("anchor_id")], step, "support_count long, source_support_count long, support_labels array<string>").drop("block_id")
 
 
+def grouped_texts(df: DataFrame, key: str) -> DataFrame:
+    """df (image_id, key, box, image_width, image_height) with group_id, the first key of those that are
+    connected (geometry.connected), directly or through others. An image is a block: for small ones."""
+
+    def step(b: Block) -> tuple[list[int], dict[str, list]]:
+        n, keys = len(b), b[key]
+        if n == 1:
+            return [0], {"group_id": keys}
+        k = b.boxes()
+        x1, y1, x2, y2 = k.T
+        w, h = x2 - x1, y2 - y1
+        sides = np.array([[np.nan if v is None else v for v in b[c]] for c in ("image_width", "image_height")], dtype=float)
+        high, long = np.maximum(h, 1.0), np.maximum(np.maximum(w, 1.0), np.maximum(h, 1.0))
+        pair = lambda f, v: f(v[:, None], v)
+        sx, sy = pair(np.minimum, x2) - pair(np.maximum, x1), pair(np.minimum, y2) - pair(np.maximum, y1)
+        gap_x, gap_y = np.maximum(-sx, 0.0), np.maximum(-sy, 0.0)
+        sx, sy = np.maximum(sx, 0.0), np.maximum(sy, 0.0)
+        touch = sx * sy / np.maximum(pair(np.minimum, np.maximum(w * h, 1e-6)), 1e-6) >= 0.05
+        beside = (sy / np.maximum(pair(np.minimum, h), 1e-6) >= 0.3) & (gap_x <= 2.2 * pair(np.maximum, high))
+        stacked = (sx / np.maximum(pair(np.minimum, w), 1e-6) >= 0.3) & (gap_y <= 2.2 * pair(np.maximum, high))
+        dx, dy = pair(np.subtract, (x1 + x2) / 2), pair(np.subtract, (y1 + y2) / 2)
+        reach = np.fmax(40.0, np.fmax(*sides) * 0.11)[:, None]  # of the smaller key's picture
+        near = np.sqrt(dx * dx + dy * dy) <= np.maximum(reach, pair(np.maximum, long) * 2.4)
+        tied = np.triu(touch | beside | stacked | near, 1)
+        tied |= tied.T | np.eye(n, dtype=bool)
+        root = np.arange(n)
+        while True:
+            least = np.where(tied, root, n).min(axis=1)
+            if (least == root).all():
+                return list(range(n)), {"group_id": [keys[i] for i in root.tolist()]}
+            root = least
+
+    kind = df.schema[key].dataType.simpleString()
+    return fold(df.withColumn("block_id", F.col("image_id")), [F.asc(key)], step, f"group_id {kind}").drop("block_id")
+
+
 def lines_of(cy: np.ndarray, height: np.ndarray, tolerance: Callable[[float, float], float]) -> list[list[int]]:
     """Rows given from top to bottom, as lines: each joins the first line whose mean centre is near
     enough. tolerance: of the row's height and the line's mean height."""

@@ -92,3 +92,29 @@ def test_signs_of_a_large_image(spark, sf, db, monkeypatch):
     columns = ["image_id", "label", "node_ids", "answer"]
     want = keyed(c.execute(Q.SQL["sign_groups"]).df().to_dict("records"), columns)
     assert want and keyed(Q.QUERIES["sign_groups"](spark, sf).collect(), columns) == want
+
+
+@pytest.mark.parametrize("small", [0, 1000])
+def test_groups_of_texts_as_in_sql(spark, db, small):
+    """As arrays, or tied by tiles and then pair by pair; also where the picture's size is unknown."""
+    texts, _ = made(spark, 200, 9, ((9000, 8000), (9000, 8000)))
+    texts = texts.withColumns({"image_width": F.when(F.col("image_id") == "i0", 800), "image_height": F.lit(600)})
+    columns = ["image_id", "node_id", "group_id"]
+    sql = Q._TEXT_GROUPS.removeprefix(f"{V.NODES}, ")
+    want = keyed(db(nodes=texts).execute(f"WITH RECURSIVE {sql} SELECT * FROM gr").df().to_dict("records"), columns)
+    assert 20 < len({r[::2] for r in want}) < 390
+    assert keyed(boxes.text_groups(texts, small=small).collect(), columns) == want
+
+
+def test_a_crowd_of_texts_forms_no_pairs(spark, monkeypatch):
+    """All texts of a crowded picture are tied by tiles, so none is left to compare."""
+    left = []
+
+    def counted(*args, f=boxes.strangers, **more):
+        left.append(f(*args, **more))
+        return left[-1]
+
+    monkeypatch.setattr(boxes, "strangers", counted)
+    texts, _ = made(spark, 3000, 1, ((2000, 1500),))
+    assert boxes.text_groups(texts).select("group_id").distinct().count() == 1
+    assert [f.count() for f in left] == [0]
