@@ -118,3 +118,16 @@ def test_a_crowd_of_texts_forms_no_pairs(spark, monkeypatch):
     texts, _ = made(spark, 3000, 1, ((2000, 1500),))
     assert boxes.text_groups(texts).select("group_id").distinct().count() == 1
     assert [f.count() for f in left] == [0]
+
+
+def test_support_by_tiles(spark):
+    """As the fold over each text's candidates counts it; in small tiles, and as bits in a large one."""
+    from glyphloom.operators import anchoring, folds
+
+    texts, anchors = made(spark, 300, 7, ((2000, 1500), (300, 200)))
+    anchors = anchors.withColumn("label", F.when(F.col("anchor_id").endswith("3"), "").when(F.col("anchor_id").endswith("4"), F.lit(None)).otherwise(F.col("label")))
+    columns = ["image_id", "node_id", "anchor_id", "support_count", "source_support_count", "labels"]
+    found = folds.with_support(boxes.anchor_candidates(texts, anchors)).withColumn("labels", F.size("support_labels"))
+    want = keyed(found.collect(), columns)
+    for tile_texts in (500, 20):
+        assert keyed(anchoring.with_support(texts, anchors, tile_texts=tile_texts).collect(), columns) == want
